@@ -10,11 +10,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wirelake.functions.headers import decode_packets, encode_frames
 from wirelake.functions.protocol import address_or_unknown, is_pure_syn, protocol_label
 from wirelake.operators import features as feat
 from wirelake.operators import panels
 from wirelake.plans.sql import register_views, sql_query
-from wirelake.sources.tables import packets_events, packets_lineitem
+from wirelake.sources.lines import damaged_lines, format_lines, packet_records, parse_lines
+from wirelake.sources.tables import packets_events, packets_from_events, packets_lineitem
+from wirelake.streaming import windows as win
+
+# Test windows: the events are minutes apart, so the reference's four-pane
+# window is scaled to 4 hours sliding by 1 hour.
+WINDOW, SLIDE = "4 hours", "1 hour"
+CONTRACT = ["packet_no", "has_ip", "src_ip", "dst_ip", "is_tcp", "is_udp", "is_icmp",
+            "is_http", "is_dns", "tcp_flags", "packet_size"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,12 +43,24 @@ def q_features_merged_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.features_from_edges(feat.merge_edges(per_batch, keys=["filename"]), ["filename"])
 
 
+def _decoded(packets: DataFrame) -> DataFrame:
+    frames = encode_frames(packets, keep=["packet_no", "filename", "ts", "packet_size"])
+    return decode_packets(frames)
+
+
+def q_header_decode(view):
+    return lambda spark, sf_dir: _decoded(view(spark, sf_dir)).select(*CONTRACT)
+
+
 def q_syn_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = packets_events(spark, sf_dir).filter("is_tcp")
+    """SYN and SYN+ACK counts per capture, flags read back from encoded TCP headers."""
+    p = _decoded(packets_events(spark, sf_dir))
+    tcp = F.col("is_tcp")
     return p.groupBy("filename").agg(
-        F.count_if(is_pure_syn("tcp_flags")).alias("syn_packets"),
-        F.count_if(F.col("tcp_flags").bitwiseAND(F.lit(0x1FF)) == 18).alias("syn_ack_packets"),
-    )
+        F.count_if(tcp & is_pure_syn("tcp_flags")).alias("syn_packets"),
+        F.count_if(tcp & (F.col("tcp_flags").bitwiseAND(F.lit(0x1FF)) == 18)).alias("syn_ack_packets"),
+        F.max(tcp.cast("int")).alias("_any_tcp"),
+    ).filter("_any_tcp = 1").drop("_any_tcp")
 
 
 def q_report_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +73,39 @@ def q_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT * FROM network_traffic")
 
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packet_records(packets_events(spark, sf_dir))
+
+
+def _totals(metric: str) -> Query:
+    return lambda s, d: win.window_totals(_records(s, d), WINDOW, SLIDE).select(
+        "window_start", "window_end", metric)
+
+
+def q_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return parse_lines(format_lines(records).unionByName(damaged_lines(records)))
+
+
+def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packet_records(packets_from_events(win.event_stream(spark, sf_dir)))
+
+
+def q_stream_win_protocol_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 on Structured Streaming: file stream -> event time -> sliding windows -> parquet sink."""
+    records = _stream_records(spark, sf_dir)
+    records = records.withColumn("event_time", win.to_instant(records, "ts"))
+    counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
+    sink, _ = win.run_bounded(counts, "stream_win_protocol_counts", output_mode="complete")
+    return win.read_sink(spark, sink)
+
+
+def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counters = win.running_counters(_stream_records(spark, sf_dir))
+    sink, _ = win.run_bounded(counters, "stream_running_counters", output_mode="complete")
+    return win.read_sink(spark, sink)
+
+
 def catalog() -> dict[str, Query]:
     q: dict[str, Query] = {
         # C: features
@@ -81,6 +135,19 @@ def catalog() -> dict[str, Query]:
         "protocol_percentage": _panel(panels.protocol_percentage),
         "protocol_comparison": _panel(panels.protocol_comparison),
         "protocol_trend": _panel(panels.protocol_trend),
+        # Headers and lines
+        "header_decode": q_header_decode(packets_events),
+        "header_decode_volume": q_header_decode(packets_lineitem),
+        "line_format": lambda s, d: format_lines(_records(s, d)),
+        "line_parse": q_line_parse,
+        # F: windows and counters, batch then streaming
+        "win_protocol_counts": lambda s, d: win.protocol_window_counts(_records(s, d), WINDOW, SLIDE),
+        "win_bytes": _totals("bytes"),
+        "win_avg_size": _totals("avg_packet_size"),
+        "win_packet_count": _totals("packets"),
+        "running_counters": lambda s, d: win.running_counters(_records(s, d)),
+        "stream_win_protocol_counts": q_stream_win_protocol_counts,
+        "stream_running_counters": q_stream_running_counters,
     }
     return q
 

@@ -160,8 +160,91 @@ def feature_queries() -> dict[str, str]:
     }
 
 
+
+
+CONTRACT_COLS = ("packet_no, has_ip, src_ip, dst_ip, is_tcp, is_udp, is_icmp, is_http, is_dns, "
+                 "tcp_flags, packet_size")
+
+RECORDS = ("rec", f"""
+SELECT ts, {PROTOCOL_CASE} AS protocol, COALESCE(src_ip, 'unknown') AS src_ip,
+       COALESCE(dst_ip, 'unknown') AS dst_ip, packet_size, has_ip, is_tcp, is_udp, is_icmp, is_http, is_dns,
+       printf('%d.%06d', epoch_us(ts) // 1000000, epoch_us(ts) % 1000000) AS secs
+FROM packets""")
+
+LINES = ("lines", """
+SELECT concat_ws(',', secs, protocol, src_ip, dst_ip, CAST(packet_size AS VARCHAR)) AS value FROM rec
+UNION ALL SELECT concat_ws(',', secs, protocol, src_ip, dst_ip) FROM rec WHERE NOT has_ip
+UNION ALL SELECT concat_ws(',', secs, protocol, src_ip, dst_ip, CAST(packet_size AS VARCHAR) || '.5')
+FROM rec WHERE is_udp""")
+
+PARSED = ("parsed", r"""
+SELECT len(p) AS n, regexp_replace(p[1], '^\s+|\s+$', '', 'g') AS t, p[2] AS protocol, p[3] AS src_ip,
+       p[4] AS dst_ip, regexp_replace(p[5], '^\s+|\s+$', '', 'g') AS s
+FROM (SELECT string_split(value, ',') AS p FROM lines)""")
+
+LINE_PARSE_FINAL = r"""
+SELECT TRY_CAST(t AS DOUBLE) AS timestamp, protocol, src_ip, dst_ip, TRY_CAST(s AS INTEGER) AS packet_size
+FROM parsed
+WHERE n = 5 AND regexp_full_match(t, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?')
+  AND regexp_full_match(s, '[+-]?[0-9]+') AND TRY_CAST(s AS INTEGER) IS NOT NULL"""
+
+# Each row falls into four sliding windows (4 h long, 1 h slide) that start
+# on the hour at k = 0..3 hours before its own hour.
+WINDOWED = ("windowed", """
+SELECT time_bucket(INTERVAL 1 HOUR, ts) - to_hours(k) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) - to_hours(k) + INTERVAL 4 HOUR AS window_end,
+       protocol, packet_size
+FROM rec, (VALUES (0), (1), (2), (3)) v(k)""")
+
+WIN_PROTOCOL = """
+SELECT window_start, window_end, protocol, COUNT(*) AS packets, CAST(SUM(packet_size) AS BIGINT) AS bytes
+FROM windowed GROUP BY window_start, window_end, protocol"""
+
+WIN_TOTALS = ("totals_w", """
+SELECT window_start, window_end, CAST(SUM(packet_size) AS BIGINT) AS bytes, COUNT(*) AS packets,
+       AVG(packet_size) AS avg_packet_size
+FROM windowed GROUP BY window_start, window_end""")
+
+COUNTERS = """
+SELECT COUNT(*) AS total_packets,
+       COUNT(*) FILTER (WHERE has_ip AND is_tcp) AS tcp_packets,
+       COUNT(*) FILTER (WHERE has_ip AND NOT is_tcp AND is_udp) AS udp_packets,
+       COUNT(*) FILTER (WHERE has_ip AND NOT is_tcp AND NOT is_udp AND is_icmp) AS icmp_packets,
+       COUNT(*) FILTER (WHERE NOT is_dns AND is_http) AS http_packets,
+       COUNT(*) FILTER (WHERE is_dns) AS dns_packets,
+       CAST(COALESCE(SUM(packet_size), 0) AS BIGINT) AS total_bytes
+FROM rec"""
+
+
+def stream_queries() -> dict[str, str]:
+    p = packets_cte("events")
+    win_counts = with_ctes(WIN_PROTOCOL, p, RECORDS, WINDOWED)
+    counters = with_ctes(COUNTERS, p, RECORDS)
+
+    def totals(metric: str) -> str:
+        return with_ctes(f"SELECT window_start, window_end, {metric} FROM totals_w", p, RECORDS, WINDOWED,
+                         WIN_TOTALS)
+
+    return {
+        "header_decode": with_ctes(f"SELECT {CONTRACT_COLS} FROM packets", p),
+        "header_decode_volume": with_ctes(f"SELECT {CONTRACT_COLS} FROM packets", packets_cte("lineitem")),
+        "line_format": with_ctes(
+            "SELECT concat_ws(',', secs, protocol, src_ip, dst_ip, CAST(packet_size AS VARCHAR)) AS value FROM rec",
+            p, RECORDS),
+        "line_parse": with_ctes(LINE_PARSE_FINAL, p, RECORDS, LINES, PARSED),
+        "win_protocol_counts": win_counts,
+        "win_bytes": totals("bytes"),
+        "win_avg_size": totals("avg_packet_size"),
+        "win_packet_count": totals("packets"),
+        "running_counters": counters,
+        "stream_win_protocol_counts": win_counts,
+        "stream_running_counters": counters,
+    }
+
+
 def all_oracles() -> dict[str, str]:
     out = {}
     out.update(feature_queries())
     out.update(panels())
+    out.update(stream_queries())
     return out

@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 # Defaults for a local run; cluster deployments override them in their own conf.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.driver.memory": "12g",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

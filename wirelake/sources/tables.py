@@ -17,7 +17,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def packets_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """30 captures (one per day of month); ``error`` rows are the non-IPv4 packets."""
-    e = read_table(spark, sf_dir, "events")
+    return packets_from_events(read_table(spark, sf_dir, "events"))
+
+
+def packets_from_events(e: DataFrame) -> DataFrame:
+    """The events mapping on any events DataFrame, static or streaming."""
     kind, eid = F.col("event_type"), F.col("event_id")
     has_ip = kind != "error"
     is_tcp = kind.isin("click", "view") | ((kind == "error") & (eid % 10 == 0))
