@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirelake.functions.headers import decode_packets, encode_frames
 from wirelake.functions.protocol import address_or_unknown, is_pure_syn, protocol_label
+from wirelake.operators import cluster
 from wirelake.operators import features as feat
+from wirelake.operators.report import report_lines
 from wirelake.operators import panels
 from wirelake.plans.sql import register_views, sql_query
 from wirelake.sources.lines import damaged_lines, format_lines, packet_records, parse_lines
@@ -106,6 +108,21 @@ def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.read_sink(spark, sink)
 
 
+def _fixed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = _features(spark, sf_dir)
+    return cluster.assign_to_centres(features, cluster.extreme_centres(features))
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, predictions = cluster.fit_kmeans(_features(spark, sf_dir))
+    return predictions
+
+
+def q_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    predictions = _fitted(spark, sf_dir)
+    return report_lines(_features(spark, sf_dir), cluster.silhouette(predictions))
+
+
 def catalog() -> dict[str, Query]:
     q: dict[str, Query] = {
         # C: features
@@ -148,6 +165,13 @@ def catalog() -> dict[str, Query]:
         "running_counters": lambda s, d: win.running_counters(_records(s, d)),
         "stream_win_protocol_counts": q_stream_win_protocol_counts,
         "stream_running_counters": q_stream_running_counters,
+        # E: clustering, R: report
+        "choose_k": _panel(cluster.choose_k),
+        "assign_fixed_centres": lambda s, d: _fixed_labels(s, d).select("filename", "prediction"),
+        "silhouette_fixed_labels": lambda s, d: cluster.silhouette(_fixed_labels(s, d)),
+        "kmeans_fit": lambda s, d: _fitted(s, d).select("filename", "prediction"),
+        "cluster_scatter": lambda s, d: cluster.cluster_scatter(_fitted(s, d)),
+        "report_lines": q_report_lines,
     }
     return q
 

@@ -248,3 +248,65 @@ def all_oracles() -> dict[str, str]:
     out.update(panels())
     out.update(stream_queries())
     return out
+
+
+_FC = ["packet_count", "total_bytes", "unique_src_ips", "unique_dst_ips", "tcp_packet_count", "udp_packet_count",
+       "icmp_packet_count", "http_packet_count", "dns_packet_count", "avg_packet_size", "protocol_diversity",
+       "connection_density", "syn_flood_indicator"]
+
+
+def _dist(alias: str) -> str:
+    return " + ".join(f"(CAST(f.{c} AS DOUBLE) - CAST({alias}.{c} AS DOUBLE)) * "
+                      f"(CAST(f.{c} AS DOUBLE) - CAST({alias}.{c} AS DOUBLE))" for c in _FC)
+
+
+def _labels_ctes() -> tuple[tuple[str, str], ...]:
+    return (
+        ("c0", "SELECT * FROM features ORDER BY packet_count ASC, filename ASC LIMIT 1"),
+        ("c1", "SELECT * FROM features ORDER BY packet_count DESC, filename ASC LIMIT 1"),
+        ("labelled", f"SELECT f.*, CASE WHEN {_dist('c0')} <= {_dist('c1')} THEN 0 ELSE 1 END AS prediction "
+                     "FROM features f, c0, c1"),
+    )
+
+
+def _silhouette_sql() -> str:
+    norm = " + ".join(f"CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE)" for c in _FC)
+    sums = ", ".join(f"SUM(CAST({c} AS DOUBLE)) AS s_{c}" for c in _FC)
+    dot = " + ".join(f"CAST(p.{c} AS DOUBLE) * s.s_{c}" for c in _FC)
+    return (
+        "WITH " + ", ".join(f"{n} AS ({q})" for n, q in [
+            packets_cte("events"), ("agg", FEATURES_AGG), ("features", FEATURES_SELECT), *_labels_ctes(),
+            ("pts", f"SELECT *, {norm} AS norm2 FROM labelled"),
+            ("stats", f"SELECT prediction, COUNT(*) AS n, SUM(norm2) AS q, {sums} FROM pts GROUP BY prediction"),
+            ("d", f"SELECT p.filename, p.prediction AS own, s.prediction AS c, s.n, "
+                  f"p.norm2 + s.q / s.n - 2.0 * ({dot}) / s.n AS dist FROM pts p, stats s"),
+            ("ab", "SELECT filename, MAX(CASE WHEN c = own THEN n END) AS own_n, "
+                   "MAX(CASE WHEN c = own AND n > 1 THEN dist * n / (n - 1.0) END) AS a, "
+                   "MIN(CASE WHEN c <> own THEN dist END) AS b FROM d GROUP BY filename"),
+            ("k", "SELECT COUNT(*) AS clusters FROM stats"),
+        ])
+        + "\nSELECT CASE WHEN (SELECT clusters FROM k) < 2 THEN NULL ELSE ROUND(AVG(CASE WHEN own_n = 1 THEN 0.0 "
+          "WHEN a < b THEN 1.0 - a / b WHEN a > b THEN b / a - 1.0 ELSE 0.0 END), 8) END AS silhouette FROM ab"
+    )
+
+
+def cluster_queries() -> dict[str, str]:
+    distinct_cols = ", ".join(_FC)
+    return {
+        "choose_k": features_sql(final=(
+            "SELECT rows, distinct_vectors, CAST(LEAST(LEAST(3, GREATEST(2, rows // 2)), distinct_vectors) AS BIGINT)"
+            " AS k FROM (SELECT (SELECT COUNT(*) FROM features) AS rows, "
+            f"(SELECT COUNT(*) FROM (SELECT DISTINCT {distinct_cols} FROM features)) AS distinct_vectors)")),
+        "assign_fixed_centres": features_sql(final="SELECT filename, prediction FROM labelled",
+                                             extra=_labels_ctes()),
+        "silhouette_fixed_labels": _silhouette_sql(),
+    }
+
+
+_base_all_oracles = all_oracles
+
+
+def all_oracles() -> dict[str, str]:  # noqa: F811
+    out = _base_all_oracles()
+    out.update(cluster_queries())
+    return out
