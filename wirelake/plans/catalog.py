@@ -51,12 +51,12 @@ def _decoded(packets: DataFrame) -> DataFrame:
 
 
 def q_header_decode(view):
-    return lambda spark, sf_dir: _decoded(view(spark, sf_dir)).select(*CONTRACT)
+    return lambda spark, sf_dir: _decoded(view(spark, sf_dir, spread_rows=True)).select(*CONTRACT)
 
 
 def q_syn_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SYN and SYN+ACK counts per capture, flags read back from encoded TCP headers."""
-    p = _decoded(packets_events(spark, sf_dir))
+    p = _decoded(packets_events(spark, sf_dir, spread_rows=True))
     tcp = F.col("is_tcp")
     return p.groupBy("filename").agg(
         F.count_if(tcp & is_pure_syn("tcp_flags")).alias("syn_packets"),
@@ -76,7 +76,7 @@ def q_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packet_records(packets_events(spark, sf_dir))
+    return packet_records(packets_events(spark, sf_dir, spread_rows=True))
 
 
 def _totals(metric: str) -> Query:
@@ -108,19 +108,26 @@ def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.read_sink(spark, sink)
 
 
+def _reused_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table materialised in the shared checkpoint folder: clustering
+    reads it several times (k, centres, iterations) and should not recompute it."""
+    return _features(spark, sf_dir).checkpoint(eager=True)
+
+
 def _fixed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = _features(spark, sf_dir)
+    features = _reused_features(spark, sf_dir)
     return cluster.assign_to_centres(features, cluster.extreme_centres(features))
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, predictions = cluster.fit_kmeans(_features(spark, sf_dir))
+    _, predictions = cluster.fit_kmeans(_reused_features(spark, sf_dir))
     return predictions
 
 
 def q_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predictions = _fitted(spark, sf_dir)
-    return report_lines(_features(spark, sf_dir), cluster.silhouette(predictions))
+    features = _reused_features(spark, sf_dir)
+    _, predictions = cluster.fit_kmeans(features)
+    return report_lines(features, cluster.silhouette(predictions))
 
 
 def catalog() -> dict[str, Query]:

@@ -23,6 +23,10 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Fall back to per-operator code generation when a fused stage would
+    # exceed the JIT's 8000-byte method limit (header decoding does): an
+    # un-JITted giant method runs interpreted and several times slower.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -11,13 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
-def packets_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """30 captures (one per day of month); ``error`` rows are the non-IPv4 packets."""
-    return packets_from_events(read_table(spark, sf_dir, "events"))
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan plans fewer splits.
+
+    A file stored as one row group is read by one task, and every narrow
+    step after it (header decoding, line parsing) would run on one core. On
+    a cluster reading many large files the scan already has enough splits
+    and this is a no-op. Filters and column pruning still reach the scan.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def packets_events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+    """30 captures (one per day of month); ``error`` rows are the non-IPv4 packets.
+
+    ``spread_rows`` for per-row heavy work (decoding, text); aggregations do
+    better without: their partial aggregate runs before any shuffle.
+    """
+    return packets_from_events(read_table(spark, sf_dir, "events", spread_rows))
 
 
 def packets_from_events(e: DataFrame) -> DataFrame:
@@ -45,9 +62,9 @@ def packets_from_events(e: DataFrame) -> DataFrame:
     )
 
 
-def packets_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def packets_lineitem(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
     """12 captures by supplier; the volume view for benchmarks (day-granular time)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", spread_rows)
     rf, ls, ln = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
     has_ip = ln < 7
     return li.select(
