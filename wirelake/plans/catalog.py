@@ -17,6 +17,9 @@ from wirelake.operators import features as feat
 from wirelake.operators.report import report_lines
 from wirelake.operators import panels
 from wirelake.plans.sql import register_views, sql_query
+from wirelake.session import shared_dir
+from wirelake.sources.capture import ingest_captures
+from wirelake.sources.capture_writer import pad_to_size, write_captures
 from wirelake.sources.lines import damaged_lines, format_lines, packet_records, parse_lines
 from wirelake.sources.tables import packets_events, packets_from_events, packets_lineitem
 from wirelake.streaming import windows as win
@@ -54,6 +57,20 @@ def q_header_decode(view):
     return lambda spark, sf_dir: _decoded(view(spark, sf_dir, spread_rows=True)).select(*CONTRACT)
 
 
+def q_capture_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1-A3 end to end: the events packets are encoded, written as capture part files
+    (one per task and capture), ingested back through the distributed reader,
+    and their features computed per capture folder."""
+    root = shared_dir(spark, "capture-roundtrip")
+    frames = pad_to_size(encode_frames(packets_events(spark, sf_dir, spread_rows=True),
+                                       keep=["filename", "ts", "packet_size"]))
+    write_captures(frames, f"{root}/captures").write.parquet(f"{root}/written")
+    written = spark.read.parquet(f"{root}/written").select("path")
+    ingest = ingest_captures(spark, written, f"{root}/ingest")
+    packets = ingest.packets.withColumn("filename", F.element_at(F.split("path", "/"), -2))
+    return feat.feature_table(packets, ["filename"])
+
+
 def q_syn_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SYN and SYN+ACK counts per capture, flags read back from encoded TCP headers."""
     p = _decoded(packets_events(spark, sf_dir, spread_rows=True))
@@ -162,6 +179,7 @@ def catalog() -> dict[str, Query]:
         # Headers and lines
         "header_decode": q_header_decode(packets_events),
         "header_decode_volume": q_header_decode(packets_lineitem),
+        "capture_roundtrip": q_capture_roundtrip,
         "line_format": lambda s, d: format_lines(_records(s, d)),
         "line_parse": q_line_parse,
         # F: windows and counters, batch then streaming

@@ -141,8 +141,29 @@ def panels() -> dict[str, str]:
     }
 
 
+# Length of the fixture encoding of each packet (see headers.encode_frames):
+# Ethernet 14, a VLAN tag 4 on UDP over IPv4, IPv4 20 (24 with the option
+# word on ICMP), IPv6 40, TCP 20, UDP and ICMP 8, payload 16 on HTTP and DNS,
+# ARP frames 42. Capture records are padded up to packet_size.
+FRAME_LEN = """CASE WHEN has_ip THEN 14 + CASE WHEN is_udp AND NOT is_tcp THEN 4 ELSE 0 END
+                         + CASE WHEN is_icmp THEN 24 ELSE 20 END
+                         + CASE WHEN is_tcp THEN 20 WHEN is_udp OR is_icmp THEN 8 ELSE 0 END
+                         + CASE WHEN is_http OR is_dns THEN 16 ELSE 0 END
+                    WHEN is_tcp OR is_udp THEN 54 + CASE WHEN is_tcp THEN 20 ELSE 8 END
+                         + CASE WHEN is_http OR is_dns THEN 16 ELSE 0 END
+                    ELSE 42 END"""
+
+
+def roundtrip_sql() -> str:
+    padded = ("packets", f"SELECT * REPLACE (GREATEST(packet_size, {FRAME_LEN}) AS packet_size) "
+                         f"FROM ({PACKETS_EVENTS}) p")
+    ctes = [padded, ("agg", FEATURES_AGG), ("features", FEATURES_SELECT)]
+    return with_ctes("SELECT * FROM features", *ctes)
+
+
 def feature_queries() -> dict[str, str]:
     return {
+        "capture_roundtrip": roundtrip_sql(),
         "features": features_sql("events"),
         "features_volume": features_sql("lineitem"),
         "features_tcp_only": features_sql("events", where="is_tcp"),
