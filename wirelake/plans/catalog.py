@@ -17,10 +17,12 @@ from wirelake.operators import features as feat
 from wirelake.operators.report import report_lines
 from wirelake.operators import panels
 from wirelake.plans.sql import register_views, sql_query
-from wirelake.session import shared_dir
+from wirelake.session import reliable_checkpoint, shared_dir
 from wirelake.sources.capture import ingest_captures
 from wirelake.sources.capture_writer import pad_to_size, write_captures
-from wirelake.sources.lines import damaged_lines, format_lines, packet_records, parse_lines
+from wirelake.sources.lines import (
+    damaged_lines, format_lines, packet_records, parse_lines, read_line_stream, with_event_time,
+)
 from wirelake.sources.tables import packets_events, packets_from_events, packets_lineitem
 from wirelake.streaming import windows as win
 
@@ -119,6 +121,26 @@ def q_stream_win_protocol_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.read_sink(spark, sink)
 
 
+def q_stream_win_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2-F4 on Structured Streaming."""
+    records = _stream_records(spark, sf_dir)
+    records = records.withColumn("event_time", win.to_instant(records, "ts"))
+    totals = win.window_totals(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
+    sink, _ = win.run_bounded(totals, "stream_win_totals", output_mode="complete")
+    return win.read_sink(spark, sink)
+
+
+def q_stream_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + B6 + F1: packet lines written as text files, read back as a line stream,
+    parsed, and counted in sliding windows over the parsed event time."""
+    root = shared_dir(spark, "line-stream")
+    format_lines(_records(spark, sf_dir)).write.text(f"{root}/lines")
+    records = with_event_time(parse_lines(read_line_stream(spark, f"{root}/lines")))
+    counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
+    sink, _ = win.run_bounded(counts, "stream_line_windows", output_mode="complete")
+    return win.read_sink(spark, sink)
+
+
 def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = win.running_counters(_stream_records(spark, sf_dir))
     sink, _ = win.run_bounded(counters, "stream_running_counters", output_mode="complete")
@@ -128,7 +150,7 @@ def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _reused_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table materialised in the shared checkpoint folder: clustering
     reads it several times (k, centres, iterations) and should not recompute it."""
-    return _features(spark, sf_dir).checkpoint(eager=True)
+    return reliable_checkpoint(_features(spark, sf_dir))
 
 
 def _fixed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,6 +212,8 @@ def catalog() -> dict[str, Query]:
         "running_counters": lambda s, d: win.running_counters(_records(s, d)),
         "stream_win_protocol_counts": q_stream_win_protocol_counts,
         "stream_running_counters": q_stream_running_counters,
+        "stream_win_totals": q_stream_win_totals,
+        "stream_line_windows": q_stream_line_windows,
         # E: clustering, R: report
         "choose_k": _panel(cluster.choose_k),
         "assign_fixed_centres": lambda s, d: _fixed_labels(s, d).select("filename", "prediction"),

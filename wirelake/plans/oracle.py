@@ -260,6 +260,9 @@ def stream_queries() -> dict[str, str]:
         "running_counters": counters,
         "stream_win_protocol_counts": win_counts,
         "stream_running_counters": counters,
+        "stream_win_totals": with_ctes("SELECT window_start, window_end, bytes, packets, avg_packet_size FROM totals_w",
+                                       p, RECORDS, WINDOWED, WIN_TOTALS),
+        "stream_line_windows": win_counts,
     }
 
 

@@ -53,6 +53,14 @@ def _configured_dir(spark: SparkSession) -> str | None:
     return jdir.get() if jdir.isDefined() else None
 
 
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared folder (installed first when only the conf names it)."""
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(shared_dir(df.sparkSession, "rdd-checkpoints"))
+    return df.checkpoint(eager=True)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for ``purpose`` below the cluster's shared checkpoint folder.
 
