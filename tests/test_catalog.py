@@ -65,3 +65,15 @@ def test_features_shuffle_key_includes_addresses(spark):
     assert "hashpartitioning(filename" in plan
     first = plan[plan.rindex("Exchange hashpartitioning"):].split("\n")[0]
     assert "src_ip" in first and "dst_ip" in first
+
+
+@pytest.mark.parametrize("name", ["line_format", "line_parse", "win_protocol_counts", "stream_win_protocol_counts",
+                                  "stream_line_windows", "features"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ok, msg = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF001)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert ok, msg

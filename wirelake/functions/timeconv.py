@@ -7,15 +7,12 @@ so results are the same whatever ``spark.sql.session.timeZone`` is.
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-EPOCH = datetime.datetime(1970, 1, 1)
-
 
 def epoch_ntz() -> Column:
-    return F.lit(EPOCH).cast("timestamp_ntz")
+    # A typed literal: a Python datetime would pass through the session zone.
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def epoch_micros(df: DataFrame, col: str) -> Column:
