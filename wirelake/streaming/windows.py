@@ -75,7 +75,19 @@ def window_totals(records: DataFrame, length: str = "20 seconds", slide: str = "
 
 def running_counters(records: DataFrame) -> DataFrame:
     """the live counters. TCP, UDP and ICMP need IPv4 and exclude each other
-    in that order; DNS and HTTP are counted apart, DNS winning over HTTP."""
+    in that order; DNS and HTTP are counted apart, DNS winning over HTTP.
+
+    Records parsed from text lines carry only the protocol label, so there
+    each packet counts once, under its label (a DNS-over-TCP packet counts
+    as DNS only).
+    """
+    if "has_ip" not in records.columns:
+        label = F.col("protocol")
+        return records.agg(
+            F.count(F.lit(1)).alias("total_packets"),
+            *[F.count_if(label == p).alias(f"{p.lower()}_packets") for p in ("TCP", "UDP", "ICMP", "HTTP", "DNS")],
+            F.coalesce(F.sum("packet_size"), F.lit(0)).cast("long").alias("total_bytes"),
+        )
     ip = _bool("has_ip")
     tcp = ip & _bool("is_tcp")
     udp = ip & ~_bool("is_tcp") & _bool("is_udp")
