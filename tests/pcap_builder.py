@@ -58,3 +58,31 @@ def write_pcap(path: str, packets: list[tuple[float, bytes]], big_endian: bool =
         blob = blob[:-truncate_last]
     with open(path, "wb") as f:
         f.write(blob)
+
+
+def _ng_block(e: str, btype: int, body: bytes) -> bytes:
+    body = body + b"\0" * (-len(body) % 4)
+    n = 12 + len(body)
+    return struct.pack(e + "II", btype, n) + body + struct.pack(e + "I", n)
+
+
+def write_pcapng(path: str, packets: list[tuple[float, bytes]], big_endian: bool = False, tsresol: int = 6,
+                 linktype: int = 1, simple_every: int = 0, stats_every: int = 0) -> None:
+    """pcapng: section header, one interface (10**-tsresol s units), enhanced packet blocks;
+    every ``simple_every``-th packet as a simple packet block, a statistics block every
+    ``stats_every`` packets."""
+    e = ">" if big_endian else "<"
+    out = [_ng_block(e, 0x0A0D0D0A, struct.pack(e + "IHHq", 0x1A2B3C4D, 1, 0, -1))]
+    opts = struct.pack(e + "HH", 9, 1) + bytes([tsresol]) + b"\0\0\0" + struct.pack(e + "HH", 0, 0)
+    out.append(_ng_block(e, 1, struct.pack(e + "HHI", linktype, 0, 0) + opts))
+    for i, (ts, data) in enumerate(packets):
+        if stats_every and i % stats_every == 0:
+            out.append(_ng_block(e, 5, struct.pack(e + "III", 0, 0, 0)))
+        if simple_every and i % simple_every == 0:
+            out.append(_ng_block(e, 3, struct.pack(e + "I", len(data)) + data))
+        else:
+            units = round(ts * 10 ** tsresol)
+            out.append(_ng_block(e, 6, struct.pack(e + "IIIII", 0, units >> 32, units & 0xFFFFFFFF,
+                                                   len(data), len(data)) + data))
+    with open(path, "wb") as f:
+        f.write(b"".join(out))

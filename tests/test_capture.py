@@ -148,3 +148,34 @@ def test_split_framing_is_exact(spark, scratch):
     assert got.n == len(packets) == got.d == got.hi and got.lo == 1
     assert got.b == sum(len(p) for _, p in packets)
     assert res.packets.filter(~F.col("is_http")).count() == 0
+
+
+def test_pcapng_matches_classic(spark, scratch):
+    from pcap_builder import write_pcapng
+
+    pk = _mixed_packets(1500, seed=11)
+    paths = {
+        "classic": os.path.join(scratch, "a.pcap"),
+        "ng_le": os.path.join(scratch, "b.pcapng"),
+        "ng_be_ns": os.path.join(scratch, "c.pcapng"),
+        "ng_mixed": os.path.join(scratch, "d.pcapng"),
+    }
+    write_pcap(paths["classic"], pk)
+    write_pcapng(paths["ng_le"], pk)
+    write_pcapng(paths["ng_be_ns"], pk, big_endian=True, tsresol=9)
+    write_pcapng(paths["ng_mixed"], pk, simple_every=7, stats_every=50)
+    res = ingest_captures(spark, list(paths.values()), os.path.join(scratch, "out"), split_bytes=3000)
+    feats = {r["path"]: r for r in feature_table(res.packets, ["path", "filename"]).collect()}
+    want = feats[paths["classic"]].asDict()
+    for key in ("ng_le", "ng_be_ns", "ng_mixed"):
+        got = feats[paths[key]].asDict()
+        assert {k: v for k, v in got.items() if k not in ("path", "filename")} == \
+               {k: v for k, v in want.items() if k not in ("path", "filename")}, key
+    times = {}
+    for key in ("classic", "ng_le", "ng_be_ns"):
+        times[key] = res.packets.filter(F.col("path") == paths[key]).agg(F.min("ts"), F.max("ts")).first()
+    assert tuple(times["classic"]) == tuple(times["ng_le"])
+    assert all(abs((a - b).total_seconds()) <= 1e-6 for a, b in zip(times["classic"], times["ng_be_ns"]))
+    nos = [r.packet_no for r in res.packets.filter(F.col("path") == paths["ng_mixed"]).orderBy("packet_no").collect()]
+    assert nos == list(range(1, len(pk) + 1))
+    assert res.rejected.count() == 0
