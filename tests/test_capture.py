@@ -179,3 +179,20 @@ def test_pcapng_matches_classic(spark, scratch):
     nos = [r.packet_no for r in res.packets.filter(F.col("path") == paths["ng_mixed"]).orderBy("packet_no").collect()]
     assert nos == list(range(1, len(pk) + 1))
     assert res.rejected.count() == 0
+
+
+def test_other_link_types(spark):
+    """Linux cooked v1/v2 and BSD loopback headers in front of the same IPv4/TCP packet."""
+    import struct
+
+    from pcap_builder import ip4, tcp
+
+    pkt = ip4(A, B, 6, tcp(1, 80, PSH | ACK, b"GET / HTTP/1.1\r\n"))
+    sll = struct.pack(">HHH8sH", 0, 1, 6, b"\0" * 8, 0x0800) + pkt
+    sll2 = struct.pack(">HHIHBB8s", 0x0800, 0, 2, 1, 0, 6, b"\0" * 8) + pkt
+    null_le = struct.pack("<I", 2) + pkt
+    rows = [(113, bytearray(sll), len(sll)), (276, bytearray(sll2), len(sll2)), (0, bytearray(null_le), len(null_le)),
+            (108, bytearray(struct.pack(">I", 2) + pkt), len(pkt) + 4)]
+    frames = spark.createDataFrame(rows, "linktype int, data binary, packet_size int")
+    for r in decode_packets(frames).collect():
+        assert r.has_ip and r.is_tcp and r.is_http and r.src_ip == A and r.dst_ip == B, r
