@@ -196,3 +196,29 @@ def test_other_link_types(spark):
     frames = spark.createDataFrame(rows, "linktype int, data binary, packet_size int")
     for r in decode_packets(frames).collect():
         assert r.has_ip and r.is_tcp and r.is_http and r.src_ip == A and r.dst_ip == B, r
+
+
+def test_ipv6_extension_headers(spark):
+    import struct
+
+    from pcap_builder import ip6
+
+    def ext(nh: int, body_len8: int = 0) -> bytes:  # hop-by-hop / destination options style
+        return bytes([nh, body_len8]) + b"\x01\x04\0\0\0\0" + b"\0" * (8 * body_len8)
+
+    def frag(nh: int, offset8: int) -> bytes:
+        return struct.pack(">BBHI", nh, 0, offset8 << 3, 7)
+
+    cases = {
+        "hbh_tcp": (ip6(0, ext(6) + tcp(1, 80, PSH | ACK, b"GET / HTTP/1.1\r\n")), dict(is_tcp=True, is_http=True)),
+        "dst_rt_tcp": (ip6(60, ext(43, 1) + ext(6) + tcp(1, 443, SYN)), dict(is_tcp=True, tcp_flags=SYN)),
+        "frag0_dns": (ip6(44, frag(17, 0) + udp(5353, 53, b"\0" * 12)), dict(is_udp=True, is_dns=True)),
+        "frag_later": (ip6(44, frag(6, 185) + b"\0" * 24), dict(is_tcp=False, is_udp=False)),
+    }
+    rows = [(n, 1, bytearray(eth(0x86DD, b)), 100) for n, (b, _) in cases.items()]
+    got = {r.name: r for r in decode_packets(
+        spark.createDataFrame(rows, "name string, linktype int, data binary, packet_size int")).collect()}
+    for name, (_, want) in cases.items():
+        for k, v in want.items():
+            assert got[name][k] == v, (name, k, got[name][k])
+        assert got[name].has_ip is False
