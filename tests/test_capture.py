@@ -222,3 +222,25 @@ def test_ipv6_extension_headers(spark):
         for k, v in want.items():
             assert got[name][k] == v, (name, k, got[name][k])
         assert got[name].has_ip is False
+
+
+def test_folder_listing_and_partition_pruning(spark, scratch):
+    from pcap_builder import write_pcapng
+    from wirelake.sources.capture import captures_in_folder
+
+    folder = os.path.join(scratch, "caps")
+    os.makedirs(os.path.join(folder, "sub"))
+    write_pcap(os.path.join(folder, "x.pcap"), _mixed_packets(80, seed=1))
+    write_pcapng(os.path.join(folder, "sub", "y.pcapng"), _mixed_packets(60, seed=2))
+    with open(os.path.join(folder, "notes.txt"), "w") as f:
+        f.write("not a capture")
+    caps = captures_in_folder(spark, folder)
+    listing_plan = caps._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in listing_plan.split("ReadSchema")[1].split("\n")[0]  # file bodies never loaded
+    res = ingest_captures(spark, caps, os.path.join(scratch, "out"))
+    counts = {r.filename: r["count"] for r in res.packets.groupBy("filename").count().collect()}
+    assert counts == {"x.pcap": 80, "y.pcapng": 60}
+    one = res.packets.filter(F.col("filename") == "x.pcap")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(filename" in plan and "x.pcap" in plan
+    assert one.count() == 80
