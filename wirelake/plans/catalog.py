@@ -117,7 +117,8 @@ def q_stream_win_protocol_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _stream_records(spark, sf_dir)
     records = records.withColumn("event_time", win.to_instant(records, "ts"))
     counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
-    sink, _ = win.run_bounded(counts, "stream_win_protocol_counts", output_mode="complete")
+    sink, _ = win.run_bounded(counts, "stream_win_protocol_counts", output_mode="complete",
+                              state_partitions=spark.sparkContext.defaultParallelism)
     return win.read_sink(spark, sink)
 
 
@@ -126,7 +127,8 @@ def q_stream_win_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _stream_records(spark, sf_dir)
     records = records.withColumn("event_time", win.to_instant(records, "ts"))
     totals = win.window_totals(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
-    sink, _ = win.run_bounded(totals, "stream_win_totals", output_mode="complete")
+    sink, _ = win.run_bounded(totals, "stream_win_totals", output_mode="complete",
+                              state_partitions=spark.sparkContext.defaultParallelism)
     return win.read_sink(spark, sink)
 
 
@@ -137,13 +139,15 @@ def q_stream_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     format_lines(_records(spark, sf_dir)).write.text(f"{root}/lines")
     records = with_event_time(parse_lines(read_line_stream(spark, f"{root}/lines")))
     counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
-    sink, _ = win.run_bounded(counts, "stream_line_windows", output_mode="complete")
+    sink, _ = win.run_bounded(counts, "stream_line_windows", output_mode="complete",
+                              state_partitions=spark.sparkContext.defaultParallelism)
     return win.read_sink(spark, sink)
 
 
 def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = win.running_counters(_stream_records(spark, sf_dir))
-    sink, _ = win.run_bounded(counters, "stream_running_counters", output_mode="complete")
+    sink, _ = win.run_bounded(counters, "stream_running_counters", output_mode="complete",
+                              state_partitions=spark.sparkContext.defaultParallelism)
     return win.read_sink(spark, sink)
 
 

@@ -105,12 +105,15 @@ def running_counters(records: DataFrame) -> DataFrame:
 
 def run_bounded(result: DataFrame, name: str, output_mode: str = "append",
                 sink: str | None = None, checkpoint: str | None = None,
-                timeout_seconds: float | None = None) -> tuple[str, StreamingQuery]:
+                timeout_seconds: float | None = None,
+                state_partitions: int | None = None) -> tuple[str, StreamingQuery]:
     """Run a streaming query over all input available now, writing parquet.
 
     ``append`` adds finalised rows; ``complete`` rewrites the whole result
     every micro-batch (for bounded runs and small results). Returns the sink
-    folder and the finished query.
+    folder and the finished query. ``state_partitions`` sizes the state store
+    (fixed in the checkpoint at the first start); by default the session's
+    shuffle partition count is used.
     """
     spark = result.sparkSession
     sink = sink or shared_dir(spark, f"{name}-out")
@@ -120,13 +123,19 @@ def run_bounded(result: DataFrame, name: str, output_mode: str = "append",
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode(mode).parquet(sink)
 
-    query = (
-        result.writeStream.queryName(name).outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(availableNow=True)
-        .start()
-    )
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = (
+            result.writeStream.queryName(name).outputMode(output_mode)
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(write)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     if timeout_seconds is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout_seconds):
