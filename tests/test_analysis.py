@@ -8,6 +8,7 @@ from pcap_builder import write_pcap
 from test_capture import _mixed_packets
 from wirelake.plans.analysis import analyze_captures, start_stream_analysis
 from wirelake.sources.lines import read_line_stream
+from wirelake.streaming.windows import read_sink
 
 
 def test_analyze_captures(spark, scratch):
@@ -45,5 +46,5 @@ def test_stream_analysis(spark, scratch):
             q.stop()
     counters = spark.read.parquet(os.path.join(out, "running_counters")).first()
     assert counters.total_packets == len(range(0, 200, 3))
-    totals = spark.read.parquet(os.path.join(out, "window_totals"))
+    totals = read_sink(spark, os.path.join(out, "window_totals"))
     assert totals.count() > 0

@@ -79,7 +79,8 @@ def start_stream_analysis(lines: DataFrame, out_dir: str, interval_seconds: int
     """Live counters on a streaming DataFrame of CSV lines (``value``).
 
     Windows are four intervals long and slide by one; finished windows are
-    appended to Parquet under ``out_dir`` once the watermark passes them, and
+    appended to Parquet under ``out_dir`` once the watermark passes them (one
+    ``batch_id=`` folder per micro-batch; read with ``windows.read_sink``), and
     the running counters are rewritten every trigger. Returns the running
     queries; call ``stop()`` on them (or ``awaitTermination(seconds)``).
     """
@@ -93,15 +94,10 @@ def start_stream_analysis(lines: DataFrame, out_dir: str, interval_seconds: int
     }
     started = {}
     for name, (result, mode) in outputs.items():
-        sink = f"{out_dir}/{name}"
-        write_mode = "overwrite" if mode == "complete" else "append"
-
-        def write(batch: DataFrame, batch_id: int, sink=sink, write_mode=write_mode) -> None:
-            batch.write.mode(write_mode).parquet(sink)
-
         started[name] = (
             result.writeStream.queryName(name).outputMode(mode)
             .option("checkpointLocation", f"{out_dir}/_checkpoints/{name}")
-            .foreachBatch(write).trigger(processingTime=trigger).start()
+            .foreachBatch(win.batch_writer(f"{out_dir}/{name}", mode))
+            .trigger(processingTime=trigger).start()
         )
     return started

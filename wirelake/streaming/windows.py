@@ -111,17 +111,16 @@ def run_bounded(result: DataFrame, name: str, output_mode: str = "append",
 
     ``append`` adds finalised rows; ``complete`` rewrites the whole result
     every micro-batch (for bounded runs and small results). Returns the sink
-    folder and the finished query. ``state_partitions`` sizes the state store
+    folder and the finished query. Writes are idempotent: a micro-batch that
+    is replayed after a failure rewrites its own ``batch_id=`` folder
+    (append) or the whole result (complete) instead of adding rows twice. ``state_partitions`` sizes the state store
     (fixed in the checkpoint at the first start); by default the session's
     shuffle partition count is used.
     """
     spark = result.sparkSession
     sink = sink or shared_dir(spark, f"{name}-out")
     checkpoint = checkpoint or shared_dir(spark, f"{name}-chk")
-    mode = "overwrite" if output_mode == "complete" else "append"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode(mode).parquet(sink)
+    write = batch_writer(sink, output_mode)
 
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     if state_partitions:
@@ -145,11 +144,23 @@ def run_bounded(result: DataFrame, name: str, output_mode: str = "append",
     return sink, query
 
 
+def batch_writer(sink: str, output_mode: str):
+    """``foreachBatch`` function writing Parquet idempotently (see ``run_bounded``)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if output_mode == "complete":
+            batch.write.mode("overwrite").parquet(sink)
+        else:
+            batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    return write
+
+
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(sink)
+    df = reader.parquet(sink)
+    return df.drop("batch_id") if "batch_id" in df.columns else df
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
