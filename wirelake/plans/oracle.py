@@ -181,8 +181,6 @@ def feature_queries() -> dict[str, str]:
     }
 
 
-
-
 CONTRACT_COLS = ("packet_no, has_ip, src_ip, dst_ip, is_tcp, is_udp, is_icmp, is_http, is_dns, "
                  "tcp_flags, packet_size")
 
@@ -266,14 +264,6 @@ def stream_queries() -> dict[str, str]:
     }
 
 
-def all_oracles() -> dict[str, str]:
-    out = {}
-    out.update(feature_queries())
-    out.update(panels())
-    out.update(stream_queries())
-    return out
-
-
 _FC = ["packet_count", "total_bytes", "unique_src_ips", "unique_dst_ips", "tcp_packet_count", "udp_packet_count",
        "icmp_packet_count", "http_packet_count", "dns_packet_count", "avg_packet_size", "protocol_diversity",
        "connection_density", "syn_flood_indicator"]
@@ -327,10 +317,8 @@ def cluster_queries() -> dict[str, str]:
     }
 
 
-_base_all_oracles = all_oracles
-
-
-def all_oracles() -> dict[str, str]:  # noqa: F811
-    out = _base_all_oracles()
-    out.update(cluster_queries())
+def all_oracles() -> dict[str, str]:
+    out = {}
+    for group in (feature_queries, panels, stream_queries, cluster_queries):
+        out.update(group())
     return out
