@@ -27,6 +27,8 @@ def test_analyze_captures(spark, scratch):
     trend = [r.filename for r in res.panels["protocol_trend"].collect()]
     assert trend[::5] == ["c0.pcap", "c1.pcap", "c2.pcap", "c3.pcap"]  # input order
     assert spark.sql("SELECT COUNT(*) AS n FROM network_traffic").first().n == 4
+    empty = res.panels["protocol_long"].filter("filename = 'c2.pcap'").collect()
+    assert len(empty) == 5 and all(r["count"] == 0 and r.percentage == 0.0 for r in empty)
     report = os.path.join(res.report_path)
     assert any(f.startswith("part-") for f in os.listdir(report))
 
@@ -37,7 +39,8 @@ def test_stream_analysis(spark, scratch):
     with open(os.path.join(src, "a.txt"), "w") as f:
         f.write("\n".join(f"{t},{'TCP' if t % 2 else 'UDP'},a,b,{10 + t}" for t in range(0, 200, 3)) + "\n")
     out = os.path.join(scratch, "out")
-    queries = start_stream_analysis(read_line_stream(spark, src), out, interval_seconds=1, watermark="5 seconds")
+    queries = start_stream_analysis(read_line_stream(spark, src), out, interval_seconds=1, watermark="5 seconds",
+                                    console=True)
     try:
         for q in queries.values():
             q.processAllAvailable()

@@ -37,7 +37,8 @@ def main(argv: list[str] | None = None) -> None:
         from wirelake.plans.analysis import start_stream_analysis
         from wirelake.sources.lines import read_line_stream
 
-        queries = start_stream_analysis(read_line_stream(spark, args.lines_dir), args.out_dir, args.interval)
+        queries = start_stream_analysis(read_line_stream(spark, args.lines_dir), args.out_dir, args.interval,
+                                        console=True)
         spark.streams.awaitAnyTermination(args.seconds)
         for q in queries.values():
             q.stop()

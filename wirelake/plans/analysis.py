@@ -75,14 +75,15 @@ def analyze_captures(spark: SparkSession, paths: list[str] | DataFrame, out_dir:
 
 
 def start_stream_analysis(lines: DataFrame, out_dir: str, interval_seconds: int = 5,
-                          watermark: str = "1 minute") -> dict[str, StreamingQuery]:
+                          watermark: str = "1 minute", console: bool = False) -> dict[str, StreamingQuery]:
     """Live counters on a streaming DataFrame of CSV lines (``value``).
 
     Windows are four intervals long and slide by one; finished windows are
     appended to Parquet under ``out_dir`` once the watermark passes them (one
     ``batch_id=`` folder per micro-batch; read with ``windows.read_sink``), and
-    the running counters are rewritten every trigger. Returns the running
-    queries; call ``stop()`` on them (or ``awaitTermination(seconds)``).
+    the running counters are rewritten every trigger. With ``console`` the
+    results are also printed at each trigger (for a user at a terminal).
+    Returns the running queries; call ``stop()`` on them.
     """
     records = win.with_watermark(with_event_time(parse_lines(lines)), "event_time", watermark)
     length, slide = win.default_window(interval_seconds)
@@ -100,4 +101,10 @@ def start_stream_analysis(lines: DataFrame, out_dir: str, interval_seconds: int
             .foreachBatch(win.batch_writer(f"{out_dir}/{name}", mode))
             .trigger(processingTime=trigger).start()
         )
+        if console:
+            started[f"{name}_console"] = (
+                result.writeStream.queryName(f"{name}_console").outputMode(mode).format("console")
+                .option("truncate", "false").option("checkpointLocation", f"{out_dir}/_checkpoints/{name}_console")
+                .trigger(processingTime=trigger).start()
+            )
     return started
