@@ -59,18 +59,21 @@ def q_header_decode(view):
     return lambda spark, sf_dir: _decoded(view(spark, sf_dir, spread_rows=True)).select(*CONTRACT)
 
 
-def q_capture_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1-A3 end to end: the events packets are encoded, written as capture part files
-    (one per task and capture), ingested back through the distributed reader,
-    and their features computed per capture folder."""
-    root = shared_dir(spark, "capture-roundtrip")
-    frames = pad_to_size(encode_frames(packets_events(spark, sf_dir, spread_rows=True),
-                                       keep=["filename", "ts", "packet_size"]))
-    write_captures(frames, f"{root}/captures").write.parquet(f"{root}/written")
-    written = spark.read.parquet(f"{root}/written").select("path")
-    ingest = ingest_captures(spark, written, f"{root}/ingest")
-    packets = ingest.packets.withColumn("filename", F.element_at(F.split("path", "/"), -2))
-    return feat.feature_table(packets, ["filename"])
+def q_capture_roundtrip(view):
+    """A1-A3 end to end: packets are encoded, written as capture part files (one per
+    task and capture), ingested back through the distributed reader, and their
+    features computed per capture folder."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_dir(spark, "capture-roundtrip")
+        frames = pad_to_size(encode_frames(view(spark, sf_dir, spread_rows=True),
+                                           keep=["filename", "ts", "packet_size"]))
+        write_captures(frames, f"{root}/captures").write.parquet(f"{root}/written")
+        written = spark.read.parquet(f"{root}/written").select("path")
+        ingest = ingest_captures(spark, written, f"{root}/ingest")
+        packets = ingest.packets.withColumn("filename", F.element_at(F.split("path", "/"), -2))
+        return feat.feature_table(packets, ["filename"])
+
+    return run
 
 
 def q_syn_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +208,8 @@ def catalog() -> dict[str, Query]:
         # Headers and lines
         "header_decode": q_header_decode(packets_events),
         "header_decode_volume": q_header_decode(packets_lineitem),
-        "capture_roundtrip": q_capture_roundtrip,
+        "capture_roundtrip": q_capture_roundtrip(packets_events),
+        "capture_roundtrip_volume": q_capture_roundtrip(packets_lineitem),
         "line_format": lambda s, d: format_lines(_records(s, d)),
         "line_parse": q_line_parse,
         # F: windows and counters, batch then streaming

@@ -154,16 +154,18 @@ FRAME_LEN = """CASE WHEN has_ip THEN 14 + CASE WHEN is_udp AND NOT is_tcp THEN 4
                     ELSE 42 END"""
 
 
-def roundtrip_sql() -> str:
+def roundtrip_sql(view: str = "events") -> str:
+    source = PACKETS_EVENTS if view == "events" else PACKETS_LINEITEM
     padded = ("packets", f"SELECT * REPLACE (GREATEST(packet_size, {FRAME_LEN}) AS packet_size) "
-                         f"FROM ({PACKETS_EVENTS}) p")
+                         f"FROM ({source}) p")
     ctes = [padded, ("agg", FEATURES_AGG), ("features", FEATURES_SELECT)]
     return with_ctes("SELECT * FROM features", *ctes)
 
 
 def feature_queries() -> dict[str, str]:
     return {
-        "capture_roundtrip": roundtrip_sql(),
+        "capture_roundtrip": roundtrip_sql("events"),
+        "capture_roundtrip_volume": roundtrip_sql("lineitem"),
         "features": features_sql("events"),
         "features_volume": features_sql("lineitem"),
         "features_tcp_only": features_sql("events", where="is_tcp"),
