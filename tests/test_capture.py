@@ -244,3 +244,11 @@ def test_folder_listing_and_partition_pruning(spark, scratch):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(filename" in plan and "x.pcap" in plan
     assert one.count() == 80
+
+
+def test_ingest_with_nothing_readable(spark, scratch):
+    bad = os.path.join(scratch, "bad.pcap")
+    write_pcap(bad, [], magic=0x1234)
+    res = ingest_captures(spark, [bad, os.path.join(scratch, "missing.pcap")], os.path.join(scratch, "out"))
+    assert res.packets.count() == 0 and res.rejected.count() == 2
+    assert feature_table(res.packets, ["path", "filename"], captures=res.captures).count() == 0
