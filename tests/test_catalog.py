@@ -68,7 +68,7 @@ def test_features_shuffle_key_includes_addresses(spark):
 
 
 @pytest.mark.parametrize("name", ["line_format", "line_parse", "win_protocol_counts", "stream_win_protocol_counts",
-                                  "stream_line_windows", "features"])
+                                  "stream_line_windows", "stream_win_append", "features"])
 def test_results_do_not_depend_on_session_time_zone(spark, con, name):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

@@ -147,6 +147,19 @@ def q_stream_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.read_sink(spark, sink)
 
 
+WATERMARK = "2 hours"
+
+
+def q_stream_win_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 + F7: append mode behind a watermark. A bounded run emits exactly the windows that
+    end at or before the final watermark (latest event time minus the delay)."""
+    records = win.with_watermark(_stream_records(spark, sf_dir), "ts", WATERMARK)
+    counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
+    sink, _ = win.run_bounded(counts, "stream_win_append", output_mode="append",
+                              state_partitions=spark.sparkContext.defaultParallelism)
+    return win.read_sink(spark, sink, schema=counts.schema)
+
+
 def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = win.running_counters(_stream_records(spark, sf_dir))
     sink, _ = win.run_bounded(counters, "stream_running_counters", output_mode="complete",
@@ -222,6 +235,7 @@ def catalog() -> dict[str, Query]:
         "stream_running_counters": q_stream_running_counters,
         "stream_win_totals": q_stream_win_totals,
         "stream_line_windows": q_stream_line_windows,
+        "stream_win_append": q_stream_win_append,
         # E: clustering, R: report
         "choose_k": _panel(cluster.choose_k),
         "assign_fixed_centres": lambda s, d: _fixed_labels(s, d).select("filename", "prediction"),

@@ -263,6 +263,9 @@ def stream_queries() -> dict[str, str]:
         "stream_win_totals": with_ctes("SELECT window_start, window_end, bytes, packets, avg_packet_size FROM totals_w",
                                        p, RECORDS, WINDOWED, WIN_TOTALS),
         "stream_line_windows": win_counts,
+        "stream_win_append": with_ctes(
+            "SELECT * FROM wc WHERE window_end <= (SELECT MAX(ts) FROM rec) - INTERVAL 2 HOUR",
+            p, RECORDS, WINDOWED, ("wc", WIN_PROTOCOL)),
     }
 
 
