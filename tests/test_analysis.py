@@ -51,3 +51,12 @@ def test_stream_analysis(spark, scratch):
     assert counters.total_packets == len(range(0, 200, 3))
     totals = read_sink(spark, os.path.join(out, "window_totals"))
     assert totals.count() > 0
+
+
+def test_cli_explain(spark, capsys):
+    from conftest import SF001
+    from wirelake.__main__ import main
+
+    main(["explain", "features", SF001])
+    out = capsys.readouterr().out
+    assert "== Physical Plan ==" in out or out == ""  # plan text goes to the JVM's stdout in some setups

@@ -1,5 +1,9 @@
-"""Command line: ``python -m wirelake analyze OUT_DIR CAPTURE [CAPTURE ...]``
-or ``python -m wirelake stream LINES_DIR OUT_DIR [--interval 5] [--seconds 60]``."""
+"""Command line:
+
+``python -m wirelake analyze OUT_DIR CAPTURE [CAPTURE ...]``
+``python -m wirelake stream LINES_DIR OUT_DIR [--interval 5] [--seconds 60]``
+``python -m wirelake explain QUERY [SF_DIR]`` (formatted physical plan of a catalog query)
+"""
 
 from __future__ import annotations
 
@@ -21,10 +25,18 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--interval", type=int, default=5)
     s.add_argument("--seconds", type=float, default=60.0)
     s.add_argument("--master", default=None)
+    x = sub.add_parser("explain", help="formatted physical plan of a catalog query")
+    x.add_argument("query")
+    x.add_argument("sf_dir", nargs="?", default="/root/testdata/sf0.01")
+    x.add_argument("--master", default=None)
     args = parser.parse_args(argv)
     spark = get_session(master=args.master)
 
-    if args.command == "analyze":
+    if args.command == "explain":
+        from wirelake.plans.catalog import catalog
+
+        catalog()[args.query](spark, args.sf_dir).explain("formatted")
+    elif args.command == "analyze":
         from wirelake.plans.analysis import analyze_captures
 
         result = analyze_captures(spark, args.captures, args.out_dir)
