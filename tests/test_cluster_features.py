@@ -87,3 +87,21 @@ def test_report_text(spark, scratch):
     assert "  - TCP: " in text and "=== Clustering Results ===" in text
     assert rows[-2].startswith("Silhouette Score: ")
     assert text.count("File: ") == features.count()
+
+
+def test_hot_capture_spreads_over_partitions(spark):
+    """One capture with over a third of all packets: its edges spread over the shuffle partitions."""
+    packets = packets_lineitem(spark, "/root/testdata/sf0.01").withColumn(
+        "filename", F.when(F.col("packet_no") % 3 == 0, F.lit("hot.pcap")).otherwise(F.col("filename")))
+    a = feat.feature_table(packets)
+    b = feat.feature_table_direct(packets).select(a.columns)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # look at the raw shuffle layout
+    try:
+        edges = feat.edge_table(packets, ["filename"]).filter(F.col("filename") == "hot.pcap")
+        sizes = [r["count"] for r in edges.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(sizes) <= 2 * (sum(sizes) / len(sizes))
