@@ -11,28 +11,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+# Unique keys of the driver tables: hashing on them spreads rows evenly and
+# deterministically (a retried task gets the same rows) without a sort.
+TABLE_KEYS = {"events": ["event_id"], "lineitem": ["l_orderkey", "l_linenumber"]}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+    return spread(df, TABLE_KEYS.get(name)) if spread_rows else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan plans fewer splits.
+def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Spread the rows over the cluster's cores when the scan plans fewer splits.
 
-    A file stored as one row group is read by one task, and every narrow
-    step after it (header decoding, line parsing) would run on one core. On
-    a cluster reading many large files the scan already has enough splits
-    and this is a no-op. Filters and column pruning still reach the scan.
+    A file stored as one row group is read by one task, and every step after
+    it up to the first shuffle would run on one core. Rows are hashed on a
+    unique key when one is given (even, deterministic, no sort), else
+    distributed round-robin. On a cluster reading many large files the scan
+    already has enough splits and this is a no-op. Filters and column pruning
+    still reach the scan.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
-def packets_events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+def packets_events(spark: SparkSession, sf_dir: str, spread_rows: bool = True) -> DataFrame:
     """30 captures (one per day of month); ``error`` rows are the non-IPv4 packets.
 
-    ``spread_rows`` for per-row heavy work (decoding, text); aggregations do
-    better without: their partial aggregate runs before any shuffle.
+    ``spread_rows``: see ``spread`` (a no-op when the scan has enough splits).
     """
     return packets_from_events(read_table(spark, sf_dir, "events", spread_rows))
 
@@ -62,7 +70,7 @@ def packets_from_events(e: DataFrame) -> DataFrame:
     )
 
 
-def packets_lineitem(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+def packets_lineitem(spark: SparkSession, sf_dir: str, spread_rows: bool = True) -> DataFrame:
     """12 captures by supplier; the volume view for benchmarks (day-granular time)."""
     li = read_table(spark, sf_dir, "lineitem", spread_rows)
     rf, ls, ln = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
