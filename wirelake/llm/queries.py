@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import exact_dedup, mixing
+from wirelake.llm import byte_bpe, exact_dedup, mixing, token_count
 from wirelake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,26 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
         "op5_exact_dedup": op5_exact_dedup,
+        "op7_token_count": op7_token_count,
+        "op8_byte_bpe": op8_byte_bpe,
     }
 
 
