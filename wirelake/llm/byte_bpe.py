@@ -18,6 +18,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from wirelake.llm.common import byte_slices, texts_of
 
 WIDTHS = (4, 8, 12, 16, 24, 32, 64, 128, 256)
 CELLS = 1 << 20       # most cells in one matrix
-MEMORY = 150_000      # distinct pre-tokens that a worker remembers before it starts anew
+MEMORY = 400_000      # distinct pre-tokens that a worker remembers before it starts anew
 SLICE_BYTES = 2 << 20
 NONE = np.int32(2**31 - 1)
 
@@ -36,27 +37,40 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in raw.splitlines() if line)}
 
 
+def split_pairs(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every way to join two vocabulary entries into a third: left ids, right ids, joined ids."""
+    pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+    return tuple(np.array(pairs, dtype=np.int64).reshape(-1, 3).T)
+
+
 class PairTable:
-    """(left id, right id) -> rank of the joined bytes, by open addressing in numpy arrays."""
+    """(left id, right id) -> id of the joined token, which is also its rank; open addressing in numpy arrays."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        left, right, rank = (np.array(x, dtype=np.uint64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.uint64),) * 3
-        self.bits = max(4, int(len(pairs) * 3).bit_length())
+    def __init__(self, left: np.ndarray, right: np.ndarray, rank: np.ndarray):
+        self.bits = max(4, int(len(rank) * 3).bit_length())
         self.mask = np.uint64((1 << self.bits) - 1)
         self.keys = np.full(1 << self.bits, np.uint64(2**64 - 1))
         self.values = np.full(1 << self.bits, NONE, dtype=np.int32)
-        keys = (left << np.uint64(32)) | right
+        self._pairs: dict[int, int] | None = None
+        keys = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
         slots, todo = self._slot(keys), np.arange(len(keys))
         while len(todo):
             at = slots[todo]
             free = self.keys[at] == np.uint64(2**64 - 1)
             self.keys[at[free]] = keys[todo[free]]  # of several rows for one slot the last stays; the others go on
             mine = self.keys[at] == keys[todo]
-            self.values[at[mine]] = rank[todo[mine]].astype(np.int32)
+            self.values[at[mine]] = rank[todo[mine]]
             todo = todo[~mine]
             slots[todo] = (slots[todo] + np.uint64(1)) & self.mask
 
+    @property
+    def pairs(self) -> dict[int, int]:
+        """The same as a dictionary, made when the first very long piece needs it."""
+        if self._pairs is None:
+            used = self.values != NONE
+            self._pairs = dict(zip(self.keys[used].tolist(), self.values[used].tolist()))
+        return self._pairs
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
 
@@ -75,76 +89,84 @@ class PairTable:
         return flat.reshape(left.shape)
 
 
-def merge_matrix(ids: np.ndarray, table: PairTable) -> list[np.ndarray]:
-    """Merge every row of a matrix of byte ids (padding -1) until no pair of it has a rank."""
-    rows, width = ids.shape
-    done: list[np.ndarray | None] = [None] * rows
-    where = np.arange(rows)
+def merge_matrix(ids: np.ndarray, table: PairTable) -> np.ndarray:
+    """Merge every row of a matrix of byte ids (padding -1) until no pair of it has a rank; same shape, padding -1."""
+    out = np.full_like(ids, -1)
+    where, columns = np.arange(len(ids)), np.arange(ids.shape[1])
     ranks = table.ranks_of(ids[:, :-1], ids[:, 1:])
-    columns = np.arange(width)
     while len(where):
+        width = ids.shape[1]
+        if width < 2:
+            out[where, :width] = ids
+            break
+        every = np.arange(len(where))
         at = ranks.argmin(axis=1)  # the first of equal minima: the leftmost
-        best = ranks[np.arange(len(where)), at]
+        best = ranks[every, at]
         ended = best == NONE
         if ended.any():
-            for row in np.flatnonzero(ended):
-                full = ids[row]
-                done[where[row]] = full[: np.count_nonzero(full >= 0)].copy()
-            go = ~ended
-            ids, ranks, where, at, best = ids[go], ranks[go], where[go], at[go], best[go]
-            if not len(where):
-                break
-        every = np.arange(len(where))
+            out[where[ended], :width] = ids[ended]
+            ids, ranks, where, at, best = ids[~ended], ranks[~ended], where[~ended], at[~ended], best[~ended]
+            every = every[: len(where)]
         ids[every, at] = best  # a joined token's id is its rank
-        width = ids.shape[1]
-        shift = columns[:width] + (columns[:width] > at[:, None])
-        ids = np.take_along_axis(np.concatenate([ids, np.full((len(where), 1), -1, ids.dtype)], axis=1), shift, axis=1)[:, : width - 1]
-        pair_shift = columns[: width - 2] + (columns[: width - 2] >= at[:, None] + 1)
-        ranks = np.take_along_axis(ranks, pair_shift, axis=1) if width > 2 else np.empty((len(where), 0), np.int32)
-        if ids.shape[1] < 2:
-            for row in every:
-                done[where[row]] = ids[row][ids[row] >= 0].copy()
-            break
-        right = at < ids.shape[1] - 1
-        r, c = every[right], at[right]
+        later = columns[: width - 1] > at[:, None]
+        ids = np.where(later, ids[:, 1:], ids[:, :-1])
+        ranks = np.where(later[:, : width - 2], ranks[:, 1:], ranks[:, :-1])
+        has = at < width - 2
+        r, c = every[has], at[has]
         ranks[r, c] = table.ranks_of(ids[r, c], ids[r, c + 1])
-        left = at > 0
-        r, c = every[left], at[left]
-        ranks[r, c - 1] = table.ranks_of(ids[r, c - 1], ids[r, c])
-    return done
+        has = at > 0
+        r, c = every[has], at[has] - 1
+        ranks[r, c] = table.ranks_of(ids[r, c], ids[r, c + 1])
+    return out
 
 
-def merge_long(piece: bytes, ranks: dict[bytes, int]) -> np.ndarray:
+def merge_long(ids: list[int], pairs: dict[int, int]) -> np.ndarray:
     """The same merges for one very long piece: a linked list of tokens and a heap of (rank, position)."""
-    n = len(piece)
-    end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # token at i covers piece[i:end[i]]; end[i] is the next token
-    alive, heap = [True] * n, []
+    n, ids = len(ids), list(ids)
+    after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
 
     def offer(i: int) -> None:
-        j = end[i]
+        j = after[i]
         if j < n:
-            rank = ranks.get(piece[i : end[j]])
+            rank = pairs.get(ids[i] << 32 | ids[j])
             if rank is not None:
-                heapq.heappush(heap, (rank, i, end[j]))
+                heapq.heappush(heap, (rank, i, ids[i], ids[j]))
 
     for i in range(n - 1):
         offer(i)
     while heap:
-        _, i, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] >= n or end[end[i]] != stop:
+        rank, i, left, right = heapq.heappop(heap)
+        j = after[i]
+        if ids[i] != left or j >= n or ids[j] != right:
             continue  # one of the two tokens has been merged meanwhile
-        alive[end[i]] = False
-        end[i] = stop
-        if stop < n:
-            before[stop] = i
+        ids[i], ids[j] = rank, -1
+        after[i] = after[j]
+        if after[i] < n:
+            before[after[i]] = i
         offer(i)
         if before[i] >= 0:
             offer(before[i])
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i : end[i]]])
-        i = end[i]
-    return np.array(out, dtype=np.int32)
+    return np.array([t for t in ids if t >= 0], dtype=np.int32)
+
+
+def merge_pieces(pieces: list[bytes], byte_ids: np.ndarray, table: PairTable) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(positions in ``pieces``, their ids one after another, ids per piece), by length class."""
+    sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+    classes = np.searchsorted(WIDTHS, sizes)
+    for k in np.unique(classes):
+        members = np.flatnonzero(classes == k)
+        if k == len(WIDTHS):
+            for i in members:
+                merged = merge_long(byte_ids[np.frombuffer(pieces[i], dtype=np.uint8)].tolist(), table.pairs)
+                yield np.array([i]), merged, np.array([len(merged)])
+            continue
+        width = WIDTHS[k]
+        for at in range(0, len(members), CELLS // width):
+            part = members[at : at + CELLS // width]
+            block = np.frombuffer(b"".join([pieces[i].ljust(width, b"\0") for i in part.tolist()]), dtype=np.uint8).reshape(-1, width)
+            merged = merge_matrix(np.where(np.arange(width) < sizes[part, None], byte_ids[block], -1).astype(np.int32), table)
+            filled = merged >= 0
+            yield part, merged[filled], filled.sum(axis=1)
 
 
 class Codec:
@@ -155,7 +177,7 @@ class Codec:
 
         self.ranks = read_ranks(raw)
         self.find = regex.compile(pattern).findall
-        self.table = PairTable(self.ranks)
+        self.table = PairTable(*split_pairs(self.ranks))
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         words = [b""] * (max(self.ranks.values()) + 1)
         for t, r in self.ranks.items():
@@ -171,40 +193,28 @@ class Codec:
         self.starts, self.lens = np.zeros(1 << 15, dtype=np.int64), np.zeros(1 << 15, dtype=np.int64)
         self.used = 0
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        classes: dict[int, list[int]] = {}
-        for k, p in enumerate(pieces):
-            whole = self.ranks.get(p)
-            if whole is not None:
-                out[k] = np.array([whole], dtype=np.int32)
-            elif len(p) > WIDTHS[-1]:
-                out[k] = merge_long(p, self.ranks)
-            else:
-                classes.setdefault(next(w for w in WIDTHS if len(p) <= w), []).append(k)
-        for width, members in classes.items():
-            for at in range(0, len(members), max(1, CELLS // width)):
-                part = members[at : at + max(1, CELLS // width)]
-                block = np.frombuffer(b"".join(pieces[k].ljust(width, b"\0") for k in part), dtype=np.uint8).reshape(-1, width)
-                sizes = np.array([len(pieces[k]) for k in part])
-                ids = np.where(np.arange(width) < sizes[:, None], self.byte_ids[block], -1).astype(np.int32)
-                for k, merged in zip(part, merge_matrix(ids, self.table)):
-                    out[k] = merged
-        return out
-
     def _remember(self, new: list[str]) -> None:
-        merged = self.encode_pieces([p.encode() for p in new])
-        sizes = np.array([len(m) for m in merged], dtype=np.int64)
-        total, count = int(sizes.sum()), len(self.known)
-        while self.used + total > len(self.store):
+        pieces = [p.encode() for p in new]
+        whole = [self.ranks.get(p, -1) for p in pieces]
+        entry = np.array(whole, dtype=np.int64)
+        rest = np.flatnonzero(entry < 0).tolist()
+        entry = np.flatnonzero(entry >= 0)
+        self._store([new[i] for i in entry.tolist()], np.array(whole, dtype=np.int32)[entry], np.ones(len(entry), dtype=np.int64))
+        names = [new[i] for i in rest]
+        for part, ids, lens in merge_pieces([pieces[i] for i in rest], self.byte_ids, self.table):
+            self._store([names[i] for i in part.tolist()], ids, lens)
+
+    def _store(self, names: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
+        count = len(self.known)
+        while self.used + len(ids) > len(self.store):
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-        while count + len(new) > len(self.starts):
+        while count + len(names) > len(self.starts):
             self.starts, self.lens = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens))
-        self.store[self.used : self.used + total] = np.concatenate(merged)
-        self.starts[count : count + len(new)] = self.used + np.cumsum(sizes) - sizes
-        self.lens[count : count + len(new)] = sizes
-        self.known.update(zip(new, range(count, count + len(new))))
-        self.used += total
+        self.store[self.used : self.used + len(ids)] = ids
+        self.starts[count : count + len(names)] = self.used + np.cumsum(lens) - lens
+        self.lens[count : count + len(names)] = lens
+        self.known.update(zip(names, range(count, count + len(names))))
+        self.used += len(ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after another, and each text's number of ids."""
@@ -213,11 +223,11 @@ class Codec:
         pieces = [self.find(t) for t in texts]
         new = set().union(*pieces).difference(self.known) if pieces else set()
         if new:
-            self._remember(sorted(new))
-        rows = np.fromiter((self.known[p] for ps in pieces for p in ps), dtype=np.int64, count=sum(map(len, pieces)))
+            self._remember(list(new))
+        per_text = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        rows = np.fromiter(map(self.known.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(per_text.sum()))
         lens = self.lens[rows]
         ids = self.store[ragged(self.starts[rows], lens)]
-        per_text = np.array([len(ps) for ps in pieces], dtype=np.int64)
         bounds = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(per_text)])]
         return ids, np.diff(bounds)
 

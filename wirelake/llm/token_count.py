@@ -3,7 +3,8 @@
 Before the job, ``prove_whole_tokens`` establishes which vocabulary strings the tokenizer encodes, alone
 and as one pre-token, as exactly one token. Tasks split texts into pre-tokens with the tokenizer's own
 split pattern; a pre-token from the proven set counts 1 without any merging, and only the other distinct
-pre-tokens are merged by the tokenizer, once per worker while its bounded memory holds them. A text that
+pre-tokens are merged, once per worker while its bounded memory holds them, by the numpy merge rounds of
+``byte_bpe`` over the tokenizer file's own merge list. A text that
 contains a special token's string goes to the tokenizer whole, which treats such strings in its own way.
 
 Defined cases: a null text counts as empty; empty texts have 0 tokens; texts of any length are counted
@@ -17,13 +18,15 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from wirelake.llm.byte_bpe import PairTable, merge_pieces
 from wirelake.llm.common import byte_slices, texts_of
 
 LIMIT = 512
-MEMORY = 200_000      # distinct merged pre-tokens that a worker remembers before it starts anew
+MEMORY = 400_000      # distinct merged pre-tokens that a worker remembers before it starts anew
 SLICE_BYTES = 4 << 20
 
 
@@ -56,6 +59,28 @@ def prove_whole_tokens(tokenizer_json: str) -> frozenset[str]:
     return frozenset(s for s, e in zip(strings, found) if len(e.ids) == 1)
 
 
+def byte_alphabet() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself,
+    the other bytes, in order, for the characters from U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def merge_table(tokenizer_json: str) -> tuple[np.ndarray, PairTable]:
+    """Ids of the 256 bytes, and the file's merge list as a pair table; ids must follow the merges' order."""
+    model = json.loads(tokenizer_json)["model"]
+    vocab = model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    byte_ids = np.zeros(256, dtype=np.int32)
+    for char, b in byte_alphabet().items():
+        byte_ids[b] = vocab[char]
+    joined = np.array([vocab[a + b] for a, b in merges], dtype=np.int64)
+    if not (np.diff(joined) > 0).all():
+        raise ValueError("token ids must grow along the merge list")
+    return byte_ids, PairTable(*(np.array([vocab[m[k]] for m in merges], dtype=np.int64) for k in (0, 1)), joined)
+
+
 class _Counter:
     """Lives in a Python worker; ``known`` maps a pre-token to its number of tokens."""
 
@@ -68,22 +93,19 @@ class _Counter:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.whole = dict.fromkeys(whole, 1)
         self.known = dict(self.whole)
+        self.byte_ids, self.table = merge_table(tokenizer_json)
 
     def count(self, texts: list[str]) -> list[int]:
-        out = []
-        for text in texts:
-            if any(s in text for s in self.special):
-                out.append(len(self.tok.encode(text, add_special_tokens=False).ids))
-                continue
-            pieces = self.find(text)
-            new = list(set(pieces).difference(self.known))
-            if new:
-                if len(self.known) > MEMORY:
-                    self.known = dict(self.whole)
-                    new = list(set(pieces).difference(self.known))
-                for piece, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-                    self.known[piece] = len(e.ids)
-            out.append(sum(map(self.known.__getitem__, pieces)))
+        special = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
+        pieces = [self.find(t) for t in texts]
+        if len(self.known) > MEMORY:
+            self.known = dict(self.whole)
+        new = list(set().union(*pieces).difference(self.known))
+        for part, _, lens in merge_pieces([p.encode() for p in new], self.byte_ids, self.table):
+            self.known.update(zip([new[i] for i in part.tolist()], lens.tolist()))
+        out = [sum(map(self.known.__getitem__, ps)) for ps in pieces]
+        for k in special:
+            out[k] = len(self.tok.encode(texts[k], add_special_tokens=False).ids)
         return out
 
 
