@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import byte_bpe, exact_dedup, mixing, token_count
+from wirelake.llm import byte_bpe, exact_dedup, mixing, token_count, toxicity
 from wirelake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,12 +34,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_token_count": op7_token_count,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_toxicity": op9_toxicity,
     }
 
 

@@ -72,7 +72,7 @@ def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 def inputs(counts: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Model inputs from the chosen features' counts: presence, and share among the text's words."""
-    density = np.minimum(1.0, 8.0 * counts / np.sqrt(np.maximum(words, 1.0))[:, None] / 4.0)
+    density = np.minimum(1.0, 2.0 * counts / np.sqrt(np.maximum(words, 1.0))[:, None])
     return np.concatenate([(counts > 0).astype(np.float32), density.astype(np.float32)], axis=1)
 
 
@@ -95,7 +95,7 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 2e-3) -> tuple[np.ndarray, float]:
+def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 1200, rate: float = 0.05, decay: float = 2e-4) -> tuple[np.ndarray, float]:
     """Full-batch Adam on the non-negative risk with the logistic loss. When the negative part of the
     estimate falls below zero, only its gradient is followed upwards, as in non-negative PU learning."""
     w, b = np.zeros(pos.shape[1]), float(np.log(prior / (1 - prior)))
