@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wirelake.llm.common import materialise
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD_BITS = 18  # 2**18 words of 64 bits for each of the two hash functions
 
@@ -33,12 +35,8 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def _keyed(docs: DataFrame, text_col: str, id_col: str, word_bits: int) -> DataFrame:
-    """Input row as struct, its id, the normalised text's digest, and its word and bit per hash function."""
-    norm = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
-                       F.sha2(norm.cast("binary"), 256).alias("digest"))
-    return base.select("*", *_places(F.col("digest"), word_bits))
+def _digest(text_col: str) -> Column:
+    return F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)
 
 
 def _places(digest: Column, word_bits: int) -> list[Column]:
@@ -51,25 +49,30 @@ def _places(digest: Column, word_bits: int) -> list[Column]:
     return out
 
 
-def _flagged_words(keyed: DataFrame, k: int) -> DataFrame:
-    bit = F.expr(f"shiftleft(1L, bit{k})")
-    words = keyed.groupBy(F.col(f"word{k}")).agg(F.bit_or(bit).alias("bits"), F.count(F.lit(1)).alias("rows"))
+def _flagged_words(narrow: DataFrame, k: int, word_bits: int) -> DataFrame:
+    placed = narrow.select(*_places(F.col("digest"), word_bits))
+    words = placed.groupBy(F.col(f"word{k}")).agg(F.bit_or(F.expr(f"shiftleft(1L, bit{k})")).alias("bits"), F.count(F.lit(1)).alias("rows"))
     return words.filter(F.bit_count("bits") < F.col("rows")).select(F.col(f"word{k}").alias(f"flag{k}"))
 
 
-def _split(docs: DataFrame, text_col: str, id_col: str, word_bits: int) -> tuple[DataFrame, DataFrame]:
-    """Rows proven unique, and rows that may repeat."""
-    keyed = _keyed(docs, text_col, id_col, word_bits)
-    probed = keyed
+def _split(keyed: DataFrame, narrow: DataFrame, word_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``keyed`` proven unique, and those that may repeat. ``narrow``: the digests of all rows."""
+    probed = keyed.select("*", *_places(F.col("digest"), word_bits))
     for k in (0, 1):
-        probed = probed.join(F.broadcast(_flagged_words(keyed, k)), F.col(f"word{k}") == F.col(f"flag{k}"), "left")
+        probed = probed.join(F.broadcast(_flagged_words(narrow, k, word_bits)), F.col(f"word{k}") == F.col(f"flag{k}"), "left")
     maybe = F.col("flag0").isNotNull() & F.col("flag1").isNotNull()
-    return probed.filter(~maybe).select("row", "id", "digest"), probed.filter(maybe).select("row", "id", "digest")
+    return probed.filter(~maybe).select(*keyed.columns), probed.filter(maybe).select(*keyed.columns)
+
+
+def _narrow(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """(id, digest) of every row, written once: the texts are read and hashed a single time for it."""
+    return materialise(docs.select(F.col(id_col).alias("id"), _digest(text_col).alias("digest")), "digests")
 
 
 def exact_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", word_bits: int = WORD_BITS) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256."""
-    unique, maybe = _split(docs.select(id_col, text_col), text_col, id_col, word_bits)
+    narrow = _narrow(docs, text_col, id_col)
+    unique, maybe = _split(narrow, narrow, word_bits)
     groups = maybe.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     met = maybe.join(groups, "digest")
     out = [F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
@@ -80,8 +83,10 @@ def exact_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
 def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", word_bits: int = WORD_BITS) -> DataFrame:
     """The input without repeats: of equal texts one row with the largest id stays, all columns as they came."""
-    unique, maybe = _split(docs, text_col, id_col, word_bits)
-    winners = maybe.groupBy("digest").agg(F.max("id").alias("keep_id"))
+    narrow = _narrow(docs, text_col, id_col)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), _digest(text_col).alias("digest"))
+    unique, maybe = _split(keyed, narrow, word_bits)
+    winners = _split(narrow, narrow, word_bits)[1].groupBy("digest").agg(F.max("id").alias("keep_id"))
     kept = maybe.join(winners, "digest").filter(F.col("id").eqNullSafe(F.col("keep_id")))
     one = kept.groupBy("digest").agg(F.first("row").alias("row"))
     return unique.select("row.*").unionByName(one.select("row.*"))
