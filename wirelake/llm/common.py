@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wirelake.session import shared_dir
@@ -47,7 +48,7 @@ def text_or_empty(col: str = "text") -> Column:
 
 def byte_slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column that hold about ``limit`` bytes each (one row at least)."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
     ends = np.cumsum(sizes)
     start = 0
     while start < len(sizes):

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
 from wirelake.llm.byte_bpe import PairTable, merge_pieces
@@ -129,8 +130,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, text_
             for start, stop in byte_slices(texts, SLICE_BYTES):
                 tokens += counter.count(texts_of(texts, start, stop))
             n = pa.array(tokens, pa.int64())
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, sizes, n, pa.compute.greater(n, limit)], ["id", "n_bytes", "n_tokens", "over_limit"])
+            sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, sizes, n, pc.greater(n, limit)], ["id", "n_bytes", "n_tokens", "over_limit"])
 
     picked = docs.select(docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].alias("text"))
     schema = T.StructType([T.StructField("id", picked.schema["id"].dataType), T.StructField("n_bytes", T.LongType()),
