@@ -299,26 +299,26 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "token_ids", id_c
     return picked.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str | None = None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Encode and decode in one pass; one row per document: id, n_tokens, ids_sha256, decoded_sha256."""
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str | None = None, text_col: str = "text", id_col: str = "doc_id",
+               with_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass; one row per document: id, n_tokens, ids_sha256, decoded_sha256, and token_ids if wanted."""
     shared = _shared(docs, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
         for batch in batches:
-            counts, coded, decoded = [], [], []
             for start, stop in byte_slices(batch.column(1), SLICE_BYTES):
                 ids, sizes = codec.encode(texts_of(batch.column(1), start, stop))
-                raw, at = ids.astype("<u4"), 0
-                for n in sizes.tolist():
-                    coded.append(hashlib.sha256(raw[at : at + n].tobytes()).hexdigest())
-                    decoded.append(hashlib.sha256(codec.decode(ids[at : at + n])).hexdigest())
-                    counts.append(n)
-                    at += n
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],
-                                             ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                bounds = np.concatenate([[0], np.cumsum(sizes)])
+                raw, spans = ids.astype("<u4"), list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+                columns = [batch.column(0).slice(start, stop - start), pa.array(sizes, pa.int64()),
+                           pa.array([hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in spans], pa.string()),
+                           pa.array([hashlib.sha256(codec.decode(ids[a:b])).hexdigest() for a, b in spans], pa.string())]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)))
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded_sha256", "token_ids"][: len(columns)])
 
     picked = _picked(docs, id_col, text_col)
-    schema = T.StructType([picked.schema["id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                           T.StructField("decoded_sha256", T.StringType())])
-    return picked.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+              T.StructField("token_ids", T.ArrayType(T.IntegerType()))]
+    return picked.mapInArrow(run, T.StructType([picked.schema["id"], *fields[: 4 if with_ids else 3]])).withColumnRenamed("id", id_col)
