@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import byte_bpe, exact_dedup, mixing, near_dedup, token_count, toxicity
+from wirelake.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, token_count, toxicity
 from wirelake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
@@ -51,6 +55,7 @@ def llm_queries() -> dict[str, Query]:
         "op7_token_count": op7_token_count,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_toxicity": op9_toxicity,
+        "op10_fingerprints": op10_fingerprints,
     }
 
 
