@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, token_count, toxicity
+from wirelake.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, secret_scan, token_count, toxicity
 from wirelake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read_table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return secret_scan.digest_columns(secret_scan.find_secrets(docs, secret_scan.train(docs)))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_secret_scan": op2_secret_scan,
         "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_token_count": op7_token_count,
