@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, secret_scan, token_count, toxicity
+from wirelake.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, passage_dedup, secret_scan, token_count, toxicity
 from wirelake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.repeated_spans(read_table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -58,6 +62,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_secret_scan": op2_secret_scan,
         "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_passage_dedup": op6_passage_dedup,
         "op7_token_count": op7_token_count,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_toxicity": op9_toxicity,
