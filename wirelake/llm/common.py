@@ -97,3 +97,36 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=total[1:])
     raw = (total[ends] - total[starts]) * down[starts]
     return mix64(raw + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+class Index:
+    """uint64 keys -> positions in the key array, by open addressing in numpy arrays."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(2 * len(keys) + 1).bit_length())
+        self.mask = np.uint64((1 << self.bits) - 1)
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.at = np.full(1 << self.bits, -1, dtype=np.int64)
+        slots, todo = self._slot(keys), np.arange(len(keys))
+        while len(todo):
+            free = self.at[slots] < 0
+            self.at[slots[free]] = todo[free]  # of several for one slot the last stays; the others go on
+            self.keys[slots[free]] = keys[todo[free]]
+            go = self.keys[slots] != keys[todo]
+            todo, slots = todo[go], (slots[go] + np.uint64(1)) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys ^ (keys >> np.uint64(29))) * np.uint64(ODD)) >> np.uint64(64 - self.bits)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Positions, -1 for keys that are not there."""
+        slots = self._slot(keys)
+        out = self.at[slots]
+        todo = np.flatnonzero((out >= 0) & (self.keys[slots] != keys))
+        slots = slots[todo]
+        while len(todo):
+            slots = (slots + np.uint64(1)) & self.mask
+            out[todo] = self.at[slots]
+            go = (out[todo] >= 0) & (self.keys[slots] != keys[todo])
+            todo, slots = todo[go], slots[go]
+        return out

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, passage_dedup, secret_scan, token_count, toxicity
+from wirelake.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, passage_dedup, perplexity, secret_scan, token_count, toxicity
 from wirelake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_columns(secret_scan.find_secrets(docs, secret_scan.train(docs)))
 
 
+def op3_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
         "op2_secret_scan": op2_secret_scan,
+        "op3_perplexity": op3_perplexity,
         "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_passage_dedup": op6_passage_dedup,
