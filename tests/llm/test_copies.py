@@ -1,0 +1,238 @@
+"""Near dedup, passage dedup and fingerprints against plain Python."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import xxhash
+
+from tests.llm.fixtures import awkward, awkward_rows, empty, prose, table
+from wirelake.llm import components, fingerprints, near_dedup, passage_dedup
+
+
+def plain_distance(a: list, b: list) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def edited(words: list, edits: int, rng: random.Random) -> list:
+    words = list(words)
+    for _ in range(edits):
+        k = rng.randrange(len(words))
+        words[k : k + 1] = rng.choice([[], ["new"], [words[k], "more"]])
+    return words
+
+
+def test_banded_alignment():
+    rng = random.Random(5)
+    pairs, limits = [], []
+    for _ in range(300):
+        a = [rng.randrange(6) for _ in range(rng.randrange(60))]
+        b = [rng.randrange(6) for _ in range(rng.randrange(60))] if rng.random() < 0.3 else [x for x in a if rng.random() > 0.15]
+        pairs.append((np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)))
+        limits.append(rng.randrange(30))
+    for (a, b), limit, d in zip(pairs, limits, near_dedup.edit_distances(pairs, limits)):
+        true = plain_distance(a.tolist(), b.tolist())
+        assert d == (true if true <= limit else -1)
+
+
+def test_sketches_follow_edit_order():
+    words = near_dedup.word_hashes(prose(200, 1))
+    turned = np.concatenate([words[100:], words[:100]])
+    same, half = near_dedup.sketch(words), near_dedup.sketch(turned)
+    assert (same == near_dedup.sketch(words.copy())).all() and (same == half).mean() < 0.5
+    twice = near_dedup.numbered_kmers(np.concatenate([words, words]))
+    assert len(set(twice.tolist())) == len(twice)  # repeats are told apart
+
+
+def plain_classes(texts: dict) -> dict:
+    """Classes of ids by links of similarity 0.8 or more between texts that share a k-mer."""
+    words = {i: (t or "").lower().split() for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    by = defaultdict(set)
+    for i, w in words.items():
+        by["text", texts[i] or ""].add(i)
+        for k in range(max(0, len(w) - 4)) if len(w) >= 5 else [0] if w else []:
+            by[tuple(w[k : k + 5])].add(i)
+    for ids in by.values():
+        ids = sorted(ids)
+        for x in ids:
+            for y in ids:
+                a, b = find(x), find(y)
+                if x < y and a != b:
+                    n = max(len(words[x]), len(words[y]))
+                    if (texts[x] or "") == (texts[y] or "") or n and plain_distance(words[x], words[y]) <= int(0.2 * n + 1e-9):
+                        root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in texts}
+
+
+def test_near_classes(spark):
+    rng = random.Random(7)
+    texts, at = {}, 0
+    for group in range(12):
+        base = prose(rng.randrange(40, 160), 100 + group).split()
+        for copy in range(rng.choice([1, 2, 3, 9])):
+            texts[at] = " ".join(edited(base, rng.randrange(0, 3), rng) if copy else base)
+            at += 1
+    for k in range(25):  # one shared passage in texts that are otherwise different
+        texts[at] = prose(30, 300 + k) + " " + prose(25, 999)
+        at += 1
+    docs = table(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()}
+    assert got == plain_classes(texts)
+    sizes = Counter(got.values())
+    assert all(r.class_size == sizes[r.class_id] and r.kept == (r.doc_id == r.class_id) for r in near_dedup.near_classes(docs).collect())
+    assert {r.doc_id for r in near_dedup.near_dedup(docs).collect()} == set(sizes)
+
+
+def test_near_classes_awkward(spark):
+    rows = awkward_rows()
+    got = near_dedup.near_classes(awkward(spark)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    cls = {r.doc_id: r.class_id for r in got}
+    assert cls[1] == cls[2] == 1 and cls[3] == cls[4] == 3 and cls[10] == cls[11] == 10 and cls[6] == cls[12] == 6 and cls[None] is None
+    assert sum(r.kept for r in got) == len({(r.class_id) for r in got})
+    kept = near_dedup.near_dedup(awkward(spark))
+    assert kept.columns == awkward(spark).columns and Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if r.kept)
+    assert near_dedup.near_classes(empty(spark)).count() == near_dedup.near_dedup(empty(spark)).count() == 0
+
+
+def test_links_across_components_of_a_bucket_are_not_lost(spark):
+    """A chain: neighbours are alike, ends are not; every bucket holds several of them."""
+    rng, texts, words = random.Random(9), {}, prose(120, 77).split()
+    for i in range(12):
+        texts[i] = " ".join(words)
+        words = edited(words, 8, rng)
+    docs = table(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    assert {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()} == plain_classes(texts)
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + k, 101 + k) for k in range(40)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+def test_chunks_resist_insertions():
+    text = prose(800, 5).encode()
+    before = set(passage_dedup.chunks_of([text])[3].tolist())
+    after = set(passage_dedup.chunks_of([text[:2000] + b"inserted words" + text[2000:]])[3].tolist())
+    assert len(before - after) <= 4
+    number, start, end, digest = passage_dedup.chunks_of([b"", text, b"x", b"", text[100:]])
+    for k, t in ((1, text), (2, b"x"), (4, text[100:])):
+        mine = number == k
+        assert b"".join(t[a:b] for a, b in zip(start[mine], end[mine])) == t
+    assert not (number == 0).any() and "".join(t.decode() for t in [text[a:b] for a, b in zip(start[number == 1], end[number == 1])])
+
+
+def test_repeated_passages(spark):
+    passage, line = " ".join(w * 2 for w in prose(51, 42).split()), "all rights reserved by nobody at all"
+    def own(n, k):
+        return " ".join(w + str(k) for w in prose(n, k).split())
+
+    rows = [(k, f"{own(40, 700 + k)} {line} {own(40, 800 + k)}", "en", "s") for k in range(40)]
+    rows += [(100 + k, f"{own(30 + k, 900 + k)} {passage} {own(20, 950 + k)}", "en", "s") for k in range(20)]
+    spans = passage_dedup.repeated_spans(table(spark, rows)).collect()
+    assert {r.doc_id for r in spans} == {100 + k for k in range(20)}  # the passage, not the line
+    text = {r[0]: r[1].encode() for r in rows}
+    for i in range(100, 120):
+        mine = [r for r in spans if r.doc_id == i]
+        # a few bytes around the passage may agree by chance
+        assert all(text[i][r.start_byte + 8 : r.end_byte - 8] in passage.encode() for r in mine)
+        longest = max(mine, key=lambda r: r.end_byte - r.start_byte)  # edge chunks may have other first owners
+        assert longest.first_doc_id == 100 and longest.kept == (i == 100)
+    cut = {r.doc_id: r.text for r in passage_dedup.cut_repeats(table(spark, rows)).collect()}
+    for i, t in text.items():
+        for a, b in sorted(((r.start_byte, r.end_byte) for r in spans if r.doc_id == i and not r.kept), reverse=True):
+            t = t[:a] + t[b:]
+        assert cut[i] == t.decode()
+
+
+def test_passages_awkward(spark):
+    spans = passage_dedup.repeated_spans(awkward(spark)).collect()
+    assert {r.doc_id for r in spans} == {6, 12, 10, 11} and len(spans) == len({(r.doc_id, r.start_byte) for r in spans})
+    cut = passage_dedup.cut_repeats(awkward(spark))
+    assert cut.columns == awkward(spark).columns and cut.count() == len(awkward_rows())
+    assert passage_dedup.repeated_spans(empty(spark)).count() == passage_dedup.cut_repeats(empty(spark)).count() == 0
+
+
+def xx(parts, seed=42) -> int:
+    """xxhash64 of several values, chained through the seed, as a signed number."""
+    for p in parts:
+        seed = xxhash.xxh64(p, seed=seed % 2**64).intdigest()
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def long_bytes(x: int) -> bytes:
+    return (x % 2**64).to_bytes(8, "little")
+
+
+def plain_signature(text: str) -> list[int]:
+    words = [w for w in __import__("re").split(r"[ \t\n\x0b\f\r]+", text) if w]
+    if not words:
+        return []
+    k, seen, cells = fingerprints.K, Counter(), {}
+    for p in range(max(1, len(words) - k + 1)):
+        h = xx([w.encode() for w in words[p : p + k]])
+        g = xx([long_bytes(h), seen[h].to_bytes(4, "little")])
+        seen[h] += 1
+        cell = (g % 2**64) >> 58
+        cells[cell] = min(cells.get(cell, (g, p)), (g, p))
+    bins = defaultdict(list)
+    for cell, (g, p) in cells.items():
+        bins[cell // 2].append((p, g))
+    order = sorted(bins, key=lambda b: (b < 16, b))  # cells of negative hashes first
+    return [xx([long_bytes(b), *[long_bytes(g) for _, g in sorted(bins[b])]]) for b in order]
+
+
+def test_fingerprints(spark):
+    rows = awkward_rows()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""), reverse=True)
+    got = fingerprints.fingerprints(awkward(spark)).collect()
+    want = Counter()
+    for k, r in enumerate(order):
+        text, after = r[1] or "", order[(k + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        changed = text[: len(text) - half] + after[:half]
+        sig, new, nxt = (plain_signature(t) for t in (text, changed, after))
+        near = [1.0 if not a and not b else (len(set(a) & set(b)) / max(len(a), len(b))) ** 0.5 for a, b in ((sig, new), (sig, nxt))]
+        hexed = ["".join(f"{v % 2**64:016x}" for v in s) for s in (sig, new)]
+        want[r[0], len(text), hashlib.sha256(changed.encode()).hexdigest(), *hexed, *[round(x, 9) for x in near]] += 1
+    assert Counter((*tuple(g)[:5], round(g.near_edited, 9), round(g.near_next, 9)) for g in got) == want
+    assert fingerprints.fingerprints(empty(spark)).count() == 0
+    plan = fingerprints.fingerprints(awkward(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_next_across_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 3)
+    monkeypatch.setattr(fingerprints, "GROUP", 4)
+    ids = [k * k * 1000 for k in range(120)] + [-5, None]
+    rows = spark.createDataFrame([(i, (f"t{i}",)) for i in ids], "id long, value struct<text:string>")
+    order = sorted(ids, key=lambda i: (i is not None, i or 0), reverse=True)
+    got = {r.id: r.next.text for r in fingerprints.with_next(rows).collect()}
+    assert got == {i: f"t{order[(k + 1) % len(order)]}" for k, i in enumerate(order)}

@@ -39,13 +39,15 @@ HELD_OUT_OF = 5            # one trusted text in so many sets thresholds instead
 BLOCK_BYTES = 12 << 20     # text in one block, about
 SLICE_BYTES = 1 << 20
 START, END = "\x02", "\x03"
+NUL = "\x01"  # stands for U+0000, which numpy drops at the end of a string
 PAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts, each with its marks, and how many n-grams each text has."""
     lead = START * (ORDER - 1)
-    chars = np.frombuffer("".join([f"{lead}{t}{END}" for t in texts]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    joined = "".join([f"{lead}{t}{END}" for t in texts]).replace("\0", NUL)
+    chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     return chars, np.array([len(t) + 1 for t in texts], dtype=np.int64)
 
 
