@@ -20,6 +20,7 @@ def awkward_rows() -> list[tuple]:
         (None, "no id here at all", None, None), (10, prose(60, 2), "de", "s1"), (11, prose(60, 2), "de", "s1"), (12, long + " tail", "en", "s3"),
         (13, "<|endoftext|> and <|endoftext|>", "en", "s1"), (14, "\x1c\x1d\x85 ​x\r\n\n  y  ", "en", "s4"), (15, "a", "es", "s4"),
         (-3, "1 2 3 4 5 6 7 8 9 10 11 12 13", "es", "s4"), (2**62, prose(300, 3), "es", "s1"), (16, "\x00zero\x00 byte", "en", "s4"),
+        (17, "la la la la la la la la la la " * 3 + "mu la la la la la la la", "en", "s4"),
     ]
     return rows + [(100 + k, prose(40 + k, 50 + k), ["en", "de", None][k % 3], f"s{k % 4}") for k in range(30)]
 

@@ -195,12 +195,12 @@ def plain_signature(text: str) -> list[int]:
     words = [w for w in __import__("re").split(r"[ \t\n\x0b\f\r]+", text) if w]
     if not words:
         return []
-    k, seen, cells = fingerprints.K, Counter(), {}
+    k, bits, seen, cells = fingerprints.K, fingerprints.PLACE_BITS, Counter(), {}
     for p in range(max(1, len(words) - k + 1)):
-        h = xx([w.encode() for w in words[p : p + k]])
-        g = xx([long_bytes(h), seen[h].to_bytes(4, "little")])
+        h = xx([w.encode() for w in words[p : p + k]]) >> bits
+        g = xx([long_bytes(h), seen[h].to_bytes(4, "little")]) >> bits
         seen[h] += 1
-        cell = (g % 2**64) >> 58
+        cell = (g % 2 ** (64 - bits)) >> (64 - bits - 6)
         cells[cell] = min(cells.get(cell, (g, p)), (g, p))
     bins = defaultdict(list)
     for cell, (g, p) in cells.items():

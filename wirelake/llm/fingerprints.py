@@ -29,9 +29,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-K = 3
-TAKE = 2
+K = 5
+TAKE = 2         # a power of two, as is BINS
 BINS = 32
+PLACE_BITS = 24  # k-mers keep 40 bits of hash; positions count modulo 2**24
 RANGE_ROWS = 2000
 GROUP = 1024  # ranges whose first rows are ordered together
 
@@ -45,46 +46,65 @@ def _each(length: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.sequence(F.lit(0), length - 1), body)
 
 
-def _run_starts(n: Column, key: Callable[[Column], Column]) -> Column:
-    """The indexes at which key(i) differs from key(i - 1)."""
-    return F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (key(i) != key(i - 1)))
+def _packed(hashed: Column, position: Column) -> Column:
+    """The upper bits of a hash and, in the lower ``PLACE_BITS``, a position: one number, so that arrays of them
+    sort as primitive values."""
+    return hashed.bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(position.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("long"))
+
+
+def _hash_of(packed: Column) -> Column:
+    return F.shiftright(packed, PLACE_BITS)
+
+
+def _place_of(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+
+
+def _changes(values: Column, key: Callable[[Column], Column]) -> Column:
+    """The indexes of a sorted array at which ``key`` differs from that of the value before."""
+    return F.filter(F.sequence(F.lit(0), F.size(values) - 1), lambda i: (i == 0) | (key(F.get(values, i)) != key(F.get(values, i - 1))))
 
 
 def _numbered(kmers: Column) -> Column:
-    """Array of (hash of k-mer and occurrence number, position)."""
-    placed = F.sort_array(F.transform(kmers, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
+    """Every k-mer's hash with its occurrence number hashed in, packed with its position. Texts without repeats,
+    by far the most, need no sorting for it: all their numbers are 0."""
+    first = F.transform(kmers, lambda h, i: _packed(F.xxhash64(_hash_of(h), F.lit(0)), i))
 
-    def labelled(s: Column) -> Column:
-        n = F.size(s)
-        return let(_run_starts(n, lambda i: F.get(s, i)["h"]), lambda starts: F.flatten(F.transform(
-            starts, lambda at, j: _each(F.coalesce(F.get(starts, j + 1), n) - at,
-                                        lambda o: F.struct(F.xxhash64(F.get(s, at)["h"], o).alias("g"), F.get(s, at + o)["p"].alias("p"))))))
+    def counted(s: Column) -> Column:
+        return let(_changes(s, _hash_of), lambda starts: F.flatten(F.transform(
+            starts, lambda at, j: _each(F.coalesce(F.get(starts, j + 1), F.size(s)) - at,
+                                        lambda o: _packed(F.xxhash64(_hash_of(F.get(s, at)), o), _place_of(F.get(s, at + o)))))))
 
-    return let(placed, labelled)
+    repeats = F.size(F.array_distinct(F.transform(kmers, _hash_of))) < F.size(kmers)
+    return F.when(repeats, let(F.sort_array(F.transform(kmers, lambda h, i: _packed(h, i))), counted)).otherwise(first)
 
 
 def signature(text: Column) -> Column:
     """Array of at most BINS signature values, in bin order; empty for a text without words."""
+    cell_shift = 64 - (BINS * TAKE).bit_length() + 1
+
     def cell(x: Column) -> Column:
-        return F.shiftrightunsigned(x["g"], 64 - (BINS * TAKE).bit_length() + 1)
+        return F.shiftrightunsigned(x, cell_shift)
+
+    def bin_of(x: Column) -> Column:
+        return F.shiftrightunsigned(x, cell_shift + TAKE.bit_length() - 1)
 
     def tuples(chosen: Column) -> Column:
-        bin_of = lambda i: F.floor(cell(F.get(chosen, i)) / TAKE)
         def value(at: Column) -> Column:
-            members = F.filter(F.slice(chosen, at + 1, TAKE), lambda x: F.floor(cell(x) / TAKE) == bin_of(at))
-            in_order = F.sort_array(F.transform(members, lambda x: F.struct(x["p"].alias("p"), x["g"].alias("g"))))
-            return F.xxhash64(bin_of(at), F.transform(in_order, lambda x: x["g"]))
-        return F.transform(_run_starts(F.size(chosen), bin_of), value)
+            members = F.filter(F.slice(chosen, at + 1, TAKE), lambda x: bin_of(x) == bin_of(F.get(chosen, at)))
+            in_order = F.sort_array(F.transform(members, lambda x: F.struct(_place_of(x).alias("place"), _hash_of(x).alias("hash"))))
+            return F.xxhash64(bin_of(F.get(chosen, at)), F.transform(in_order, lambda x: x["hash"]))
+        return F.transform(_changes(chosen, bin_of), value)
 
-    def from_kmers(kmers: Column) -> Column:
-        ordered = F.sort_array(_numbered(kmers))
-        chosen = let(ordered, lambda t: F.filter(t, lambda x, i: (i == 0) | (cell(x) != cell(F.get(t, i - 1)))))
-        return let(chosen, tuples)
+    def selected(ordered: Column) -> Column:
+        """The smallest packed value of every cell: the first of its run in the sorted array."""
+        return F.filter(ordered, lambda x, i: (i == 0) | (cell(x) != cell(F.get(ordered, i - 1))))
 
     def from_words(w: Column) -> Column:
         n = F.size(w)
         kmers = _each(F.greatest(n - (K - 1), F.lit(1)), lambda i: F.xxhash64(*[F.get(w, i + d) for d in range(K)]))
-        return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(let(kmers, from_kmers))
+        chosen = let(F.sort_array(let(kmers, _numbered)), selected)
+        return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(let(chosen, tuples))
 
     return let(F.array_remove(F.split(text, r"\s+"), ""), from_words)
 
