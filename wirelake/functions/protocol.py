@@ -49,8 +49,3 @@ def address_or_unknown(c: str | Column) -> Column:
 def flag_count(c: str | Column) -> Column:
     """Number of rows where a boolean column is true (never NULL)."""
     return F.count_if(F.coalesce(col_(c), F.lit(False)))
-
-
-def flag_seen(c: str | Column) -> Column:
-    """1 when the group has at least one true row, else 0."""
-    return F.max(F.coalesce(col_(c), F.lit(False)).cast("int"))

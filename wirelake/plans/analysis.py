@@ -60,8 +60,7 @@ def analyze_captures(spark: SparkSession, paths: list[str] | DataFrame, out_dir:
     """
     out_dir = out_dir or shared_dir(spark, "analysis")
     ingest = ingest_captures(spark, paths, f"{out_dir}/ingest")
-    features = feature_table(ingest.packets, ["path", "filename"], captures=ingest.captures)
-    features = features.join(ingest.captures.select("path", "capture_index"), "path")
+    features = feature_table(ingest.packets, ["capture_index", "path", "filename"], captures=ingest.captures)
     features = reliable_checkpoint(to_feature_schema(features))
     register_views(features)
     _, predictions = cluster.fit_kmeans(features, k=k, scale=scale)

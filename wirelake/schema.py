@@ -14,7 +14,6 @@ PROTOCOL_COUNT_COLUMNS = {
     "HTTP": "http_packet_count",
     "DNS": "dns_packet_count",
 }
-PROTOCOL_FLAG_COLUMNS = {"TCP": "is_tcp", "UDP": "is_udp", "ICMP": "is_icmp", "HTTP": "is_http", "DNS": "is_dns"}
 
 FEATURE_COLUMNS = [
     "packet_count", "total_bytes", "unique_src_ips", "unique_dst_ips",
@@ -47,15 +46,6 @@ PACKET_SCHEMA = T.StructType([
     T.StructField("packet_size", T.IntegerType(), True),
 ])
 
-# One parsed stream line: ``timestamp,protocol,src_ip,dst_ip,packet_size``.
-LINE_RECORD_SCHEMA = T.StructType([
-    T.StructField("timestamp", T.DoubleType(), True),
-    T.StructField("protocol", T.StringType(), True),
-    T.StructField("src_ip", T.StringType(), True),
-    T.StructField("dst_ip", T.StringType(), True),
-    T.StructField("packet_size", T.IntegerType(), True),
-])
-
 
 def to_feature_schema(df: DataFrame) -> DataFrame:
     """Cast and order a feature DataFrame to ``FEATURE_SCHEMA`` (extra key columns such as ``path`` stay in front)."""

@@ -72,7 +72,7 @@ def parse_lines(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     parts = F.split(F.col("value"), ",", -1)
     t_txt, s_txt = _strip(F.get(parts, 0)), _strip(F.get(parts, 4))
     valid = F.coalesce((F.size(parts) == 5) & t_txt.rlike(FLOAT_TEXT) & s_txt.rlike(INT_TEXT), F.lit(False))
-    size = F.when(s_txt.rlike(INT_TEXT), s_txt.try_cast("int"))
+    size = F.when(s_txt.rlike(INT_TEXT), s_txt.try_cast("long"))
     parsed = lines.select(
         F.when(valid, t_txt.try_cast("double")).alias("timestamp"),
         F.when(valid, F.get(parts, 1)).alias("protocol"),

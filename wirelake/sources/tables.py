@@ -91,5 +91,3 @@ def packets_lineitem(spark: SparkSession, sf_dir: str, spread_rows: bool = True)
         (F.col("l_quantity").cast("int") * 30).alias("packet_size"),
     )
 
-
-PACKET_VIEWS = {"events": packets_events, "lineitem": packets_lineitem}
