@@ -133,8 +133,7 @@ def test_perplexity(spark):
     trusted = {100 + k for k in range(0, 30, 2)} | {10, 8}
     docs = awkward(spark)
     ids = spark.createDataFrame([(i,) for i in trusted], "id long")
-    model = perplexity.train(docs, ids)
-    got = Counter((r.id, r.lang, None if r.perplexity is None else round(r.perplexity, 3)) for r in perplexity.perplexities(docs, model).collect())
+    got = Counter((r.id, r.lang, None if r.perplexity is None else round(r.perplexity, 3)) for r in perplexity.perplexities(docs, ids).collect())
     by_lang = {lang: plain_kneser_ney([r[1] for r in rows if r[0] in trusted and r[2] == lang and r[1]], perplexity.ORDER)[1] for lang in {r[2] for r in rows if r[0] in trusted}}
     want = Counter()
     for r in rows:

@@ -4,13 +4,14 @@ Every language has its own model of order ``ORDER``, counted over all trusted te
 the language, but for the held-out fifth from which the thresholds are taken. Texts are padded with a start
 mark and an end mark, so every character and the end are predicted.
 
-*Counting.* Tasks count the n-grams of their trusted texts with numpy and pass on one row for each distinct
-n-gram; the counts are added up by n-gram. Lower orders, context totals and discounts are aggregations of
-that table. *Scoring.* Documents are dealt into blocks by a hash. A block's distinct n-grams, far fewer than
-its characters, are joined with the count tables, each sharded by its own key; the probabilities come back
-to the block, where they are added up along every whole text. Texts move once (the same exchange feeds both
-sides); the volume of n-grams grows with the number of blocks. *Threshold.* A language's threshold is the
-``QUANTILE`` of the perplexity of its held-out trusted texts, times ``MARGIN``.
+*Blocks.* Documents are dealt into blocks by a hash of their id, compressed by the tasks that read them; that
+is the only move of texts. *Counting.* Next to the trusted ids of its block, a task finds the block's distinct
+n-grams, far fewer than its characters, and how often each occurs in trusted texts. The counts are added up by
+n-gram; lower orders, context totals and discounts are aggregations of that table. *Scoring.* The blocks'
+n-grams are joined with the count tables, each sharded by its own key; the probabilities come back to the block,
+where they are added up along every whole text. The volume of n-grams grows with the number of blocks.
+*Threshold.* A language's threshold is the ``QUANTILE`` of the perplexity of its held-out trusted texts, times
+``MARGIN``.
 
 Characters rather than words: at 30 GB the distinct word n-grams of all documents alone are several times
 the disk that scoring may take, as nearly every word trigram of a text is new.
@@ -18,8 +19,8 @@ the disk that scoring may take, as nearly every word trigram of a text is new.
 Defined cases: a null text counts as empty; empty texts have a null perplexity and are not kept; the null
 language is a language of its own; documents of a language without trusted text have a null perplexity and
 threshold and are kept, since nothing is known against them; labels repeated for an id count as trusted if
-any is; rows of equal id are scored one by one; an empty table gives an empty result; other columns are not
-read.
+any is; rows of equal id are scored one by one, in one block; rows without an id are dealt by their text; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,15 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.ipc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from wirelake.llm.common import Index, byte_slices, materialise, mix64, shuffle_partitions
+from wirelake.llm.common import Index, byte_slices, materialise, mix64
 
 ORDER = 5
 QUANTILE = 0.99
 MARGIN = 1.1
 HELD_OUT_OF = 5            # one trusted text in so many sets thresholds instead of being counted
-BLOCK_BYTES = 12 << 20     # text in one block, about
+BLOCK_BYTES = 32 << 20     # text in one block, about
+PACK_BYTES = 8 << 20       # text that is sorted into blocks and compressed at a time
 SLICE_BYTES = 1 << 20
 START, END = "\x02", "\x03"
 NUL = "\x01"  # stands for U+0000, which numpy drops at the end of a string
@@ -90,28 +94,71 @@ def _by_language(langs: list, texts: list) -> Iterator[tuple]:
         yield lang, at, [texts[k] or "" for k in at]
 
 
-def _distinct_rows(langs: pa.Array, texts: pa.Array, found: dict) -> None:
-    for start, stop in byte_slices(texts, SLICE_BYTES):
-        for lang, _, some in _by_language(langs.slice(start, stop - start).to_pylist(), texts.slice(start, stop - start).to_pylist()):
-            some = [t for t in some if t]
-            if some:
-                parts = found.setdefault(lang, [])
-                parts.append(_distinct(some))
-                if len(parts) > 8:
-                    found[lang] = [_merged(parts)]
-
-
-def count_grams(trusted: DataFrame) -> DataFrame:
-    """lang, text -> lang, gram, count."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict = {}
-        for batch in batches:
-            _distinct_rows(batch.column(0), batch.column(1), found)
-        for lang, parts in found.items():
-            _, grams, counts = _merged(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.tolist(), pa.string()), pa.array(counts.astype(np.int64))], ["lang", "gram", "count"])
-
-    return trusted.mapInArrow(run, "lang string, gram string, count long").groupBy("lang", "gram").agg(F.sum("count").alias("count"))
+class _Blocks:
+    """The documents dealt into blocks; ``dealt`` (block, packed) is planned anew for each job that reads it."""
+
+    def __init__(self, docs: DataFrame, text_col: str, id_col: str, lang_col: str):
+        self.rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        size = self.rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.count = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // BLOCK_BYTES))
+
+    def block_of(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.count))
+
+    def dealt(self) -> DataFrame:
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            options = pa.ipc.IpcWriteOptions(compression="zstd")
+            for batch in batches:
+                for start, stop in byte_slices(batch.column(3), PACK_BYTES):
+                    part = batch.slice(start, stop - start)
+                    block = np.asarray(part.column(0))
+                    part = pa.RecordBatch.from_arrays(part.columns[1:], ["id", "lang", "text"]).take(pa.array(np.argsort(block, kind="stable")))
+                    names, sizes = np.unique(block, return_counts=True)
+                    packed = []
+                    for at, n in zip(np.cumsum(sizes) - sizes, sizes):
+                        sink = pa.BufferOutputStream()
+                        with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                            out.write_batch(part.slice(int(at), int(n)))
+                        packed.append(sink.getvalue().to_pybytes())
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(packed, pa.binary())], ["block", "packed"])
+
+        block = F.when(F.col("id").isNull(), self.block_of(F.col("text"))).otherwise(self.block_of(F.col("id")))
+        return self.rows.select(block.alias("block"), "id", "lang", "text").mapInArrow(pack, "block long, packed binary").repartition(self.count, "block")
+
+
+def _unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The documents (id, lang, text) of a block, a slice at a time."""
+    for packed in table.column("packed"):
+        for batch in pa.ipc.open_stream(packed.as_buffer()):
+            for start, stop in byte_slices(batch.column(2), SLICE_BYTES):
+                yield batch.slice(start, stop - start)
+
+
+def gram_counts(blocks: _Blocks, trusted_ids: DataFrame) -> DataFrame:
+    """block, lang, gram, count: a block's distinct n-grams and how often they occur in its trusted texts."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        trusted, found = set(right.column("id").to_pylist()), {}
+        for batch in _unpacked(left):
+            ids, langs, texts = (c.to_pylist() for c in batch.columns)
+            for lang, at, _ in _by_language(langs, texts):
+                for is_trusted in (True, False):
+                    some = [texts[k] for k in at if texts[k] and (ids[k] in trusted) == is_trusted]
+                    if some:
+                        parts = found.setdefault(lang, [])
+                        hashes, grams, counts = _distinct(some)
+                        parts.append((hashes, grams, counts if is_trusted else np.zeros_like(counts)))
+                        if len(parts) > 16:
+                            found[lang] = [_merged(parts)]
+        merged = [(lang, *_merged(parts)[1:]) for lang, parts in found.items()]
+        langs = [lang for lang, grams, _ in merged for _ in grams]
+        counts = np.concatenate([np.zeros(0, np.int64), *[c for _, _, c in merged]])
+        block = left.column("block")[0].as_py() if left.num_rows else 0
+        return pa.table({"block": pa.array([block] * len(langs), pa.int64()), "lang": pa.array(langs, pa.string()),
+                         "gram": pa.array([g for _, grams, _ in merged for g in grams.tolist()], pa.string()), "count": pa.array(counts.astype(np.int64))})
+
+    ids = trusted_ids.filter("id IS NOT NULL").select("id", blocks.block_of(F.col("id")).alias("block"))
+    seen = blocks.dealt().groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(run, "block long, lang string, gram string, count long")
+    return seen.withColumn("lang", _lang_key())
 
 
 def _lang_key(col: str = "lang") -> Column:
@@ -124,7 +171,7 @@ class Model:
     (lang, context, back: weight of the lower order), and ``floor`` (lang, uniform)."""
 
     def __init__(self, counts: DataFrame):
-        counts = materialise(counts.select(_lang_key().alias("lang"), "gram", "count"), "kn-counts")
+        counts = materialise(counts, "kn-counts")
         self.grams, self.contexts, level = {}, {}, counts
         for n in range(ORDER, 0, -1):
             of = F.least(F.col("count"), F.lit(4))
@@ -165,63 +212,43 @@ class Model:
         return below.select("lang", "gram", F.log("p").alias("logp"))
 
 
-def train(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang") -> Model:
-    texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    return Model(count_grams(texts.join(trusted_ids, "id", "left_semi").select("lang", "text")))
-
-
-def perplexities(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
-    """One row per document: id, lang, perplexity."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(shuffle_partitions(docs.sparkSession), -(-size // BLOCK_BYTES))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "lang", "text"), F.lit(blocks))).repartition(blocks, "block")
-
-    def distinct_of(key: tuple, table: pa.Table) -> pa.Table:
-        found: dict = {}
-        for batch in table.to_batches():
-            _distinct_rows(batch.column("lang"), batch.column("text"), found)
-        parts = [(lang, _merged(p)[1].tolist()) for lang, p in found.items()]
-        langs = pa.array([lang for lang, grams in parts for _ in grams], pa.string())
-        grams = pa.array([g for _, grams in parts for g in grams], pa.string())
-        return pa.table({"block": pa.array([key[0].as_py()] * len(langs), pa.int64()), "lang": langs, "gram": grams})
-
-    wanted = dealt.groupBy("block").applyInArrow(distinct_of, "block long, lang string, gram string").withColumn("lang", _lang_key())
-    wanted = materialise(wanted, "kn-wanted")
-    known = model.log_probabilities(wanted.select("lang", "gram").distinct())
-    answers = wanted.join(known, ["lang", "gram"]).select("block", "lang", "gram", F.col("logp").cast("float").alias("logp"))
+def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
+    """One row per document: id, lang, perplexity under the model of the trusted texts (``trusted_ids``: id), empty."""
+    blocks = _Blocks(docs, text_col, id_col, lang_col)
+    seen = materialise(gram_counts(blocks, trusted_ids), "kn-seen")
+    totals = seen.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
+    model = Model(totals.filter("count > 0"))
+    known = materialise(model.log_probabilities(totals.select("lang", "gram")), "kn-known")
+    answers = seen.join(known, ["lang", "gram"]).select("block", "lang", "gram", F.col("logp").cast("float").alias("logp"))
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         tables = {}
         if right.num_rows:
-            names = right.column("lang").combine_chunks()
-            names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
-            coded = names.dictionary_encode()
+            coded = right.column("lang").combine_chunks().dictionary_encode()
+            coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
             codes, grams, logp = np.asarray(coded.indices), right.column("gram").to_pylist(), np.asarray(right.column("logp"))
             for k, name in enumerate(coded.dictionary.to_pylist()):
                 mine = np.flatnonzero(codes == k)
                 chars = np.array([grams[i] for i in mine], dtype=f"<U{ORDER}").view(np.uint32)
                 tables[name] = (Index(_gram_hashes(chars)[::ORDER]), logp[mine].astype(np.float64))
-        perplexity: list = []
-        for batch in left.to_batches():
-            for start, stop in byte_slices(batch.column("text"), SLICE_BYTES):
-                out = [None] * (stop - start)
-                langs = batch.column("lang").slice(start, stop - start).to_pylist()
-                for lang, at, some in _by_language(langs, batch.column("text").slice(start, stop - start).to_pylist()):
-                    table = tables.get("-" if lang is None else "+" + lang)
-                    if table is None:
-                        continue
-                    chars, sizes = _codes(some)
-                    found = table[1][table[0].find(_gram_hashes(chars)[_starts(sizes)])]
-                    sums = np.add.reduceat(found, np.cumsum(sizes) - sizes)
-                    for k, t, value in zip(at, some, np.exp(-sums / sizes)):
-                        out[k] = float(value) if t else None
-                perplexity += out
-        return pa.table({"id": left.column("id"), "lang": left.column("lang"), "perplexity": pa.array(perplexity, pa.float64()),
-                         "empty": pa.array([not t for t in left.column("text").to_pylist()], pa.bool_())})
-
-    schema = T.StructType([rows.schema["id"], rows.schema["lang"], T.StructField("perplexity", T.DoubleType()), T.StructField("empty", T.BooleanType())])
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, schema)
+        out = []
+        for batch in _unpacked(left):
+            texts, perplexity = batch.column(2).to_pylist(), [None] * batch.num_rows
+            for lang, at, some in _by_language(batch.column(1).to_pylist(), texts):
+                table = tables.get("-" if lang is None else "+" + lang)
+                if table is None:
+                    continue
+                chars, sizes = _codes(some)
+                found = table[1][table[0].find(_gram_hashes(chars)[_starts(sizes)])]
+                sums = np.add.reduceat(found, np.cumsum(sizes) - sizes)
+                for k, t, value in zip(at, some, np.exp(-sums / sizes)):
+                    perplexity[k] = float(value) if t else None
+            out.append(pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(perplexity, pa.float64()), pa.array([not t for t in texts], pa.bool_())],
+                                                  ["id", "lang", "perplexity", "empty"]))
+        return pa.Table.from_batches(out, schema=to_arrow_schema(schema))
+
+    schema = T.StructType([blocks.rows.schema["id"], blocks.rows.schema["lang"], T.StructField("perplexity", T.DoubleType()), T.StructField("empty", T.BooleanType())])
+    return blocks.dealt().groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, text_col: str = "text",
@@ -229,8 +256,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, marg
     """One row per document: id, lang, perplexity, threshold (of its language), keep."""
     trusted = labels.filter("quality = 1").select(F.col(id_col).alias("id")).filter("id IS NOT NULL").distinct()
     held_out = F.pmod(F.xxhash64("id"), F.lit(HELD_OUT_OF)) == 0
-    model = train(docs, trusted.filter(~held_out), text_col, id_col, lang_col)
-    scored = materialise(perplexities(docs, model, text_col, id_col, lang_col), "kn-scored")
+    scored = materialise(perplexities(docs, trusted.filter(~held_out), text_col, id_col, lang_col), "kn-scored")
     limits = scored.join(trusted.filter(held_out), "id", "left_semi").filter("perplexity IS NOT NULL").groupBy("lang").agg(
         (F.percentile_approx("perplexity", quantile, 10000) * margin).alias("threshold"))
     rows = scored.join(limits.withColumnRenamed("lang", "of"), F.col("lang").eqNullSafe(F.col("of")), "left")
