@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from pcap_builder import write_pcap
 from test_capture import _mixed_packets
-from wirelake.plans.analysis import analyze_captures, start_stream_analysis
+from wirelake.plans.analysis import analyze_captures, read_stream_analysis, start_stream_analysis
 from wirelake.sources.lines import read_line_stream
-from wirelake.streaming.windows import read_sink
+from wirelake.streaming.windows import stop_gracefully
 
 
 def test_analyze_captures(spark, scratch):
@@ -39,18 +42,25 @@ def test_stream_analysis(spark, scratch):
     with open(os.path.join(src, "a.txt"), "w") as f:
         f.write("\n".join(f"{t},{'TCP' if t % 2 else 'UDP'},a,b,{10 + t}" for t in range(0, 200, 3)) + "\n")
     out = os.path.join(scratch, "out")
-    queries = start_stream_analysis(read_line_stream(spark, src), out, interval_seconds=1, watermark="5 seconds",
-                                    console=True)
+    queries = start_stream_analysis(read_line_stream(spark, src), out, interval_seconds=1, console=True)
     try:
         for q in queries.values():
             q.processAllAvailable()
     finally:
         for q in queries.values():
-            q.stop()
-    counters = spark.read.parquet(os.path.join(out, "running_counters")).first()
-    assert counters.total_packets == len(range(0, 200, 3))
-    totals = read_sink(spark, os.path.join(out, "window_totals"))
-    assert totals.count() > 0
+            stop_gracefully(q)
+    times = range(0, 200, 3)
+    state = read_stream_analysis(spark, out)
+    counters = state["label_counters"].first()
+    assert counters.total_packets == len(times) and counters.label_tcp == sum(t % 2 for t in times)
+    # every window that holds a line, those still open at the end included
+    want = Counter()
+    for t in times:
+        for start in range(t - 3, t + 1):
+            want[start, "TCP" if t % 2 else "UDP"] += 1
+    got = {(int(r.window_start.timestamp()), r.protocol): r.packets for r in state["protocol_counts"].collect()}
+    assert got == want
+    assert state["window_totals"].agg(F.sum("packets")).first()[0] == 4 * len(times)
 
 
 def test_cli_explain(spark, capsys):

@@ -7,15 +7,15 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF001
 from oracle_check import compare, duck
+from wirelake.plans.catalog import catalog, oracles
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-ROWS_ONLY = {"features_approx", "kmeans_fit", "cluster_scatter", "report_lines"}
+QUERIES = catalog()
+ORACLES = oracles()
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -13,12 +13,21 @@ from wirelake.operators.report import report_lines, write_report
 from wirelake.sources.tables import packets_events, packets_lineitem
 
 
-def test_silhouette_matches_spark_ml(spark):
+def test_grouping_does_not_depend_on_the_cluster(spark):
+    """The same partitions, and so the same start and result, for any layout of the input."""
     features = feat.feature_table(packets_events(spark, SF001)).checkpoint()
-    labelled = cluster.assign_to_centres(features, cluster.extreme_centres(features))
-    ours = cluster.silhouette(labelled).first().silhouette
-    ml = cluster.evaluator_silhouette(cluster.assemble(labelled))
-    assert abs(ours - ml) < 1e-8
+    found = []
+    for layout in (features.coalesce(1), features.repartition(8), features.repartition(200, "packet_count")):
+        assert cluster.repeatable(layout).rdd.getNumPartitions() == cluster.FIT_PARTITIONS
+        _, predictions = cluster.fit_kmeans(layout)
+        found.append(sorted((r.filename, r.prediction) for r in predictions.collect()))
+    assert found[0] == found[1] == found[2]
+
+
+def test_given_k_is_capped_at_distinct_vectors(spark):
+    features = feat.feature_table(packets_events(spark, SF001)).limit(2).checkpoint()
+    model, _ = cluster.fit_kmeans(features, k=9)
+    assert len(model.clusterCenters()) == 2
 
 
 def test_kmeans_is_repeatable_and_uses_rule_k(spark):

@@ -46,14 +46,17 @@ def main(argv: list[str] | None = None) -> None:
         result.features.write.mode("overwrite").parquet(f"{args.out_dir}/features")
         print(f"report: {result.report_path}")
     else:
-        from wirelake.plans.analysis import start_stream_analysis
+        from wirelake.plans.analysis import read_stream_analysis, start_stream_analysis
         from wirelake.sources.lines import read_line_stream
+        from wirelake.streaming.windows import stop_gracefully
 
         queries = start_stream_analysis(read_line_stream(spark, args.lines_dir), args.out_dir, args.interval,
                                         console=True)
         spark.streams.awaitAnyTermination(args.seconds)
         for q in queries.values():
-            q.stop()
+            stop_gracefully(q)
+        for name, df in read_stream_analysis(spark, args.out_dir).items():
+            df.write.mode("overwrite").parquet(f"{args.out_dir}/final/{name}")
 
 
 if __name__ == "__main__":

@@ -1,10 +1,8 @@
 """K-Means over capture features and its silhouette.
 
 The model is Spark ML's K-Means (maxIter 10, seed 42, k from the row-count
-rule). Assignment to fixed centres and the silhouette are also written as
-DataFrame expressions: per-cluster sums (k rows, at most 3) are the only
-values brought to the driver, exactly the statistics Spark's evaluator
-broadcasts, so every point is scored in one distributed pass with no pairs.
+rule) and its score Spark ML's evaluator. Assignment to given centres is also
+written as DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -12,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,21 +40,25 @@ def choose_k(features: DataFrame) -> DataFrame:
     return agg.select("rows", "distinct_vectors", F.least(rule, F.col("distinct_vectors")).cast("long").alias("k"))
 
 
-def repeatable(features: DataFrame, key: str = "filename", partitions: int | None = None) -> DataFrame:
-    """Fixed hash partitioning and order, so K-Means initialisation repeats run to run."""
-    n = partitions or features.sparkSession.sparkContext.defaultParallelism
-    return features.repartition(n, key).sortWithinPartitions(key)
+FIT_PARTITIONS = 16  # fixed, so that the fit doesn't depend on the number of cores
+
+
+def repeatable(features: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Fixed hash partitioning and order, so that K-Means initialisation repeats on any cluster. Captures are told
+    apart by ``capture_index`` or ``path`` where there is one, as names may repeat."""
+    keys = [c for c in ("capture_index", "path", "filename") if c in features.columns]
+    return features.repartition(partitions, *keys).sortWithinPartitions(*keys, *FEATURE_COLUMNS)
 
 
 def fit_kmeans(features: DataFrame, k: int | None = None, seed: int = 42, max_iter: int = 10,
                scale: bool = False, repeat: bool = True):
     """E3 + E4: fit and assign. Returns ``(model or None, predictions)``.
 
-    With fewer than two distinct vectors there is nothing to separate: every
-    capture gets cluster 0 and no model is fitted.
+    A given ``k`` is capped at the number of distinct vectors, as the rule's is. With fewer than two
+    there is nothing to separate: every capture gets cluster 0 and no model is fitted.
     """
-    if k is None:
-        k = int(choose_k(features).first()["k"])
+    rule = choose_k(features).first()
+    k = int(rule["k"]) if k is None else min(k, int(rule["distinct_vectors"]))
     data = assemble(repeatable(features) if repeat else features, scale=scale)
     if k < 2:
         return None, data.withColumn("prediction", F.lit(0))
@@ -84,55 +87,20 @@ def assign_to_centres(features: DataFrame, centres: list[list[float]]) -> DataFr
 
 
 def extreme_centres(features: DataFrame) -> list[list[float]]:
-    """Two fixed centres taken from the data: the smallest and the largest capture by packets."""
-    low = features.orderBy(F.col("packet_count").asc(), F.col("filename").asc()).limit(1).first()
-    high = features.orderBy(F.col("packet_count").desc(), F.col("filename").asc()).limit(1).first()
-    return [[float(r[c]) for c in FEATURE_COLUMNS] for r in (low, high) if r is not None]
-
-
-def silhouette(points: DataFrame, cols: list[str] | None = None, label: str = "prediction") -> DataFrame:
-    """E5: mean silhouette with squared Euclidean distance, one row ``silhouette``.
-
-    For a point x and cluster c with n_c points, feature sum S_c and sum of
-    squared norms Q_c, the mean squared distance is |x|^2 + Q_c/n_c -
-    2 x.S_c/n_c; the own cluster's value is scaled by n_c/(n_c - 1).
-    Singletons score 0. NULL when there are fewer than two clusters.
-    """
-    cols = cols or FEATURE_COLUMNS
-    x = [F.col(c).cast("double") for c in cols]
-    norm2 = reduce(lambda a, b: a + b, [v * v for v in x])
-    stats = points.groupBy(label).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(norm2).alias("q"),
-        *[F.sum(v).alias(f"s{i}") for i, v in enumerate(x)],
-    ).collect()  # one row per cluster: bounded by k
-    if len(stats) < 2:
-        return points.agg(F.lit(None).cast("double").alias("silhouette"))
-
-    def mean_dist(row) -> Column:
-        dot = reduce(lambda a, b: a + b, [v * F.lit(float(row[f"s{i}"])) for i, v in enumerate(x)])
-        n = float(row["n"])
-        return norm2 + F.lit(float(row["q"]) / n) - F.lit(2.0) * dot / F.lit(n)
-
-    lab = F.col(label)
-    own = own_n = other = None  # CASE chains over the k clusters
-    for row in stats:
-        here, d, n = lab == F.lit(row[label]), mean_dist(row), row["n"]
-        own_d = d * F.lit(n / (n - 1.0)) if n > 1 else F.lit(0.0)
-        own = F.when(here, own_d) if own is None else own.when(here, own_d)
-        own_n = F.when(here, F.lit(n)) if own_n is None else own_n.when(here, F.lit(n))
-        other = F.when(~here, d) if other is None else F.least(other, F.when(~here, d))
-    a, b = own, other
-    score = (
-        F.when(own_n == 1, F.lit(0.0))
-        .when(a < b, F.lit(1.0) - a / b)
-        .when(a > b, b / a - F.lit(1.0))
-        .otherwise(F.lit(0.0))
-    )
-    return points.agg(F.round(F.avg(score), 8).alias("silhouette"))
-
-
-def evaluator_silhouette(predictions: DataFrame) -> float:
-    """Spark ML's ClusteringEvaluator on an assembled, labelled DataFrame (for cross-checks)."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-
-    return ClusteringEvaluator(predictionCol="prediction", featuresCol="features").evaluate(predictions)
+    """Two fixed centres taken from the data: the smallest and the largest capture by packets (by name among equals)."""
+    row = F.struct(*[F.col(c).cast("double") for c in FEATURE_COLUMNS])
+    low = F.min_by(row, F.struct("packet_count", "filename"))
+    high = F.min_by(row, F.struct(-F.col("packet_count"), "filename"))
+    found = features.agg(low.alias("low"), high.alias("high")).first()
+    return [list(found[c]) for c in ("low", "high") if found[c] is not None]
+
+
+def silhouette(points: DataFrame, label: str = "prediction") -> DataFrame:
+    """E5: mean silhouette with squared Euclidean distance by Spark ML's evaluator, one row ``silhouette``
+    (eight decimals). NULL when there are fewer than two clusters."""
+    spark = points.sparkSession
+    value = None
+    if points.select(label).distinct().limit(2).count() == 2:
+        vectors = assemble(points.select(label, *FEATURE_COLUMNS), out="point").withColumn(label, F.col(label).cast("double"))
+        value = round(ClusteringEvaluator(predictionCol=label, featuresCol="point").evaluate(vectors), 8)
+    return spark.range(1).select(F.lit(value).cast("double").alias("silhouette"))

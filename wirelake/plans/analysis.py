@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wirelake.operators import cluster, panels
@@ -74,36 +74,44 @@ def analyze_captures(spark: SparkSession, paths: list[str] | DataFrame, out_dir:
 
 
 def start_stream_analysis(lines: DataFrame, out_dir: str, interval_seconds: int = 5,
-                          watermark: str = "1 minute", console: bool = False) -> dict[str, StreamingQuery]:
+                          watermark: str | None = None, console: bool = False) -> dict[str, StreamingQuery]:
     """Live counters on a streaming DataFrame of CSV lines (``value``).
 
-    Windows are four intervals long and slide by one; finished windows are
-    appended to Parquet under ``out_dir`` once the watermark passes them (one
-    ``batch_id=`` folder per micro-batch; read with ``windows.read_sink``), and
-    the running counters are rewritten every trigger. With ``console`` the
-    results are also printed at each trigger (for a user at a terminal).
-    Returns the running queries; call ``stop()`` on them.
+    Windows are four intervals long and slide by one. One stateful query keeps the protocol counts; every
+    trigger writes the windows it changed to its own ``batch_id=`` folder, so open windows are there too
+    and a replayed batch isn't counted twice (``read_stream_analysis`` gives the present state, and the
+    totals as sums of it). The watermark, one interval by default and so below the window, bounds the
+    state. The label counters are a second query; each trigger writes a new ``batch_id=`` folder.
+    With ``console`` both are also printed. Stop with ``windows.stop_gracefully``.
     """
-    records = win.with_watermark(with_event_time(parse_lines(lines)), "event_time", watermark)
+    records = win.with_watermark(with_event_time(parse_lines(lines)), "event_time", watermark or f"{interval_seconds} seconds")
     length, slide = win.default_window(interval_seconds)
-    trigger = f"{interval_seconds} seconds"
     outputs = {
-        "protocol_counts": (win.protocol_window_counts(records, length, slide, "event_time"), "append"),
-        "window_totals": (win.window_totals(records, length, slide, "event_time"), "append"),
-        "running_counters": (win.running_counters(records), "complete"),
+        "protocol_counts": (win.protocol_window_counts(records, length, slide, "event_time"), "update"),
+        "label_counters": (win.label_counters(records), "complete"),
     }
-    started = {}
-    for name, (result, mode) in outputs.items():
-        started[name] = (
-            result.writeStream.queryName(name).outputMode(mode)
-            .option("checkpointLocation", f"{out_dir}/_checkpoints/{name}")
-            .foreachBatch(win.batch_writer(f"{out_dir}/{name}", mode))
-            .trigger(processingTime=trigger).start()
-        )
-        if console:
-            started[f"{name}_console"] = (
-                result.writeStream.queryName(f"{name}_console").outputMode(mode).format("console")
-                .option("truncate", "false").option("checkpointLocation", f"{out_dir}/_checkpoints/{name}_console")
-                .trigger(processingTime=trigger).start()
-            )
-    return started
+
+    def writer(name: str):
+        store = win.batch_writer(f"{out_dir}/{name}", "update")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            store(batch, batch_id)
+            if console:
+                batch.sparkSession.read.schema(batch.schema).parquet(f"{out_dir}/{name}/batch_id={batch_id}").show(50, truncate=False)
+
+        return write
+
+    return {
+        name: (result.writeStream.queryName(name).outputMode(mode)
+               .option("checkpointLocation", f"{out_dir}/_checkpoints/{name}")
+               .foreachBatch(writer(name)).trigger(processingTime=f"{interval_seconds} seconds").start())
+        for name, (result, mode) in outputs.items()
+    }
+
+
+def read_stream_analysis(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The present state of a live analysis: protocol_counts, window_totals, label_counters."""
+    counts = win.latest_windows(spark, f"{out_dir}/protocol_counts")
+    counters = spark.read.parquet(f"{out_dir}/label_counters")
+    last = counters.agg(F.max("batch_id")).first()[0]
+    return {"protocol_counts": counts, "window_totals": win.totals_of(counts), "label_counters": counters.filter(F.col("batch_id") == last).drop("batch_id")}

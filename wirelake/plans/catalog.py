@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wirelake.functions.headers import decode_packets, encode_frames
 from wirelake.functions.protocol import address_or_unknown, is_pure_syn, protocol_label
@@ -17,6 +18,7 @@ from wirelake.operators import features as feat
 from wirelake.operators.report import report_lines
 from wirelake.operators import panels
 from wirelake.plans.sql import register_views, sql_query
+from wirelake.schema import FEATURE_COLUMNS, to_feature_schema
 from wirelake.session import reliable_checkpoint, shared_dir
 from wirelake.sources.capture import ingest_captures
 from wirelake.sources.capture_writer import pad_to_size, write_captures
@@ -59,23 +61,88 @@ def q_header_decode(view):
     return lambda spark, sf_dir: _decoded(view(spark, sf_dir, spread_rows=True)).select(*CONTRACT)
 
 
-def q_capture_roundtrip(view):
+RANGES_PER_FILE = 12  # the catalog cuts its capture files into so many byte ranges each
+
+
+def _written_captures(packets: DataFrame, root: str, gzip: bool = False) -> DataFrame:
+    """Packets encoded and written as capture part files; one row per file."""
+    frames = pad_to_size(encode_frames(packets, keep=["filename", "ts", "packet_size"]))
+    write_captures(frames, f"{root}/captures", gzip=gzip).write.parquet(f"{root}/written")
+    return packets.sparkSession.read.parquet(f"{root}/written")
+
+
+def _split_bytes(written: DataFrame) -> int:
+    size, files = written.agg(F.sum("bytes"), F.count(F.lit(1))).first()
+    return max(256, (size or 0) // max(1, files * RANGES_PER_FILE))
+
+
+def q_capture_roundtrip(view, gzip: bool = False):
     """A1-A3 end to end: packets are encoded, written as capture part files (one per
-    task and capture), ingested back through the distributed reader, and their
-    features computed per capture folder."""
+    task and capture), ingested back through the distributed reader in many byte ranges
+    per file, and their features computed per capture folder."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = shared_dir(spark, "capture-roundtrip")
-        frames = pad_to_size(encode_frames(view(spark, sf_dir, spread_rows=True),
-                                           keep=["filename", "ts", "packet_size"]))
-        write_captures(frames, f"{root}/captures").write.parquet(f"{root}/written")
-        written = spark.read.parquet(f"{root}/written").select("path")
-        ingest = ingest_captures(spark, written, f"{root}/ingest")
+        written = _written_captures(view(spark, sf_dir, spread_rows=True), root, gzip)
+        ingest = ingest_captures(spark, written.select("path"), f"{root}/ingest", split_bytes=_split_bytes(written))
         packets = ingest.packets.withColumn("filename", F.element_at(F.split("path", "/"), -2))
         return feat.feature_table(packets, ["filename"])
 
     return run
 
 
+def q_features_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are told apart by ``capture_index``; the first capture is listed twice and counted twice."""
+    root = shared_dir(spark, "capture-listed")
+    packets = packets_events(spark, sf_dir, spread_rows=False).repartition("filename")
+    written = _written_captures(packets, root)
+    first = written.agg(F.min("path")).first()[0]
+    listed = written.select("path").withColumn("capture_index", F.dense_rank().over(Window.orderBy("path")).cast("long"))
+    listed = listed.unionByName(spark.createDataFrame([(first, 10**9)], "path string, capture_index long"))
+    ingest = ingest_captures(spark, listed, f"{root}/ingest", split_bytes=_split_bytes(written))
+    table = feat.feature_table(ingest.packets, ["capture_index", "path", "filename"], captures=ingest.captures)
+    return table.select(F.element_at(F.split("path", "/"), -2).alias("capture"), (F.col("capture_index") == 10**9).alias("again"),
+                        *FEATURE_COLUMNS)
+
+
+def q_capture_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: how many captures were accepted, had no capture header, or weren't there."""
+    root = shared_dir(spark, "capture-status")
+    written = _written_captures(packets_events(spark, sf_dir, spread_rows=False), root)
+    spark.range(1).select(F.repeat(F.lit("no capture "), 20)).write.text(f"{root}/notes")
+    notes = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{root}/notes").select("path")
+    missing = spark.createDataFrame([(f"{root}/absent.pcap",)], "path string")
+    ingest = ingest_captures(spark, written.select("path").unionByName(notes).unionByName(missing), f"{root}/ingest")
+    accepted = ingest.captures.select(F.lit("ok").alias("status"), F.element_at(F.split("path", "/"), -2).alias("capture")).distinct()
+    return (accepted.groupBy("status").agg(F.count(F.lit(1)).alias("captures"))
+            .unionByName(ingest.rejected.groupBy("status").agg(F.count(F.lit(1)).alias("captures"))))
+
+
+def q_features_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Is each estimate within three standard deviations (and one) of the exact count?"""
+    packets, rsd = packets_events(spark, sf_dir), 0.05
+    exact, near = feat.feature_table(packets), feat.approx_feature_table(packets, rsd=rsd)
+    return _within(exact, near, ["unique_src_ips", "unique_dst_ips", "connections"], 3 * rsd)
+
+
+def q_sketches_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches made per week of capture time, merged."""
+    packets = packets_events(spark, sf_dir)
+    sketches = feat.endpoint_sketches(packets.withColumn("week", F.weekofyear("ts")), ["filename"], "week")
+    near = feat.merge_endpoint_sketches(sketches, ["filename"])
+    return _within(feat.feature_table(packets), near, ["unique_src_ips", "unique_dst_ips"], 0.05)
+
+
+def _within(exact: DataFrame, near: DataFrame, columns: list[str], share: float) -> DataFrame:
+    def counts(df: DataFrame, tag: str) -> DataFrame:
+        if "connections" in columns:
+            df = df.withColumn("connections", F.round(F.col("connection_density") * F.col("packet_count")))
+        return df.select("filename", *[F.col(c).alias(f"{tag}_{c}") for c in columns])
+
+    both = counts(exact, "exact").join(counts(near, "near"), "filename")
+    return both.select("filename", *[
+        (F.abs(F.col(f"near_{c}") - F.col(f"exact_{c}")) <= share * F.col(f"exact_{c}") + 1).alias(f"{c}_near") for c in columns])
+
+
 def q_syn_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SYN and SYN+ACK counts per capture, flags read back from encoded TCP headers."""
     p = _decoded(packets_events(spark, sf_dir, spread_rows=True))
@@ -111,57 +178,76 @@ def q_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(format_lines(records).unionByName(damaged_lines(records)))
 
 
-def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packet_records(packets_from_events(win.event_stream(spark, sf_dir)))
+WATERMARK = "2 hours"
+BATCHES = 8
 
 
-def q_stream_win_protocol_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1 on Structured Streaming: file stream -> event time -> sliding windows -> parquet sink."""
-    records = _stream_records(spark, sf_dir)
-    records = records.withColumn("event_time", win.to_instant(records, "ts"))
+def _event_files(spark: SparkSession, sf_dir: str, late=None) -> DataFrame:
+    """The events as a stream of BATCHES files in time order (and a last one of late rows), one per micro-batch."""
+    events, folder = spark.read.parquet(f"{sf_dir}/events.parquet"), shared_dir(spark, "event-files")
+    win.ordered_files(events, lambda part: part.write.mode("append").parquet(folder), BATCHES, late)
+    return win.event_stream(spark, folder, events.schema)
+
+
+def _stream_records(spark: SparkSession, sf_dir: str, late=None) -> DataFrame:
+    return win.with_watermark(packet_records(packets_from_events(_event_files(spark, sf_dir, late))), "ts", WATERMARK)
+
+
+def _stream_counts(spark: SparkSession, records: DataFrame, name: str, mode: str) -> DataFrame:
+    """F1 on Structured Streaming: sliding windows behind a watermark, to a parquet sink."""
     counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
-    sink, _ = win.run_bounded(counts, "stream_win_protocol_counts", output_mode="complete",
-                              state_partitions=spark.sparkContext.defaultParallelism)
-    return win.read_sink(spark, sink)
+    sink, _ = win.run_bounded(counts, name, output_mode=mode, state_partitions=spark.sparkContext.defaultParallelism)
+    return win.latest_windows(spark, sink, counts.schema) if mode == "update" else win.read_sink(spark, sink, schema=counts.schema)
+
+
+def q_stream_win_protocol_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window, those still open at the end included, merged over the micro-batches."""
+    return _stream_counts(spark, _stream_records(spark, sf_dir), "stream_win_protocol_counts", "update")
 
 
 def q_stream_win_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F2-F4 on Structured Streaming."""
-    records = _stream_records(spark, sf_dir)
-    records = records.withColumn("event_time", win.to_instant(records, "ts"))
-    totals = win.window_totals(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
-    sink, _ = win.run_bounded(totals, "stream_win_totals", output_mode="complete",
-                              state_partitions=spark.sparkContext.defaultParallelism)
-    return win.read_sink(spark, sink)
+    """F2-F4 from the same state: sums over a window's protocols."""
+    return win.totals_of(_stream_counts(spark, _stream_records(spark, sf_dir), "stream_win_totals", "update"))
 
 
 def q_stream_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 + B6 + F1: packet lines written as text files, read back as a line stream,
     parsed, and counted in sliding windows over the parsed event time."""
-    root = shared_dir(spark, "line-stream")
-    format_lines(_records(spark, sf_dir)).write.text(f"{root}/lines")
-    records = with_event_time(parse_lines(read_line_stream(spark, f"{root}/lines")))
-    counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
-    sink, _ = win.run_bounded(counts, "stream_line_windows", output_mode="complete",
-                              state_partitions=spark.sparkContext.defaultParallelism)
-    return win.read_sink(spark, sink)
+    return _stream_counts(spark, _line_records(spark, sf_dir), "stream_line_windows", "update")
 
 
-WATERMARK = "2 hours"
+def _line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "line-files")
+
+    def write(part: DataFrame) -> None:
+        format_lines(packet_records(packets_from_events(part))).write.mode("append").text(folder)
+
+    win.ordered_files(spark.read.parquet(f"{sf_dir}/events.parquet"), write, BATCHES)
+    return win.with_watermark(with_event_time(parse_lines(read_line_stream(spark, folder, 1))), "event_time", WATERMARK)
+
+
+def q_stream_label_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 on a line stream, whose records have labels only."""
+    counters = win.label_counters(_line_records(spark, sf_dir))
+    sink, _ = win.run_bounded(counters, "stream_label_counters", output_mode="complete")
+    return win.read_sink(spark, sink)
 
 
 def q_stream_win_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F6 + F7: append mode behind a watermark. A bounded run emits exactly the windows that
     end at or before the final watermark (latest event time minus the delay)."""
-    records = win.with_watermark(_stream_records(spark, sf_dir), "ts", WATERMARK)
-    counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
-    sink, _ = win.run_bounded(counts, "stream_win_append", output_mode="append",
-                              state_partitions=spark.sparkContext.defaultParallelism)
-    return win.read_sink(spark, sink, schema=counts.schema)
+    return _stream_counts(spark, _stream_records(spark, sf_dir), "stream_win_append", "append")
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a tenth of the rows of the first half of the time arrives in a last file, long after its windows are final."""
+    low, high = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.min("ts"), F.max("ts")).first()
+    late = (F.col("event_id") % 10 == 0) & (F.col("ts") < F.lit(low + (high - low) / 2))
+    return _stream_counts(spark, _stream_records(spark, sf_dir, late), "stream_late_rows", "append")
 
 
 def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counters = win.running_counters(_stream_records(spark, sf_dir))
+    counters = win.running_counters(packet_records(packets_from_events(_event_files(spark, sf_dir))))
     sink, _ = win.run_bounded(counters, "stream_running_counters", output_mode="complete",
                               state_partitions=spark.sparkContext.defaultParallelism)
     return win.read_sink(spark, sink)
@@ -178,15 +264,24 @@ def _fixed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.assign_to_centres(features, cluster.extreme_centres(features))
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, predictions = cluster.fit_kmeans(_reused_features(spark, sf_dir))
-    return predictions
+def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every capture, the number of clusters fitted and whether its cluster's centre is the nearest."""
+    model, predictions = cluster.fit_kmeans(_reused_features(spark, sf_dir))
+    centres = [[float(x) for x in c] for c in model.clusterCenters()] if model else [[0.0] * len(FEATURE_COLUMNS)]
+    nearest = cluster.assign_to_centres(predictions.withColumnRenamed("prediction", "fitted"), centres)
+    return nearest.select("filename", F.lit(len(centres)).cast("long").alias("k"), (F.col("prediction") == F.col("fitted")).alias("nearest"))
+
+
+def q_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector's length and first and last entries."""
+    v = vector_to_array("features")
+    return cluster.assemble(_features(spark, sf_dir)).select(
+        "filename", F.size(v).cast("long").alias("entries"), v[0].alias("first_entry"), v[len(FEATURE_COLUMNS) - 1].alias("last_entry"))
 
 
 def q_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = _reused_features(spark, sf_dir)
-    _, predictions = cluster.fit_kmeans(features)
-    return report_lines(features, cluster.silhouette(predictions))
+    labelled = _fixed_labels(spark, sf_dir)
+    return report_lines(labelled, cluster.silhouette(labelled))
 
 
 def catalog() -> dict[str, Query]:
@@ -196,7 +291,10 @@ def catalog() -> dict[str, Query]:
         "features_volume": lambda s, d: feat.feature_table(packets_lineitem(s, d)),
         "features_tcp_only": lambda s, d: feat.feature_table(packets_events(s, d).filter("is_tcp")),
         "features_merged_edges": q_features_merged_edges,
-        "features_approx": lambda s, d: feat.approx_feature_table(packets_events(s, d)),
+        "features_approx": q_features_approx,
+        "sketches_merged": q_sketches_merged,
+        "feature_schema": lambda s, d: to_feature_schema(_features(s, d)),
+        "features_captures": q_features_captures,
         # B: expressions
         "protocol_label": lambda s, d: packets_events(s, d).select("packet_no", protocol_label().alias("protocol")),
         "unknown_addresses": lambda s, d: packets_events(s, d).select(
@@ -223,6 +321,8 @@ def catalog() -> dict[str, Query]:
         "header_decode_volume": q_header_decode(packets_lineitem),
         "capture_roundtrip": q_capture_roundtrip(packets_events),
         "capture_roundtrip_volume": q_capture_roundtrip(packets_lineitem),
+        "capture_roundtrip_gzip": q_capture_roundtrip(packets_events, gzip=True),
+        "capture_status": q_capture_status,
         "line_format": lambda s, d: format_lines(_records(s, d)),
         "line_parse": q_line_parse,
         # F: windows and counters, batch then streaming
@@ -236,12 +336,16 @@ def catalog() -> dict[str, Query]:
         "stream_win_totals": q_stream_win_totals,
         "stream_line_windows": q_stream_line_windows,
         "stream_win_append": q_stream_win_append,
+        "stream_late_rows": q_stream_late_rows,
+        "label_counters": lambda s, d: win.label_counters(parse_lines(format_lines(_records(s, d)))),
+        "stream_label_counters": q_stream_label_counters,
         # E: clustering, R: report
         "choose_k": _panel(cluster.choose_k),
         "assign_fixed_centres": lambda s, d: _fixed_labels(s, d).select("filename", "prediction"),
         "silhouette_fixed_labels": lambda s, d: cluster.silhouette(_fixed_labels(s, d)),
-        "kmeans_fit": lambda s, d: _fitted(s, d).select("filename", "prediction"),
-        "cluster_scatter": lambda s, d: cluster.cluster_scatter(_fitted(s, d)),
+        "assemble": q_assemble,
+        "kmeans_fit": q_kmeans_fit,
+        "cluster_scatter": lambda s, d: cluster.cluster_scatter(_fixed_labels(s, d)),
         "report_lines": q_report_lines,
     }
     return q

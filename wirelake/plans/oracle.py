@@ -166,6 +166,16 @@ def feature_queries() -> dict[str, str]:
     return {
         "capture_roundtrip": roundtrip_sql("events"),
         "capture_roundtrip_volume": roundtrip_sql("lineitem"),
+        "capture_roundtrip_gzip": roundtrip_sql("events"),
+        "features_captures": roundtrip_sql("events").removesuffix("SELECT * FROM features") +
+            "SELECT filename AS capture, false AS again, * EXCLUDE (filename) FROM features UNION ALL "
+            "SELECT filename, true, * EXCLUDE (filename) FROM features WHERE filename = (SELECT MIN(filename) FROM features)",
+        "capture_status": with_ctes("SELECT 'ok' AS status, COUNT(DISTINCT filename) AS captures FROM packets "
+                                    "UNION ALL SELECT 'bad_header', 1 UNION ALL SELECT 'missing', 1", packets_cte("events")),
+        "feature_schema": features_sql("events"),
+        "features_approx": features_sql(final="SELECT filename, true AS unique_src_ips_near, true AS unique_dst_ips_near, "
+                                              "true AS connections_near FROM features"),
+        "sketches_merged": features_sql(final="SELECT filename, true AS unique_src_ips_near, true AS unique_dst_ips_near FROM features"),
         "features": features_sql("events"),
         "features_volume": features_sql("lineitem"),
         "features_tcp_only": features_sql("events", where="is_tcp"),
@@ -204,10 +214,10 @@ SELECT len(p) AS n, regexp_replace(p[1], '^\s+|\s+$', '', 'g') AS t, p[2] AS pro
 FROM (SELECT string_split(value, ',') AS p FROM lines)""")
 
 LINE_PARSE_FINAL = r"""
-SELECT TRY_CAST(t AS DOUBLE) AS timestamp, protocol, src_ip, dst_ip, TRY_CAST(s AS INTEGER) AS packet_size
+SELECT TRY_CAST(t AS DOUBLE) AS timestamp, protocol, src_ip, dst_ip, TRY_CAST(s AS BIGINT) AS packet_size
 FROM parsed
 WHERE n = 5 AND regexp_full_match(t, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?')
-  AND regexp_full_match(s, '[+-]?[0-9]+') AND TRY_CAST(s AS INTEGER) IS NOT NULL"""
+  AND regexp_full_match(s, '[+-]?[0-9]+') AND TRY_CAST(s AS BIGINT) IS NOT NULL"""
 
 # Each row falls into four sliding windows (4 h long, 1 h slide) that start
 # on the hour at k = 0..3 hours before its own hour.
@@ -246,7 +256,17 @@ def stream_queries() -> dict[str, str]:
         return with_ctes(f"SELECT window_start, window_end, {metric} FROM totals_w", p, RECORDS, WINDOWED,
                          WIN_TOTALS)
 
+    labels = ", ".join(f"COUNT(*) FILTER (WHERE protocol = '{p_}') AS label_{p_.lower()}" for p_ in ("TCP", "UDP", "ICMP", "HTTP", "DNS"))
+    label_counters = with_ctes(f"SELECT COUNT(*) AS total_packets, {labels}, CAST(COALESCE(SUM(packet_size), 0) AS BIGINT) AS total_bytes FROM rec",
+                               p, RECORDS)
+    on_time = ("packets", f"SELECT * FROM ({PACKETS_EVENTS}) p WHERE NOT (packet_no % 10 = 0 AND ts < "
+                          "(SELECT MIN(ts) + (MAX(ts) - MIN(ts)) / 2 FROM events))")
     return {
+        "label_counters": label_counters,
+        "stream_label_counters": label_counters,
+        "stream_late_rows": with_ctes(
+            "SELECT * FROM wc WHERE window_end <= (SELECT MAX(ts) FROM rec) - INTERVAL 2 HOUR",
+            on_time, RECORDS, WINDOWED, ("wc", WIN_PROTOCOL)),
         "header_decode": with_ctes(f"SELECT {CONTRACT_COLS} FROM packets", p),
         "header_decode_volume": with_ctes(f"SELECT {CONTRACT_COLS} FROM packets", packets_cte("lineitem")),
         "line_format": with_ctes(
@@ -309,9 +329,27 @@ def _silhouette_sql() -> str:
     )
 
 
+def _report_sql() -> str:
+    lines = ["printf('File: %s', filename)", "printf('Total Packets: %d', packet_count)", "printf('Total Bytes: %.2f', CAST(total_bytes AS DOUBLE))",
+             "printf('Unique Source IPs: %d', unique_src_ips)", "printf('Unique Destination IPs: %d', unique_dst_ips)", "''",
+             "'Protocol Distribution:'", *[f"printf('  - {p}: %d packets', {p.lower()}_packet_count)" for p in ("TCP", "UDP", "ICMP", "HTTP", "DNS")], "''",
+             "printf('Protocol Diversity: %.2f', protocol_diversity)", "printf('Connection Density: %.4f', connection_density)", "''", "'---'", "''"]
+    block = f"SELECT 1 AS section, filename AS capture_order, unnest(range({len(lines)})) AS line_no, unnest([{', '.join(lines)}]) AS value FROM features"
+    score = "CASE WHEN silhouette IS NULL THEN 'Silhouette Score: n/a' ELSE printf('Silhouette Score: %.4f', silhouette) END"
+    return (f"WITH score AS ({_silhouette_sql()}), {features_sql(final=block).removeprefix('WITH ')} "
+            "UNION ALL SELECT 0, NULL, unnest(range(2)), unnest(['=== Network Traffic Analysis Report ===', '']) "
+            f"UNION ALL SELECT 2, NULL, unnest(range(3)), unnest(['=== Clustering Results ===', '', {score}]) FROM score")
+
+
 def cluster_queries() -> dict[str, str]:
     distinct_cols = ", ".join(_FC)
+    k = f"LEAST(LEAST(3, GREATEST(2, (SELECT COUNT(*) FROM features) // 2)), (SELECT COUNT(*) FROM (SELECT DISTINCT {distinct_cols} FROM features)))"
     return {
+        "assemble": features_sql(final="SELECT filename, 13 AS entries, CAST(packet_count AS DOUBLE) AS first_entry, "
+                                       "syn_flood_indicator AS last_entry FROM features"),
+        "kmeans_fit": features_sql(final=f"SELECT filename, CAST({k} AS BIGINT) AS k, true AS nearest FROM features"),
+        "cluster_scatter": features_sql(final="SELECT filename, packet_count, total_bytes, prediction FROM labelled", extra=_labels_ctes()),
+        "report_lines": _report_sql(),
         "choose_k": features_sql(final=(
             "SELECT rows, distinct_vectors, CAST(LEAST(LEAST(3, GREATEST(2, rows // 2)), distinct_vectors) AS BIGINT)"
             " AS k FROM (SELECT (SELECT COUNT(*) FROM features) AS rows, "

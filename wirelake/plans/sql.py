@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 VIEW_NAMES = ("network_features", "network_traffic")
 
+# Fixed output list: the report's columns, in their order.
 REPORT_COLUMNS_SQL = """
 SELECT filename, packet_count, total_bytes, unique_src_ips, unique_dst_ips,
        tcp_packet_count, udp_packet_count, icmp_packet_count, http_packet_count,

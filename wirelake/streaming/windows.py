@@ -14,6 +14,9 @@ a checkpoint in the shared folder, so a restarted job resumes where it left.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -73,21 +76,20 @@ def window_totals(records: DataFrame, length: str = "20 seconds", slide: str = "
     return agg.select(*_bounds(ntz_out), "bytes", "packets", "avg_packet_size")
 
 
-def running_counters(records: DataFrame) -> DataFrame:
-    """the live counters. TCP, UDP and ICMP need IPv4 and exclude each other
-    in that order; DNS and HTTP are counted apart, DNS winning over HTTP.
+def label_counters(records: DataFrame) -> DataFrame:
+    """Counters of a line stream, whose records carry only the protocol label: each packet counts once, under its
+    label (a DNS-over-TCP packet as DNS only), so these are not ``running_counters`` and have other names."""
+    label = F.col("protocol")
+    return records.agg(
+        F.count(F.lit(1)).alias("total_packets"),
+        *[F.count_if(label == p).alias(f"label_{p.lower()}") for p in ("TCP", "UDP", "ICMP", "HTTP", "DNS")],
+        F.coalesce(F.sum("packet_size"), F.lit(0)).cast("long").alias("total_bytes"),
+    )
 
-    Records parsed from text lines carry only the protocol label, so there
-    each packet counts once, under its label (a DNS-over-TCP packet counts
-    as DNS only).
-    """
-    if "has_ip" not in records.columns:
-        label = F.col("protocol")
-        return records.agg(
-            F.count(F.lit(1)).alias("total_packets"),
-            *[F.count_if(label == p).alias(f"{p.lower()}_packets") for p in ("TCP", "UDP", "ICMP", "HTTP", "DNS")],
-            F.coalesce(F.sum("packet_size"), F.lit(0)).cast("long").alias("total_bytes"),
-        )
+
+def running_counters(records: DataFrame) -> DataFrame:
+    """the live counters, from packet records. TCP, UDP and ICMP need IPv4 and exclude each other
+    in that order; DNS and HTTP are counted apart, DNS winning over HTTP."""
     ip = _bool("has_ip")
     tcp = ip & _bool("is_tcp")
     udp = ip & ~_bool("is_tcp") & _bool("is_udp")
@@ -155,6 +157,30 @@ def batch_writer(sink: str, output_mode: str):
     return write
 
 
+def stop_gracefully(query: StreamingQuery, timeout_seconds: float = 60.0) -> None:
+    """F8: let the running micro-batch finish, then stop; after the timeout stop anyway."""
+    deadline = time.monotonic() + timeout_seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+        time.sleep(0.05)
+    query.stop()
+
+
+def latest_windows(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
+    """What an update-mode sink says now: every window and protocol with the counts of its last micro-batch,
+    windows that are still open included."""
+    reader = spark.read if schema is None else spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
+    rows = reader.parquet(sink)
+    keys = ["window_start", "window_end", "protocol"]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct("packets", "bytes"), "batch_id").alias("now"))
+    return last.select(*keys, "now.packets", "now.bytes")
+
+
+def totals_of(counts: DataFrame) -> DataFrame:
+    """F2-F4 from F1: a window's totals are the sums over its protocols."""
+    rows = counts.groupBy("window_start", "window_end").agg(F.sum("bytes").alias("bytes"), F.sum("packets").alias("packets"))
+    return rows.withColumn("avg_packet_size", F.col("bytes") / F.col("packets"))
+
+
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read
     if schema is not None:
@@ -163,10 +189,21 @@ def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None
     return df.drop("batch_id") if "batch_id" in df.columns else df
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` table as a file stream (the stand-in for live capture lines)."""
-    static = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    reader = spark.readStream.schema(static.schema).option("pathGlobFilter", "events.parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(sf_dir)
+def ordered_files(events: DataFrame, write: Callable[[DataFrame], None], files: int, late: Column | None = None) -> None:
+    """Give ``events`` to ``write`` in ``files`` parts in time order, one after another, so that a stream over what
+    it writes runs that many micro-batches with one file per trigger; rows marked ``late`` follow in a last part."""
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    if low is None:
+        return write(events.coalesce(1))
+    step = (high - low) / files
+    on_time = events if late is None else events.filter(~late)
+    for k in range(files):
+        since, until = F.col("ts") >= F.lit(low + k * step), F.col("ts") < F.lit(low + (k + 1) * step)
+        write(on_time.filter((since if k else F.lit(True)) & (until if k < files - 1 else F.lit(True))).coalesce(1))
+    if late is not None:
+        write(events.filter(late).coalesce(1))
+
+
+def event_stream(spark: SparkSession, folder: str, schema: T.StructType, max_files_per_trigger: int = 1) -> DataFrame:
+    """A folder of event files as a stream (the stand-in for live capture)."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(folder)
