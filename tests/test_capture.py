@@ -252,3 +252,132 @@ def test_ingest_with_nothing_readable(spark, scratch):
     res = ingest_captures(spark, [bad, os.path.join(scratch, "missing.pcap")], os.path.join(scratch, "out"))
     assert res.packets.count() == 0 and res.rejected.count() == 2
     assert feature_table(res.packets, ["path", "filename"], captures=res.captures).count() == 0
+
+
+def _ingest_many_ranges(spark, scratch, packets, name="x.pcap", split=700, **kw):
+    path = os.path.join(scratch, name)
+    write_pcap(path, packets, **kw)
+    return path, ingest_captures(spark, [path], os.path.join(scratch, f"out-{name}"), split_bytes=split)
+
+
+def test_zero_payloads_day_gaps_and_odd_lengths(spark, scratch):
+    """Runs of zero bytes, steps of days, and records that look like header chains don't mislead split framing."""
+    packets, t = [], 1_700_000_000.0
+    for i in range(300):
+        t += 86_400 * 3 if i % 7 == 0 else 0.01
+        packets.append((round(t, 6), CASES["http"][0] + b"\0" * (1400 if i % 3 == 0 else 20)))
+    _, res = _ingest_many_ranges(spark, scratch, packets, split=500)
+    got = res.packets.agg(F.count("*").alias("n"), F.sum("packet_size").alias("b"), F.count_distinct("packet_no").alias("d"), F.max("packet_no").alias("hi")).first()
+    assert got.n == got.d == got.hi == 300 and got.b == sum(len(p) for _, p in packets)
+    assert res.rejected.count() == 0 and res.packets.filter("NOT is_http").count() == 0
+
+
+def test_large_records_and_original_lengths_are_kept(spark, scratch):
+    """A record of 300 kB, far above the snap length, and an original length of 2**32 - 1; only the corrupt file is rejected."""
+    import struct
+
+    small = CASES["syn"][0]
+    packets = [(1.0 + i, small) for i in range(50)] + [(60.0, small + b"\1" * 300_000)] + [(70.0 + i, small) for i in range(50)]
+    path, corrupt = os.path.join(scratch, "big.pcap"), os.path.join(scratch, "corrupt.pcap")
+    write_pcap(path, packets)
+    with open(path, "r+b") as f:
+        f.seek(24 + 12)
+        f.write(struct.pack("<I", 0xFFFFFFFF))
+    write_pcap(corrupt, packets[:40])
+    with open(corrupt, "r+b") as f:
+        f.seek(24 + 10 * (16 + len(small)) + 8)
+        f.write(struct.pack("<I", 0xFFFFFFF0))
+    res = ingest_captures(spark, [path, corrupt], os.path.join(scratch, "out"), split_bytes=1000)
+    got = res.packets.agg(F.count("*"), F.max("packet_size"), F.max("orig_len"), F.count_if("is_tcp")).first()
+    assert tuple(got) == (101, len(small) + 300_000, 0xFFFFFFFF, 101)
+    assert [(r.filename, r.status) for r in res.rejected.collect()] == [("corrupt.pcap", "framing_error")]
+
+
+def test_wrong_guess_repairs_ranges_not_files(spark, scratch):
+    """Payloads that hold whole captures: guesses go wrong there, and only those ranges are read again."""
+    import struct
+
+    inner = b"".join(struct.pack("<IIII", 1_700_000_000 + k, 5, 60, 60) + bytes(60) for k in range(40))
+    packets = [(1_700_000_000.0 + i, CASES["dns_udp"][0] + (inner if i % 20 == 10 else b"\2" * 50)) for i in range(200)]
+    path, res = _ingest_many_ranges(spark, scratch, packets, split=900)
+    assert res.packets.count() == 200 and res.rejected.count() == 0
+    out = os.path.join(scratch, "out-x.pcap")
+    checked = spark.read.parquet(f"{out}/checked-1")
+    wrong, ranges = checked.filter("wrong").count(), checked.count()
+    assert 0 < wrong < ranges / 2 and os.path.getsize(path) / 900 <= ranges + 1
+
+
+def test_large_pcapng_block_and_interface_offset(spark, scratch):
+    import struct
+
+    def block(kind: int, body: bytes) -> bytes:
+        body += b"\0" * (-len(body) % 4)
+        return struct.pack("<II", kind, len(body) + 12) + body + struct.pack("<I", len(body) + 12)
+
+    def packet(data: bytes) -> bytes:
+        return block(6, struct.pack("<IIIII", 0, 0, 5_000_000, len(data), len(data)) + data)
+
+    interface = struct.pack("<HHI", 1, 0, 0) + struct.pack("<HHq", 14, 8, 1_000_000) + struct.pack("<HH", 0, 0)
+    frame = CASES["http"][0]
+    path = os.path.join(scratch, "n.pcapng")
+    with open(path, "wb") as f:
+        f.write(block(0x0A0D0D0A, struct.pack("<IHHq", 0x1A2B3C4D, 1, 0, -1)) + block(1, interface))
+        f.write(packet(frame) * 20 + packet(frame + b"\3" * (20 << 20)) + packet(frame) * 20)
+    res = ingest_captures(spark, [path], os.path.join(scratch, "out"), split_bytes=1 << 20)
+    got = res.packets.agg(F.count("*"), F.max("packet_size"), F.count_if("is_http"), F.min(F.unix_seconds(F.col("ts")))).first()
+    assert tuple(got) == (41, len(frame) + (20 << 20), 41, 1_000_005)
+
+
+def test_long_ipv6_header_chains(spark, scratch):
+    def ext(nh: int, body_len8: int = 0) -> bytes:
+        return bytes([nh, body_len8]) + b"\x01\x04\0\0\0\0" + b"\0" * (8 * body_len8)
+
+    four = eth(0x86DD, ip6(0, ext(60) + ext(43) + ext(60) + ext(6) + tcp(1, 80, PSH | ACK, b"GET / HTTP/1.1\r\n")))
+    large = eth(0x86DD, ip6(60, ext(60, 255) + ext(6, 100) + tcp(1, 443, SYN)))
+    _, res = _ingest_many_ranges(spark, scratch, [(1.0, four), (2.0, large)])
+    got = {r.packet_no: r for r in res.packets.collect()}
+    assert got[1].is_http and got[2].is_tcp and got[2].tcp_flags == SYN
+
+
+def test_gzip_captures(spark, scratch):
+    import gzip
+
+    pk = _mixed_packets(400, seed=5)
+    plain, cut = os.path.join(scratch, "a.pcap"), os.path.join(scratch, "cut.pcap.gz")
+    write_pcap(plain, pk)
+    data = open(plain, "rb").read()
+    zipped = os.path.join(scratch, "b.pcap.gz")
+    with open(zipped, "wb") as f:
+        f.write(gzip.compress(data[:5000]) + gzip.compress(data[5000:]))  # two members
+    with open(cut, "wb") as f:
+        f.write(gzip.compress(data[:-3]))  # a truncated last record
+    res = ingest_captures(spark, [plain, zipped, cut], os.path.join(scratch, "out"), split_bytes=3000)
+    rows = {r.filename: r for r in feature_table(res.packets, ["path", "filename"]).collect()}
+    same = [{k: v for k, v in rows[n].asDict().items() if k not in ("path", "filename")} for n in ("a.pcap", "b.pcap.gz")]
+    assert same[0] == same[1] and rows["cut.pcap.gz"].packet_count == 399
+
+
+def test_a_path_listed_twice_is_two_captures(spark, scratch):
+    a, b = os.path.join(scratch, "a.pcap"), os.path.join(scratch, "b.pcap")
+    write_pcap(a, _mixed_packets(10))
+    write_pcap(b, [])
+    res = ingest_captures(spark, [a, a, b], os.path.join(scratch, "out"))
+    table = feature_table(res.packets, ["capture_index", "path", "filename"], captures=res.captures)
+    assert sorted((r.capture_index, r.packet_count) for r in table.collect()) == [(0, 10), (1, 10), (2, 0)]
+
+
+def test_paths_and_statuses(spark, scratch):
+    from wirelake.sources.capture import list_captures, stat_captures
+    from wirelake.sources.files import arrow_uri, qualify
+
+    assert arrow_uri("s3a://bucket/x.pcap") == "s3://bucket/x.pcap" and arrow_uri("abfss://c@a.example/x") == "abfss://c@a.example/x"
+    assert arrow_uri("hdfs://nn:8020/x") == "hdfs://nn:8020/x" and arrow_uri("file:///a/b") == arrow_uri("file:/a/b") == arrow_uri("/a/b") == "/a/b"
+    assert qualify(spark, "/a/b.pcap") == "file:/a/b.pcap" and qualify(spark, "s3a://bucket/x") == "s3a://bucket/x"
+    good = os.path.join(scratch, "g.pcap")
+    write_pcap(good, _mixed_packets(3))
+    paths = [good, os.path.join(scratch, "none.pcap"), scratch, "nosuch://host/x.pcap"]
+    got = {r.path: (r.status, r.detail) for r in list_captures(spark, paths).collect()}
+    assert [got[p][0] for p in paths] == ["ok", "missing", "unreadable", "unreadable"]
+    assert got[scratch][1].startswith("IsADirectoryError") and got["nosuch://host/x.pcap"][1]
+    many = spark.createDataFrame([(i, f"{scratch}/{i}.pcap") for i in range(400)], "capture_index long, path string")
+    assert stat_captures(many).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -17,6 +17,7 @@ FIXTURE = [
     ("22,TCP,a,b,1,2", None),
     ("7,TCP,a,b,x", None),
     ("7,TCP,a,b,1.5", None),
+    ("9,TCP,a,b,3000000000", (9.0, "TCP", "a", "b", 3000000000)),
     ("nan,TCP,a,b,1", None),
     ("", None),
 ]

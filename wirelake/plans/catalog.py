@@ -38,7 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feat.feature_table(packets_events(spark, sf_dir))
+    return feat.feature_table(packets_events(spark, sf_dir, spread_rows=True))
 
 
 def _panel(fn: Callable[[DataFrame], DataFrame]) -> Query:
@@ -47,7 +47,7 @@ def _panel(fn: Callable[[DataFrame], DataFrame]) -> Query:
 
 def q_features_merged_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges computed per week of capture time (separate partial results), then merged."""
-    packets = packets_events(spark, sf_dir).withColumn("batch", F.weekofyear("ts"))
+    packets = packets_events(spark, sf_dir, spread_rows=True).withColumn("batch", F.weekofyear("ts"))
     per_batch = feat.edge_table(packets, ["filename"], batch="batch").drop("batch")
     return feat.features_from_edges(feat.merge_edges(per_batch, keys=["filename"]), ["filename"])
 
@@ -119,14 +119,14 @@ def q_capture_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_features_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Is each estimate within three standard deviations (and one) of the exact count?"""
-    packets, rsd = packets_events(spark, sf_dir), 0.05
+    packets, rsd = packets_events(spark, sf_dir, spread_rows=True), 0.05
     exact, near = feat.feature_table(packets), feat.approx_feature_table(packets, rsd=rsd)
     return _within(exact, near, ["unique_src_ips", "unique_dst_ips", "connections"], 3 * rsd)
 
 
 def q_sketches_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches made per week of capture time, merged."""
-    packets = packets_events(spark, sf_dir)
+    packets = packets_events(spark, sf_dir, spread_rows=True)
     sketches = feat.endpoint_sketches(packets.withColumn("week", F.weekofyear("ts")), ["filename"], "week")
     near = feat.merge_endpoint_sketches(sketches, ["filename"])
     return _within(feat.feature_table(packets), near, ["unique_src_ips", "unique_dst_ips"], 0.05)
@@ -288,16 +288,16 @@ def catalog() -> dict[str, Query]:
     q: dict[str, Query] = {
         # C: features
         "features": _features,
-        "features_volume": lambda s, d: feat.feature_table(packets_lineitem(s, d)),
-        "features_tcp_only": lambda s, d: feat.feature_table(packets_events(s, d).filter("is_tcp")),
+        "features_volume": lambda s, d: feat.feature_table(packets_lineitem(s, d, spread_rows=True)),
+        "features_tcp_only": lambda s, d: feat.feature_table(packets_events(s, d, spread_rows=True).filter("is_tcp")),
         "features_merged_edges": q_features_merged_edges,
         "features_approx": q_features_approx,
         "sketches_merged": q_sketches_merged,
         "feature_schema": lambda s, d: to_feature_schema(_features(s, d)),
         "features_captures": q_features_captures,
         # B: expressions
-        "protocol_label": lambda s, d: packets_events(s, d).select("packet_no", protocol_label().alias("protocol")),
-        "unknown_addresses": lambda s, d: packets_events(s, d).select(
+        "protocol_label": lambda s, d: packets_events(s, d, spread_rows=True).select("packet_no", protocol_label().alias("protocol")),
+        "unknown_addresses": lambda s, d: packets_events(s, d, spread_rows=True).select(
             "packet_no", address_or_unknown("src_ip").alias("src_ip"), address_or_unknown("dst_ip").alias("dst_ip")),
         "syn_packets": q_syn_packets,
         "report_columns": q_report_columns,

@@ -16,32 +16,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 TABLE_KEYS = {"events": ["event_id"], "lineitem": ["l_orderkey", "l_linenumber"]}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, TABLE_KEYS.get(name)) if spread_rows else df
+    return spread(df, TABLE_KEYS[name]) if spread_rows else df
 
 
-def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Spread the rows over the cluster's cores when the scan plans fewer splits.
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows hashed on a unique key over the cluster's cores (even, deterministic, no sort).
 
-    A file stored as one row group is read by one task, and every step after
-    it up to the first shuffle would run on one core. Rows are hashed on a
-    unique key when one is given (even, deterministic, no sort), else
-    distributed round-robin. On a cluster reading many large files the scan
-    already has enough splits and this is a no-op. Filters and column pruning
-    still reach the scan.
+    For the small test tables only: a file stored as one row group is read by one task,
+    and every step after it up to the first shuffle would run on one core. Large tables
+    have enough splits and need no spreading, so it is a choice of the caller, never made
+    by size. Filters and column pruning still reach the scan.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
-def packets_events(spark: SparkSession, sf_dir: str, spread_rows: bool = True) -> DataFrame:
-    """30 captures (one per day of month); ``error`` rows are the non-IPv4 packets.
-
-    ``spread_rows``: see ``spread`` (a no-op when the scan has enough splits).
-    """
+def packets_events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+    """30 captures (one per day of month); ``error`` rows are the non-IPv4 packets. ``spread_rows``: see ``spread``."""
     return packets_from_events(read_table(spark, sf_dir, "events", spread_rows))
 
 
@@ -70,7 +62,7 @@ def packets_from_events(e: DataFrame) -> DataFrame:
     )
 
 
-def packets_lineitem(spark: SparkSession, sf_dir: str, spread_rows: bool = True) -> DataFrame:
+def packets_lineitem(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
     """12 captures by supplier; the volume view for benchmarks (day-granular time)."""
     li = read_table(spark, sf_dir, "lineitem", spread_rows)
     rf, ls, ln = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
