@@ -40,6 +40,7 @@ TAKE = 4
 BANDS = 20
 SIMILARITY = 0.8
 SLICE_BYTES = 1 << 20
+VERIFY_BYTES = 2 << 20
 CELLS = 1 << 17
 SEEDS = mix64(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
@@ -176,8 +177,8 @@ def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFram
     """pairs (a, b) of keys -> those with the similarity or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start, stop in byte_slices(batch.column(2), VERIFY_BYTES):  # many pairs at once share the cost of a row step
+                part = batch.slice(start, stop - start)
                 both = [(np.frombuffer(x, dtype=np.uint32).astype(np.int64), np.frombuffer(y, dtype=np.uint32).astype(np.int64))
                         for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
                 limits = [int((1.0 - similarity) * max(len(x), len(y)) + 1e-9) for x, y in both]
