@@ -39,8 +39,8 @@ ORDER = 5
 QUANTILE = 0.99
 MARGIN = 1.1
 HELD_OUT_OF = 5            # one trusted text in so many sets thresholds instead of being counted
-BLOCK_BYTES = 32 << 20     # text in one block, about
-PACK_BYTES = 8 << 20       # text that is sorted into blocks and compressed at a time
+BLOCK_BYTES = 16 << 20     # text in one block, about
+PACK_BYTES = 4 << 20       # text that is sorted into blocks and compressed at a time
 SLICE_BYTES = 1 << 20
 START, END = "\x02", "\x03"
 NUL = "\x01"  # stands for U+0000, which numpy drops at the end of a string
@@ -147,7 +147,7 @@ def gram_counts(blocks: _Blocks, trusted_ids: DataFrame) -> DataFrame:
                         parts = found.setdefault(lang, [])
                         hashes, grams, counts = _distinct(some)
                         parts.append((hashes, grams, counts if is_trusted else np.zeros_like(counts)))
-                        if len(parts) > 16:
+                        if len(parts) > 8:
                             found[lang] = [_merged(parts)]
         merged = [(lang, *_merged(parts)[1:]) for lang, parts in found.items()]
         langs = [lang for lang, grams, _ in merged for _ in grams]
