@@ -119,6 +119,21 @@ def test_links_across_components_of_a_bucket_are_not_lost(spark):
     assert {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()} == plain_classes(texts)
 
 
+def test_links_just_above_the_similarity(spark):
+    """Copies with scattered edits, at alignment 0.8 to 0.9, are found like close ones."""
+    rng, texts = random.Random(11), {}
+    for group in range(40):
+        base = [w + str(rng.randrange(1000)) for w in prose(150, 500 + group).split()]
+        copy = list(base)
+        for k in rng.sample(range(150), 15 + 15 * (group % 2)):
+            copy[k] = f"new{k}"
+        texts[2 * group], texts[2 * group + 1] = " ".join(base), " ".join(copy)
+    docs = table(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    want = plain_classes(texts)
+    assert all(want[2 * g] == want[2 * g + 1] for g in range(40))
+    assert {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()} == want
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + k, 101 + k) for k in range(40)]

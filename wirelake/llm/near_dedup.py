@@ -16,7 +16,10 @@ tested, found by an exact prefix filter on rare words, so that no link is lost a
 than a common passage make no pairs; pairs inside one component can't change any class and are skipped. Word counts and
 band agreement are the only things shuffled for all rows; texts move only for documents in candidate pairs.
 
-At similarity 0.8 of the k-mer sets, about 0.41 of the bands agree, and all 20 miss with probability 3e-5.
+Pairs with scattered word edits agree in about 0.14 of the bands at alignment similarity 0.8, 0.23 at 0.85 and
+0.37 at 0.9; all 32 bands miss with a probability of about 0.8%, 0.02% and 4e-7. In 250 simulated pairs for each
+of 60 and 300 words, 0.992 and 0.996 were candidates at 0.8, and all at 0.85 and 0.9. Edits that stand together
+leave more k-mers whole, so such pairs are missed more rarely.
 
 Defined cases: a null text counts as empty; texts without words are equal to each other only when their
 characters are; texts of less than K words have one k-mer, all their words; ids may repeat or be null (a
@@ -35,9 +38,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from wirelake.llm.common import byte_slices, materialise, mix64, span_hashes, texts_of
 from wirelake.llm.components import components
 
-K = 5
-TAKE = 4
-BANDS = 20
+K = 3
+TAKE = 2
+BANDS = 32
 SIMILARITY = 0.8
 SLICE_BYTES = 1 << 20
 VERIFY_BYTES = 2 << 20
