@@ -163,6 +163,16 @@ def test_quality_keeps_prose_and_drops_junk(spark):
     assert perplexity.quality(awkward(spark), labels(spark)).count() == len(awkward_rows())
 
 
+def test_quality_threshold_is_a_tight_quantile(spark):
+    """The 0.95 quantile of the held-out trusted texts, but for an allowance of 1/n, which rejects a repeated word."""
+    rows = [(k, prose(80, k), "en", "s") for k in range(300)] + [(900 + k, " ".join(["Oure"] * 80), "en", "s") for k in range(3)]
+    got = perplexity.quality(table(spark, rows), labels(spark, [(k, 1, 0) for k in range(300)]))
+    got = got.selectExpr("*", f"pmod(xxhash64(doc_id), {perplexity.HELD_OUT_OF}) = 0 AS held").collect()
+    held = sorted(r.perplexity for r in got if r.doc_id < 300 and r.held)
+    limit = held[math.ceil(0.95 * len(held)) - 1] * (1 + 1 / len(held))
+    assert len(held) > 30 and all(abs(r.threshold - limit) < 1e-9 for r in got) and not any(r.keep for r in got if r.doc_id >= 900)
+
+
 def test_toxicity_held_out(spark):
     docs, marks = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
     got = toxicity.score(docs, toxicity.train(docs, marks)).toPandas().merge(marks.toPandas(), on="doc_id", how="left")

@@ -10,8 +10,9 @@ n-grams, far fewer than its characters, and how often each occurs in trusted tex
 n-gram; lower orders, context totals and discounts are aggregations of that table. *Scoring.* The blocks'
 n-grams are joined with the count tables, each sharded by its own key; the probabilities come back to the block,
 where they are added up along every whole text. The volume of n-grams grows with the number of blocks.
-*Threshold.* A language's threshold is the ``QUANTILE`` of the perplexity of its held-out trusted texts, times
-``MARGIN``.
+*Threshold.* A language's threshold is the ``QUANTILE`` of the perplexity of its n held-out trusted texts, times
+1 + 1/n: a quantile of a dozen texts is uncertain, and of hundreds is not. There is no other margin, since junk
+made of a repeated word lies close above the quantile (character n-grams hardly see the repeats).
 
 Characters rather than words: at 30 GB the distinct word n-grams of all documents alone are several times
 the disk that scoring may take, as nearly every word trigram of a text is new.
@@ -36,8 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from wirelake.llm.common import Index, byte_slices, materialise, mix64
 
 ORDER = 5
-QUANTILE = 0.99
-MARGIN = 1.1
+QUANTILE = 0.95
 HELD_OUT_OF = 5            # one trusted text in so many sets thresholds instead of being counted
 BLOCK_BYTES = 16 << 20     # text in one block, about
 PACK_BYTES = 4 << 20       # text that is sorted into blocks and compressed at a time
@@ -251,14 +251,14 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text"
     return blocks.dealt().groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, schema)
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, text_col: str = "text",
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, text_col: str = "text",
             id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
     """One row per document: id, lang, perplexity, threshold (of its language), keep."""
     trusted = labels.filter("quality = 1").select(F.col(id_col).alias("id")).filter("id IS NOT NULL").distinct()
     held_out = F.pmod(F.xxhash64("id"), F.lit(HELD_OUT_OF)) == 0
     scored = materialise(perplexities(docs, trusted.filter(~held_out), text_col, id_col, lang_col), "kn-scored")
     limits = scored.join(trusted.filter(held_out), "id", "left_semi").filter("perplexity IS NOT NULL").groupBy("lang").agg(
-        (F.percentile_approx("perplexity", quantile, 10000) * margin).alias("threshold"))
+        (F.percentile_approx("perplexity", quantile, 10000) * (1 + 1 / F.count("perplexity"))).alias("threshold"))
     rows = scored.join(limits.withColumnRenamed("lang", "of"), F.col("lang").eqNullSafe(F.col("of")), "left")
     keep = ~F.col("empty") & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return rows.select(F.col("id").alias(id_col), F.col("lang").alias(lang_col), "perplexity", "threshold", keep.alias("keep"))
