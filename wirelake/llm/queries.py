@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, passage_dedup, perplexity, secret_scan, token_count, toxicity
+from wirelake.llm import (
+    byte_bpe, chat_format, exact_dedup, filter_audit, fingerprints, mixing, near_dedup, passage_dedup, perplexity, prefix_trie,
+    secret_scan, token_count, toxicity,
+)
 from wirelake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +63,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(conversations), conversations)
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = chat_format.with_planted(read_table(spark, sf_dir, "conversations"))
+    return chat_format.digest_columns(chat_format.format_chats(chats))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
@@ -72,6 +89,9 @@ def llm_queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_toxicity": op9_toxicity,
         "op10_fingerprints": op10_fingerprints,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_chat_format": op13_chat_format,
     }
 
 
@@ -79,4 +99,7 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op1_mixing": mixing.ORACLE,
         "op5_exact_dedup": exact_dedup.ORACLE,
+        "op11_filter_audit": filter_audit.ORACLE,
+        "op12_prefix_trie": prefix_trie.ORACLE,
+        "op13_chat_format": chat_format.ORACLE,
     }
