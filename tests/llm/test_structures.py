@@ -162,7 +162,7 @@ def plain_audit(rows, marks):
         words = re.findall(r"[^\x20\x09-\x0D]+", text)
         fails = {f for f, bad in zip("ABCDE", [len(words) < 50, 100 * len(set(words)) < 65 * len(words), 100 * len(re.findall("[A-Z]", text)) > 5 * len(text),
                                                re.search("[#$%&*|]", text), i is not None and i > first[text]]) if bad}
-        good, toxic = (any(m[0] == i and m[k] == 1 for m in marks) for k in (1, 2))
+        good, toxic = (any(m[0] == i is not None and m[k] == 1 for m in marks) for k in (1, 2))
         for order in orders:
             gone = False
             for step, f in enumerate(order, 1):
