@@ -5,16 +5,25 @@ occurrence so that repeats stay apart. For each of ``BANDS`` hash functions the
 smallest numbered k-mers and hashes them in their text order: two texts agree in a band when they share
 those k-mers in the same order, which falls with edit distance, not only with set overlap. Texts that
 agree in a band are candidates. A candidate pair is a link when its alignment similarity,
-``1 - edit_distance(words) / max(words)``, is ``SIMILARITY`` or more; the edit distance is computed exactly
-within a band of diagonals that is widened until it covers the distance or the limit.
-
-Equal texts are one node throughout, so a group of copies costs one row. Within a bucket, members are
-first tested against the bucket's smallest and then its largest node (two minima per bucket, joined back:
-no bucket is gathered); verified links merge nodes into components. Among the texts in
-buckets that still hold several components, every pair across components that can have the similarity is
-tested, found by an exact prefix filter on rare words, so that no link is lost and texts that share no more
-than a common passage make no pairs; pairs inside one component can't change any class and are skipped. Word counts and
-band agreement are the only things shuffled for all rows; texts move only for documents in candidate pairs.
+``1 - edit_distance(words) / max(words)``, is ``SIMILARITY`` or more. Alignment is exact: a band of diagonals,
+column by column as bit-vectors, stopped as soon as no path can stay within the limit, and widened until it
+covers the distance or the limit.
+
+Equal texts are one node throughout (numbered, 8 bytes), so a group of copies costs one row. With each node goes a
+profile, counts of its words in ``BINS`` bins: words that only one side has must be edited, so most pairs that can't
+be alike are dropped by their profiles, before any words move. Candidates are covered in three steps:
+
+1. every member of a bucket against the bucket's smallest node (a minimum per bucket, joined back: no bucket is
+   gathered);
+2. among the nodes whose profiles passed in step 1, every member against one more node of its bucket, drawn by
+   hash, so that the buckets of a large group have different ones: few texts of a group stay apart by chance;
+3. among the texts in buckets that still hold several components, every pair across components that can have the
+   similarity, found by an exact prefix filter on rare words, so that no link is lost and texts that share no more
+   than a common passage make no pairs. The order of the words may be any fixed one for the filter to be exact; it
+   comes from a fixed number of hashed counters, so each task picks its texts' rarest words by itself, and only
+   those are shuffled.
+
+Pairs inside one component can't change any class and are skipped.
 
 Pairs with scattered word edits agree in about 0.14 of the bands at alignment similarity 0.8, 0.23 at 0.85 and
 0.37 at 0.9; all 32 bands miss with a probability of about 0.8%, 0.02% and 4e-7. In 250 simulated pairs for each
@@ -33,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wirelake.llm.common import byte_slices, materialise, mix64, span_hashes, texts_of
 from wirelake.llm.components import components
@@ -42,9 +51,10 @@ K = 3
 TAKE = 2
 BANDS = 32
 SIMILARITY = 0.8
+BINS = 128
+COUNTERS = 1 << 18  # of the word order in step 3
 SLICE_BYTES = 1 << 20
-VERIFY_BYTES = 2 << 20
-CELLS = 1 << 17
+PAIR_ROWS = 4096
 SEEDS = mix64(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
@@ -87,7 +97,11 @@ def sketch(words: np.ndarray) -> np.ndarray:
     for at in range(0, BANDS, step):
         seeds = SEEDS[at : at + step]
         if len(kmers) > TAKE:
-            picked = np.argpartition(mix64(kmers[None, :] ^ seeds[:, None]), TAKE - 1, axis=1)[:, :TAKE]
+            ranks, every = mix64(kmers[None, :] ^ seeds[:, None]), np.arange(len(seeds))
+            picked = np.empty((len(seeds), TAKE), dtype=np.int64)
+            for k in range(TAKE):
+                picked[:, k] = ranks.argmin(axis=1)
+                ranks[every, picked[:, k]] = np.uint64(2**64 - 1)
             picked.sort(axis=1)
             chosen = kmers[picked]
         else:
@@ -99,23 +113,35 @@ def sketch(words: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def profile(words: np.ndarray) -> bytes:
+    """How many words fall in each bin; a byte each, as counts beyond 255 may stay there without making two texts less alike."""
+    return np.minimum(np.bincount((words >> np.uint64(57)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
-    """docs: id, key, text -> id, key, bands."""
+    """docs: id, key, text -> id, key, size (words), profile, bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in byte_slices(batch.column(2), SLICE_BYTES):
-                rows = [sketch(word_hashes(t)) for t in texts_of(batch.column(2), start, stop)]
+                words = [word_hashes(t) for t in texts_of(batch.column(2), start, stop)]
+                rows = [sketch(w) for w in words]
                 bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(rows).astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start), bands], ["id", "key", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start), pa.array([len(w) for w in words], pa.int32()),
+                                                  pa.array([profile(w) for w in words], pa.binary()), bands], ["id", "key", "size", "profile", "bands"])
 
-    return docs.mapInArrow(run, T.StructType([docs.schema["id"], docs.schema["key"], T.StructField("bands", T.ArrayType(T.LongType()))]))
+    return docs.mapInArrow(run, T.StructType([docs.schema["id"], docs.schema["key"], T.StructField("size", T.IntegerType()), T.StructField("profile", T.BinaryType()),
+                                              T.StructField("bands", T.ArrayType(T.LongType()))]))
+
+
+def edits_allowed(size: np.ndarray, similarity: float) -> np.ndarray:
+    """Most edits with which a pair whose longer side has ``size`` words keeps the similarity."""
+    return ((1.0 - similarity) * size + 1e-9).astype(np.int64)
 
 
 def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], limits: list[int]) -> np.ndarray:
     """Edit distance of every pair, or -1 where it is above the pair's limit."""
     out = np.full(len(pairs), -1, dtype=np.int64)
-    rest = []
     for k, ((a, b), limit) in enumerate(zip(pairs, limits)):
         if abs(len(a) - len(b)) > limit:
             continue
@@ -131,148 +157,194 @@ def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], limits: list[int]
             out[k] = len(a) + len(b)
             continue
         bins = np.bincount(a & 1023, minlength=1024) - np.bincount(b & 1023, minlength=1024)
-        if max(bins[bins > 0].sum(), -bins[bins < 0].sum()) <= limit:  # words that only one side has must be edited
-            rest.append((k, a, b, limit, min(limit, max(8, abs(len(a) - len(b))))))
-    while rest:
-        rest.sort(key=lambda r: (r[4], len(r[1])))
-        again, at = [], 0
-        while at < len(rest):
-            width, stop = rest[at][4], at
-            while stop < len(rest) and rest[stop][4] == width and (stop == at or (stop - at) * (2 * width + 1) < CELLS and len(rest[stop][1]) <= 1.25 * len(rest[at][1]) + 16):
-                stop += 1
-            for row, d in zip(rest[at:stop], _banded([r[1] for r in rest[at:stop]], [r[2] for r in rest[at:stop]], width)):
-                if d <= width:
-                    out[row[0]] = d
-                elif width < row[3]:
-                    again.append((*row[:4], min(row[3], 4 * width)))
-            at = stop
-        rest = again
+        least = int(max(bins[bins > 0].sum(), -bins[bins < 0].sum()))  # words that only one side has must be edited
+        if least > limit:
+            continue
+        a, b, width = a.tolist(), b.tolist(), min(limit, 8 + least + least // 4)
+        while (d := _banded(a, b, width)) > width and width < limit:
+            width = min(limit, 4 * width)
+        if d <= width:
+            out[k] = d
     return out
 
 
-def _banded(left: list[np.ndarray], right: list[np.ndarray], w: int) -> np.ndarray:
-    """Edit distances over the diagonals -w..w, right where they are at most w; all pairs advance row by row together."""
-    n, m = np.array([len(a) for a in left]), np.array([len(b) for b in right])
-    rows, big = int(n.max()), np.int32(1 << 28)
-    a = np.full((len(left), rows), -1, dtype=np.int64)
-    b = np.full((len(left), rows + 2 * w + 1), -2, dtype=np.int64)
-    for k, (x, y) in enumerate(zip(left, right)):
-        a[k, : len(x)] = x
-        y = y[: rows + w + 1]
-        b[k, w : w + len(y)] = y
-    diagonal = np.arange(2 * w + 1, dtype=np.int32)
-    row = np.where(diagonal >= w, diagonal - w, big)[None, :].repeat(len(left), axis=0)  # row 0: j insertions at j = diagonal - w
-    out, every = np.full(len(left), big), np.arange(len(left))
-    for i in range(1, rows + 1):
-        best = row + (b[:, i - 1 : i + 2 * w] != a[:, i - 1 : i])
-        np.minimum(best[:, :-1], row[:, 1:] + 1, out=best[:, :-1])
-        if i <= w:
-            best[:, : w - i] = big  # j below 0
-            best[:, w - i] = i
-        row = (np.minimum.accumulate(best - diagonal, axis=1) + diagonal).astype(np.int32)
-        ended = n == i
-        if ended.any():
-            out[every[ended]] = row[every[ended], (m - n + w)[ended]]
-    return out
+def _banded(a: list, b: list, w: int) -> int:
+    """Edit distance of a and b, more than w where it is above w; len(a) and len(b) differ by w at most.
+
+    The table's columns follow b. Of each column only the rows within w of the diagonal are held, as integers with a
+    bit per row, lowest first: ``plus`` and ``minus`` have the rows that are one more and one less than the row above.
+    From column to column the window moves down by one row. ``score`` follows the window's lowest row, then the last
+    row of the table; distances never fall along a diagonal and by one at most along a row, which ends hopeless pairs."""
+    m, n = len(a), len(b)
+    low = 1 << (2 * w)
+    full = 2 * low - 1
+    places: dict = {}  # word -> (column, its rows as bits of that column's window)
+    for row in range(1, min(w, m) + 1):
+        places[a[row - 1]] = (0, places.get(a[row - 1], (0, 0))[1] | 1 << (row + w))
+    plus, minus, score = full ^ ((1 << w) - 1), 0, min(w, m)
+    for column in range(1, n + 1):
+        row = column + w
+        if row <= m:
+            since, bits = places.get(a[row - 1], (column, 0))
+            places[a[row - 1]] = (column, bits >> (column - since) | low)
+            if len(places) > 4 * w + 1024:  # words that have left the window
+                places = {x: p for x, p in places.items() if column - p[0] <= 2 * w}
+        since, bits = places.get(b[column - 1], (column, 0))
+        match = bits >> (column - since)
+        level = ((((match & plus) + plus) ^ plus) | match | minus) & full  # rows equal to their upper left neighbour
+        right = minus | (full ^ (level | plus))  # rows one more than their left neighbour
+        left = level & plus  # one less
+        if row <= m:
+            score += not level & low
+            if score > 2 * w + n - m:
+                return w + 1
+        else:
+            bit = 1 << (m - column + w)
+            score += bool(right & bit) - bool(left & bit)
+            if score > w + n - column:
+                return w + 1
+        half = level >> 1
+        plus, minus = left | (full ^ (half | right)), half & right
+    return score
+
+
+def _alike_profiles(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """pairs (a, b) of nodes -> those whose profiles allow the similarity."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, PAIR_ROWS):
+                part = batch.slice(start, PAIR_ROWS)
+                sizes = np.maximum(np.asarray(part.column(2)), np.asarray(part.column(4)))
+                one, two = (np.frombuffer(b"".join(part.column(k).to_pylist()), dtype=np.uint8).reshape(-1, BINS).astype(np.int16) for k in (3, 5))
+                more = one - two
+                apart = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+                yield part.select(["a", "b"]).filter(pa.array(apart <= edits_allowed(sizes, similarity)))
+
+    sides = [nodes.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("profile").alias(f"profile_{x}")) for x in ("a", "b")]
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "profile_a", "size_b", "profile_b").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """pairs (a, b) of keys -> those with the similarity or more."""
+    """pairs (a, b) of nodes -> those with the similarity or more, as (u, v)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in byte_slices(batch.column(2), VERIFY_BYTES):  # many pairs at once share the cost of a row step
+            for start, stop in byte_slices(batch.column(2), SLICE_BYTES):
                 part = batch.slice(start, stop - start)
                 both = [(np.frombuffer(x, dtype=np.uint32).astype(np.int64), np.frombuffer(y, dtype=np.uint32).astype(np.int64))
                         for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
-                limits = [int((1.0 - similarity) * max(len(x), len(y)) + 1e-9) for x, y in both]
+                limits = edits_allowed(np.array([max(len(x), len(y)) for x, y in both]), similarity).tolist()
                 ok = pa.array(edit_distances(both, limits) >= 0)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["u", "v"]).filter(ok)
 
-    left, right = words.select(F.col("key").alias("a"), F.col("words").alias("wa")), words.select(F.col("key").alias("b"), F.col("words").alias("wb"))
+    left, right = words.select(F.col("node").alias("a"), F.col("words").alias("wa")), words.select(F.col("node").alias("b"), F.col("words").alias("wb"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb")
-    return met.mapInArrow(run, T.StructType([T.StructField("u", T.BinaryType()), T.StructField("v", T.BinaryType())]))
+    return met.mapInArrow(run, "u long, v long")
 
 
 def _packed_words(texts: DataFrame) -> DataFrame:
-    """key, text -> key, words (32 bits of each word's hash)."""
+    """node, text -> node, words (32 bits of each word's hash)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in byte_slices(batch.column(1), SLICE_BYTES):
                 rows = [(word_hashes(t) >> np.uint64(32)).astype(np.uint32).tobytes() for t in texts_of(batch.column(1), start, stop)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(rows, pa.binary())], ["key", "words"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(rows, pa.binary())], ["node", "words"])
 
-    return texts.mapInArrow(run, T.StructType([T.StructField("key", T.BinaryType()), T.StructField("words", T.BinaryType())]))
+    return texts.mapInArrow(run, "node long, words binary")
 
 
 def _links(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Verified links between the distinct texts of ``nodes`` (key, bands), enough to join every class.
+    """Verified links (u, v) between ``nodes`` (node, key, size, profile, bands), enough to join every class.
     ``texts``: key and text of every input row."""
-    bands = nodes.select("key", F.posexplode("bands").alias("band", "sig"))
-    ends = bands.groupBy("band", "sig").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low <> high")
-    members = materialise(bands.join(ends, ["band", "sig"]), "omh-members")  # buckets of two or more texts only
-    needed = members.select("key").distinct()
-    words = materialise(_packed_words(texts.join(needed, "key").groupBy("key").agg(F.first("text").alias("text"))), "omh-words")
-
-    def pair(x: str, y: str) -> list[Column]:
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-    tested = materialise(members.filter("key <> low").select(*pair("key", "low")).distinct(), "omh-pairs")
-    links = materialise(_verified(tested, words, similarity), "omh-links")
-    # against the largest member, where the first test has not joined the two already
+    bands = nodes.select("node", F.explode("bands").alias("sig"))  # a band's value is seeded by the band
+    ends = bands.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("sig", "low")
+    members = materialise(bands.join(ends, "sig"), "omh-members")  # buckets of two or more texts only
+    needed = nodes.join(members.select("node").distinct(), "node").select("key", "node")
+    words = materialise(_packed_words(texts.join(needed, "key").groupBy("node").agg(F.first("text").alias("text"))), "omh-words")
+    pair = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
+
+    def tested(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        alike = materialise(_alike_profiles(pairs, nodes, similarity), "omh-alike")
+        return alike, materialise(_verified(alike, words, similarity), "omh-links")
+
+    # every member against its bucket's smallest
+    first = members.filter("node <> low").withColumnRenamed("low", "pivot").select(*pair).distinct()
+    alike, links = tested(first)
+    # nodes of pairs that are about alike, against one of their bucket drawn by hash
     roots = components(links, "omh-components")
-    marked = _with_roots(members, roots)
-    open_buckets = marked.groupBy("band", "sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max_by("root", "key").alias("high_root")).filter("r0 <> r1")
-    left = materialise(marked.join(open_buckets, ["band", "sig"]), "omh-open")
-    second = left.filter("root <> high_root").select(*pair("key", "high")).distinct().join(tested, ["a", "b"], "left_anti")
-    second = materialise(second, "omh-pairs")
-    links = links.unionByName(materialise(_verified(second, words, similarity), "omh-links"))
+    close = alike.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    close = _with_roots(members.select("sig", "node").join(close, "node"), roots)
+    drawn = F.struct(F.xxhash64("sig", "node").alias("draw"), "node", "root")
+    pivots = close.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(drawn).alias("drawn")).filter("r0 <> r1")
+    pivots = pivots.select("sig", F.col("drawn.node").alias("pivot"), F.col("drawn.root").alias("pivot_root"))
+    second = close.join(pivots, "sig").filter("root <> pivot_root").select(*pair).distinct().join(alike, ["a", "b"], "left_anti")
+    alike_too, more = tested(second)
+    links, alike = links.unionByName(more), alike.unionByName(alike_too)
     # whatever still stands in different components of a bucket
     roots = components(links, "omh-components")
-    marked = _with_roots(left.select("band", "sig", "key"), roots)
-    counts = marked.groupBy("band", "sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band", "sig")
-    still = materialise(marked.join(counts, ["band", "sig"]).select("key", "root").distinct(), "omh-open")
-    third = _sharing_a_rare_word(still, words, similarity).join(tested, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
-    return links.unionByName(materialise(_verified(materialise(third, "omh-pairs"), words, similarity), "omh-links"))
+    marked = _with_roots(members.select("sig", "node"), roots)
+    opened = marked.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("sig")
+    still = marked.join(opened, "sig").select("node", "root").distinct()
+    third = _sharing_a_rare_word(still, words, similarity).join(alike, ["a", "b"], "left_anti")
+    return links.unionByName(tested(third)[1])
+
+
+def _tokens(words: bytes) -> np.ndarray:
+    """The words of a packed text, each told apart by how often it occurred before."""
+    return numbered_kmers(np.frombuffer(words, dtype=np.uint32).astype(np.uint64), 1)
 
 
 def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of ``nodes`` (key, root) of different roots that can have the similarity, by the prefix filter.
+    """Pairs (a, b) of ``nodes`` (node, root) of different roots that can have the similarity, by the prefix filter.
+
+    Texts of n and m words that are alike have all but (1 - similarity) * max(n, m) word occurrences in common, so
+    among each one's (1 - similarity) * n + 1 first occurrences in any fixed order there is one that both have: no
+    pair above the similarity is left out. In an order by rarity, what very many texts share, such as a common
+    passage, is never among the first, so texts that only share that make no pairs. Rarity is that of COUNTERS hashed
+    counters: one aggregation, and an array of fixed size that goes to the tasks."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for start, stop in byte_slices(batch.column(2), SLICE_BYTES):
+                tokens = np.concatenate([_tokens(w) for w in batch.column(2).slice(start, stop - start).to_pylist()])
+                sums += np.bincount((tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        seen = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], ["counter", "n"])
 
-    Texts of n and m words that are alike have at least similarity * max(n, m) word occurrences in common, so
-    among each one's (1 - similarity) * n + 1 rarest occurrences there is one that both have: no pair above the
-    similarity is left out. What very many texts share, such as a common passage, is never among the rarest, so
-    texts that only share that make no pairs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                tokens = [numbered_kmers(np.frombuffer(w, dtype=np.uint32).astype(np.uint64), 1).view(np.int64) for w in part.column(2).to_pylist()]
-                sizes = np.array([len(t) for t in tokens])
-                at = pa.array(np.repeat(np.arange(len(tokens)), sizes))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate(tokens))],
-                                                 ["key", "root", "size", "token"])
-
-    tokens = nodes.join(words, "key").select("key", "root", "words").mapInArrow(run, "key binary, root binary, size int, token long")
-    tokens = materialise(tokens, "omh-tokens")
-    kinds = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    rarest = Window.partitionBy("key").orderBy("texts", "token")
-    ranked = tokens.join(kinds, "token").withColumn("rank", F.row_number().over(rarest))
-    prefix = ranked.filter((F.col("rank") <= F.floor(F.lit(1.0 - similarity + 1e-9) * F.col("size")) + 1) & (F.col("r0") != F.col("r1")))
-    prefix = materialise(prefix.select("token", "key", "root"), "omh-prefix")
-    x, y = (prefix.select("token", F.col("key").alias(k), F.col("root").alias(f"root_{k}")) for k in "ab")
-    return x.join(y, "token").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
+            for start, stop in byte_slices(batch.column(2), SLICE_BYTES):
+                part = batch.slice(start, stop - start)
+                firsts, sizes = [], []
+                for packed in part.column(2).to_pylist():
+                    tokens = _tokens(packed)
+                    keep = int(edits_allowed(np.array(len(tokens)), similarity)) + 1
+                    firsts.append(tokens[np.lexsort((tokens, often[(tokens % np.uint64(COUNTERS)).astype(np.int64)]))[:keep]].view(np.int64))
+                    sizes.append(len(tokens))
+                at = pa.array(np.repeat(np.arange(len(firsts)), [len(f) for f in firsts]))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(sizes, pa.int32()).take(at), pa.array(np.concatenate(firsts))],
+                                                 ["node", "root", "size", "token"])
+
+    nodes = materialise(nodes.join(words, "node").select("node", "root", "words"), "omh-open")
+    often = np.zeros(COUNTERS, dtype=np.int64)
+    for row in nodes.mapInArrow(counted, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect():  # COUNTERS rows at most
+        often[row.counter] = row.n
+    prefix = materialise(nodes.mapInArrow(rarest, "node long, root long, size int, token long"), "omh-prefix")
+    x, y = (prefix.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "size")]) for k in "ab")
+    near = F.abs(F.col("size_a") - F.col("size_b")) <= F.floor(F.lit(1.0 - similarity) * F.greatest("size_a", "size_b") + 1e-9)
+    return x.join(y, "token").filter(near & F.expr("node_a < node_b AND root_a <> root_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _classes(keyed: DataFrame, similarity: float) -> DataFrame:
     """keyed: id, key, text -> id, key, class_id, class_size, copies (rows of that id and key)."""
     sketches = materialise(_sketches(keyed.select("id", "key", "text")), "omh-sketches")
-    nodes = sketches.groupBy("key").agg(F.first("bands").alias("bands"))
+    nodes = sketches.groupBy("key").agg(*[F.first(c).alias(c) for c in ("size", "profile", "bands")])
+    nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "omh-nodes")
     roots = components(_links(nodes, keyed.select("key", "text"), similarity), "omh-components")
-    rows = _with_roots(sketches.groupBy("id", "key").agg(F.count(F.lit(1)).alias("copies")), roots)
+    rows = sketches.groupBy("id", "key").agg(F.count(F.lit(1)).alias("copies")).join(_with_roots(nodes.select("key", "node"), roots), "key")
     rows = materialise(rows, "omh-rows")
     first = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     classes = rows.groupBy("root").agg(F.min("id").alias("class_id"), F.min(first).alias("stays"), F.sum("copies").alias("class_size"))
