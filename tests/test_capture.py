@@ -381,3 +381,77 @@ def test_paths_and_statuses(spark, scratch):
     assert got[scratch][1].startswith("IsADirectoryError") and got["nosuch://host/x.pcap"][1]
     many = spark.createDataFrame([(i, f"{scratch}/{i}.pcap") for i in range(400)], "capture_index long, path string")
     assert stat_captures(many).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def _gre(inner: bytes, ethertype: int, bits: int = 0) -> bytes:
+    import struct
+
+    extra = sum(4 for b in (0x8000, 0x2000, 0x1000) if bits & b)
+    return struct.pack(">HH", bits, ethertype) + b"\0" * extra + inner
+
+
+def test_layers_inside_tunnels(spark, scratch):
+    """Layers count at any depth; addresses, flags and ports are the outermost ones."""
+    import struct
+
+    web = tcp(1000, 80, PSH | ACK, b"GET / HTTP/1.1\r\n")
+    inner = ip4("10.0.0.1", "10.0.0.2", 6, web)
+    dns6 = ip6(17, udp(4000, 53, b"query"))
+    mpls = lambda body, labels=2: b"".join(struct.pack(">I", (16 + k) << 12 | (k == labels - 1) << 8 | 64) for k in range(labels)) + body
+    pppoe = lambda body, kind: struct.pack(">BBHHH", 0x11, 0, 1, len(body) + 2, kind) + body
+    vxlan = lambda frame: udp(50000, 4789, b"\x08\0\0\0\0\0\x2a\0" + frame)
+    out = lambda proto, body: ip4("192.0.2.1", "192.0.2.2", proto, body)
+    deep = inner
+    for _ in range(20):
+        deep = out(4, deep)
+    frames = {
+        "ipip": eth(0x0800, out(4, inner)), "6in4": eth(0x0800, out(41, dns6)), "4in6": eth(0x86DD, ip6(4, inner)), "6in6": eth(0x86DD, ip6(41, dns6)),
+        "gre": eth(0x0800, out(47, _gre(inner, 0x0800, 0xB000))), "gre_eth": eth(0x0800, out(47, _gre(eth(0x0800, inner, vlan=2), 0x6558))),
+        "gre_arp": eth(0x0800, out(47, _gre(arp(), 0x0806))), "gre_v1": eth(0x0800, out(47, _gre(inner, 0x0800, 1))),
+        "vxlan": eth(0x0800, out(17, vxlan(eth(0x0800, inner)))), "mpls": eth(0x8847, mpls(inner)), "mpls_vlan": eth(0x8847, mpls(dns6, 1), vlan=1),
+        "pppoe": eth(0x8864, pppoe(inner, 0x0021)), "pppoe6": eth(0x8864, pppoe(dns6, 0x0057)), "pppoe_lcp": eth(0x8864, pppoe(b"\1" * 20, 0xC021)),
+        "deep": eth(0x0800, deep), "fragment": eth(0x0800, ip4("192.0.2.1", "192.0.2.2", 4, inner, frag=5)), "short": eth(0x0800, out(4, inner))[:40],
+        "icmp": eth(0x0800, out(47, _gre(ip4("10.0.0.1", "10.0.0.2", 1, icmp_echo()), 0x0800))), "plain": eth(0x0800, inner),
+        "ext": eth(0x0800, out(41, ip6(0, bytes([6, 0]) + b"\0" * 6 + web))),
+    }
+    path = os.path.join(scratch, "t.pcap")
+    write_pcap(path, [(1.0 + k, f) for k, f in enumerate(frames.values())])
+    res = ingest_captures(spark, [path], os.path.join(scratch, "out"))
+    rows = {name: r for name, r in zip(frames, res.packets.orderBy("packet_no").collect())}
+    got = {name: "".join(c for c, on in zip("4tuidh", (r.has_ip, r.is_tcp, r.is_udp, r.is_icmp, r.is_dns, r.is_http)) if on) for name, r in rows.items()}
+    assert got == {"ipip": "4th", "6in4": "4ud", "4in6": "4th", "6in6": "ud", "gre": "4th", "gre_eth": "4th", "gre_arp": "4", "gre_v1": "4", "vxlan": "4tuh",
+                   "mpls": "4th", "mpls_vlan": "ud", "pppoe": "4th", "pppoe6": "ud", "pppoe_lcp": "", "deep": "4th", "fragment": "4", "short": "4", "icmp": "4i",
+                   "plain": "4th", "ext": "4th"}
+    assert (rows["gre"].src_ip, rows["mpls"].src_ip, rows["4in6"].dst_ip, rows["6in6"].src_ip) == ("192.0.2.1", "10.0.0.1", "10.0.0.2", None)
+    assert (rows["vxlan"].src_port, rows["vxlan"].tcp_flags, rows["gre"].src_port, rows["gre"].tcp_flags) == (50000, PSH | ACK, 1000, PSH | ACK)
+
+
+def test_a_bad_file_costs_itself_only(spark, scratch):
+    """Gzip broken past its first 8 MB, lengths that can't be, and long last records that are cut off."""
+    import gzip
+    import random
+    import struct
+
+    rng = random.Random(3)
+    good = [(1.0 + i, CASES["http"][0] + rng.randbytes(1300)) for i in range(9000)]
+    paths = {n: os.path.join(scratch, n) for n in ("good.pcap", "broken.pcap.gz", "bogus.pcap.gz", "cut.pcap", "cut.pcap.gz", "cut.pcapng", "bogus.pcapng.gz")}
+    write_pcap(paths["good.pcap"], good)
+    plain = open(paths["good.pcap"], "rb").read()
+    zipped = bytearray(gzip.compress(plain, 1))
+    zipped[len(zipped) * 4 // 5 : len(zipped) * 4 // 5 + 2000] = b"\xff" * 2000
+    few = plain[: 24 + 100 * (16 + len(good[0][1]))]
+    cut = few + struct.pack("<IIII", 1, 0, 300_000, 300_000) + b"\0" * 1000
+    block = lambda kind, body: struct.pack("<II", kind, len(body) + 12) + body + struct.pack("<I", len(body) + 12)
+    ng = block(0x0A0D0D0A, struct.pack("<IHHq", 0x1A2B3C4D, 1, 0, -1)) + block(1, struct.pack("<HHI", 1, 0, 0))
+    ng += block(6, struct.pack("<IIIII", 0, 0, 5, 60, 60) + bytes(60)) * 7
+    for name, data in (("broken.pcap.gz", bytes(zipped)), ("bogus.pcap.gz", gzip.compress(few + struct.pack("<IIII", 1, 0, 0xFFFFFFF0, 60) + bytes(60))),
+                       ("cut.pcap", cut), ("cut.pcap.gz", gzip.compress(cut)), ("cut.pcapng", ng + struct.pack("<II", 6, 40 << 20) + bytes(5000)),
+                       ("bogus.pcapng.gz", gzip.compress(ng + struct.pack("<II", 0x77777777, 0xFFFFFFF0) + bytes(5000)))):
+        with open(paths[name], "wb") as f:
+            f.write(data)
+    res = ingest_captures(spark, list(paths.values()), os.path.join(scratch, "out"), split_bytes=1 << 20)
+    rejected = {r.filename: (r.status, r.detail) for r in res.rejected.collect()}
+    assert {n: s for n, (s, _) in rejected.items()} == {"broken.pcap.gz": "unreadable", "bogus.pcap.gz": "framing_error", "bogus.pcapng.gz": "framing_error"}
+    assert "error" in rejected["broken.pcap.gz"][1]
+    counts = {r.filename: r["count"] for r in res.packets.groupBy("filename").count().collect()}
+    assert counts == {"good.pcap": 9000, "cut.pcap": 100, "cut.pcap.gz": 100, "cut.pcapng": 7}

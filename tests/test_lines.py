@@ -19,6 +19,12 @@ FIXTURE = [
     ("7,TCP,a,b,1.5", None),
     ("9,TCP,a,b,3000000000", (9.0, "TCP", "a", "b", 3000000000)),
     ("nan,TCP,a,b,1", None),
+    ("1e14,TCP,a,b,1", None),
+    ("1e300,TCP,a,b,1", None),
+    ("1e400,TCP,a,b,1", None),
+    ("-1e300,TCP,a,b,1", None),
+    ("1704067798778549000,TCP,a,b,1", None),
+    ("2.5e11,TCP,a,b,9000000000000000000", (2.5e11, "TCP", "a", "b", 9000000000000000000)),
     ("", None),
 ]
 
@@ -31,6 +37,21 @@ def test_line_fixture(spark):
     assert [r.valid for r in flagged] == [e is not None for _, e in FIXTURE]
 
 
+def test_odd_lines_do_not_stop_a_stream(spark, scratch):
+    """Times without a timestamp and sizes that overflow a sum, in a stream that goes on."""
+    from wirelake.sources.lines import read_line_stream, with_event_time
+    from wirelake.streaming import windows as win
+
+    spark.createDataFrame([(v,) for v, _ in FIXTURE] + [("2.5e11,TCP,a,b,9000000000000000000",)], "value string").coalesce(1).write.text(f"{scratch}/lines")
+    records = with_event_time(parse_lines(read_line_stream(spark, f"{scratch}/lines")))
+    counts = win.protocol_window_counts(win.with_watermark(records, "event_time", "1 hour"), "20 seconds", "5 seconds", "event_time")
+    sink, _ = win.run_bounded(counts, "odd_lines", "update")
+    got = win.latest_windows(spark, sink, counts.schema).filter("window_start > '9000-01-01'").collect()
+    assert {(r.packets, r.bytes) for r in got} == {(2, None)} and len(got) == 4
+    totals = win.label_counters(parse_lines(spark.createDataFrame([("1,TCP,a,b,9000000000000000000",)] * 2, "value string"))).first()
+    assert totals.total_bytes is None and totals.label_tcp == 2
+
+
 def test_format_parse_round_trip(spark):
     records = packet_records(packets_events(spark, SF001))
     parsed = parse_lines(format_lines(records))

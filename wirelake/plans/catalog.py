@@ -11,17 +11,19 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from wirelake.functions import tunnels
 from wirelake.functions.headers import decode_packets, encode_frames
 from wirelake.functions.protocol import address_or_unknown, is_pure_syn, protocol_label
 from wirelake.operators import cluster
 from wirelake.operators import features as feat
+from wirelake.operators import mergeable
 from wirelake.operators.report import report_lines
 from wirelake.operators import panels
 from wirelake.plans.sql import register_views, sql_query
 from wirelake.schema import FEATURE_COLUMNS, to_feature_schema
 from wirelake.session import reliable_checkpoint, shared_dir
 from wirelake.sources.capture import ingest_captures
-from wirelake.sources.capture_writer import pad_to_size, write_captures
+from wirelake.sources.capture_writer import damaged_copies, pad_to_size, write_captures
 from wirelake.sources.lines import (
     damaged_lines, format_lines, packet_records, parse_lines, read_line_stream, with_event_time,
 )
@@ -105,18 +107,81 @@ def q_features_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_capture_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3: how many captures were accepted, had no capture header, or weren't there."""
+    """A3: how many captures were accepted, had no capture header, weren't there, or break off: a gzip that can't be
+    decompressed to its end and one with an impossible length cost themselves only; a long last record that is cut
+    off costs nothing."""
     root = shared_dir(spark, "capture-status")
     written = _written_captures(packets_events(spark, sf_dir, spread_rows=False), root)
     spark.range(1).select(F.repeat(F.lit("no capture "), 20)).write.text(f"{root}/notes")
     notes = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{root}/notes").select("path")
     missing = spark.createDataFrame([(f"{root}/absent.pcap",)], "path string")
-    ingest = ingest_captures(spark, written.select("path").unionByName(notes).unionByName(missing), f"{root}/ingest")
+    long = _written_captures(packets_lineitem(spark, sf_dir, spread_rows=False).withColumn("filename", F.lit("long")), f"{root}/long")
+    damaged_copies(long, f"{root}/copies").write.parquet(f"{root}/damaged")
+    damaged = spark.read.schema("path string").parquet(f"{root}/damaged")
+    ingest = ingest_captures(spark, written.select("path").unionByName(notes).unionByName(missing).unionByName(damaged), f"{root}/ingest")
     accepted = ingest.captures.select(F.lit("ok").alias("status"), F.element_at(F.split("path", "/"), -2).alias("capture")).distinct()
     return (accepted.groupBy("status").agg(F.count(F.lit(1)).alias("captures"))
             .unionByName(ingest.rejected.groupBy("status").agg(F.count(F.lit(1)).alias("captures"))))
 
 
+def q_header_decode_tunnels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2, B1 at any depth: the packets' frames in none to three tunnels, chosen by packet number."""
+    packets = packets_events(spark, sf_dir, spread_rows=True)
+    plain, kind = F.hex("data"), F.col("packet_no") % 8
+    arp = ~F.col("has_ip") & ~F.col("is_tcp") & ~F.col("is_udp")  # has no place directly under MPLS, PPPoE or IP
+    deep = F.when(arp, tunnels.in_gre(plain))
+    wrapped = (F.when(kind == 1, tunnels.in_gre(plain)).when(kind == 2, tunnels.in_vxlan(plain))
+               .when(kind == 3, deep.otherwise(tunnels.in_mpls(plain))).when(kind == 4, deep.otherwise(tunnels.in_pppoe(plain)))
+               .when(kind == 5, deep.otherwise(tunnels.in_ip(plain)))
+               .when(kind == 6, deep.otherwise(tunnels.in_mpls(tunnels.in_gre(tunnels.in_pppoe(plain)))))
+               .when(kind == 7, deep.otherwise(tunnels.in_ip(tunnels.in_vxlan(tunnels.in_mpls(plain))))).otherwise(plain))
+    frames = encode_frames(packets, keep=["packet_no", "filename", "ts", "packet_size", "has_ip", "is_tcp", "is_udp"])
+    frames = frames.withColumn("data", F.unhex(wrapped)).drop("has_ip", "is_tcp", "is_udp")
+    return decode_packets(frames).select(*CONTRACT)
+
+
+def q_bitmaps_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact uniques from bitmaps made per week of capture time, merged."""
+    packets = packets_events(spark, sf_dir, spread_rows=True).withColumn("week", F.weekofyear("ts"))
+    return mergeable.unique_addresses(mergeable.address_bitmaps(packets, ["filename", "week"]).drop("week"), ["filename"])
+
+
+def q_thetas_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Theta sketches made per week of capture time, merged; connections too."""
+    packets = packets_events(spark, sf_dir, spread_rows=True)
+    weekly = mergeable.endpoint_thetas(packets.withColumn("week", F.weekofyear("ts")), ["filename", "week"])
+    near = mergeable.theta_estimates(mergeable.merge_thetas(weekly.drop("week"), ["filename"]), ["filename"])
+    edges = feat.edge_table(packets, ["filename"]).filter("src_ip IS NOT NULL").groupBy("filename").agg(F.count(F.lit(1)).alias("connections"))
+    exact = feat.feature_table(packets).join(edges, "filename").select("filename", "unique_src_ips", "unique_dst_ips", "connections")
+    columns = ["unique_src_ips", "unique_dst_ips", "connections"]
+    both = exact.join(near.select("filename", *[F.col(c).alias(f"near_{c}") for c in columns]), "filename")
+    share = 3 / 2 ** (mergeable.LG_ENTRIES / 2)
+    return both.select("filename", *[(F.abs(F.col(f"near_{c}") - F.col(c)) <= share * F.col(c)).alias(f"{c}_near") for c in columns])
+
+
+def q_thetas_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many endpoints and connections a capture has in common with the next one by name, from their sketches;
+    at these sizes (below the sketches' 4,096 entries) the answer is exact."""
+    packets = packets_events(spark, sf_dir, spread_rows=True)
+    thetas = mergeable.endpoint_thetas(packets, ["filename"])
+    names = thetas.select(F.col("filename").alias("left"), F.lead("filename").over(Window.orderBy("filename")).alias("right"))  # a row per capture
+    found = mergeable.common_endpoints(thetas, names.filter("right IS NOT NULL"))
+    return found.select(F.col("left").alias("filename"), F.col("right").alias("next_filename"), "common_src", "common_dst", "common_connections")
+
+
+def q_win_pane_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 by panes: one row per packet, then windows from pane counts."""
+    return win.windows_of_panes(win.protocol_pane_counts(_records(spark, sf_dir), WINDOW, SLIDE), WINDOW, SLIDE)
+
+
+def q_stream_pane_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 by panes on Structured Streaming: two stateful aggregations behind one watermark, append mode."""
+    panes = win.protocol_pane_counts(_stream_records(spark, sf_dir), WINDOW, SLIDE, "event_time")
+    counts = win.windows_of_panes(panes, WINDOW, SLIDE, ntz_out=True)
+    sink, _ = win.run_bounded(counts, "stream_pane_counts", output_mode="append", state_partitions=spark.sparkContext.defaultParallelism)
+    return win.read_sink(spark, sink, schema=counts.schema)
+
+
 def q_features_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Is each estimate within three standard deviations (and one) of the exact count?"""
     packets, rsd = packets_events(spark, sf_dir, spread_rows=True), 0.05
@@ -293,6 +358,9 @@ def catalog() -> dict[str, Query]:
         "features_merged_edges": q_features_merged_edges,
         "features_approx": q_features_approx,
         "sketches_merged": q_sketches_merged,
+        "bitmaps_merged": q_bitmaps_merged,
+        "thetas_merged": q_thetas_merged,
+        "thetas_common": q_thetas_common,
         "feature_schema": lambda s, d: to_feature_schema(_features(s, d)),
         "features_captures": q_features_captures,
         # B: expressions
@@ -323,10 +391,13 @@ def catalog() -> dict[str, Query]:
         "capture_roundtrip_volume": q_capture_roundtrip(packets_lineitem),
         "capture_roundtrip_gzip": q_capture_roundtrip(packets_events, gzip=True),
         "capture_status": q_capture_status,
+        "header_decode_tunnels": q_header_decode_tunnels,
         "line_format": lambda s, d: format_lines(_records(s, d)),
         "line_parse": q_line_parse,
         # F: windows and counters, batch then streaming
         "win_protocol_counts": lambda s, d: win.protocol_window_counts(_records(s, d), WINDOW, SLIDE),
+        "win_pane_counts": q_win_pane_counts,
+        "stream_pane_counts": q_stream_pane_counts,
         "win_bytes": _totals("bytes"),
         "win_avg_size": _totals("avg_packet_size"),
         "win_packet_count": _totals("packets"),

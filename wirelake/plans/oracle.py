@@ -170,8 +170,8 @@ def feature_queries() -> dict[str, str]:
         "features_captures": roundtrip_sql("events").removesuffix("SELECT * FROM features") +
             "SELECT filename AS capture, false AS again, * EXCLUDE (filename) FROM features UNION ALL "
             "SELECT filename, true, * EXCLUDE (filename) FROM features WHERE filename = (SELECT MIN(filename) FROM features)",
-        "capture_status": with_ctes("SELECT 'ok' AS status, COUNT(DISTINCT filename) AS captures FROM packets "
-                                    "UNION ALL SELECT 'bad_header', 1 UNION ALL SELECT 'missing', 1", packets_cte("events")),
+        "capture_status": with_ctes("SELECT 'ok' AS status, COUNT(DISTINCT filename) + 1 AS captures FROM packets "  # and the cut one
+                                    "UNION ALL SELECT unnest(['bad_header', 'missing', 'unreadable', 'framing_error']), 1", packets_cte("events")),
         "feature_schema": features_sql("events"),
         "features_approx": features_sql(final="SELECT filename, true AS unique_src_ips_near, true AS unique_dst_ips_near, "
                                               "true AS connections_near FROM features"),
@@ -206,7 +206,9 @@ LINES = ("lines", """
 SELECT concat_ws(',', secs, protocol, src_ip, dst_ip, CAST(packet_size AS VARCHAR)) AS value FROM rec
 UNION ALL SELECT concat_ws(',', secs, protocol, src_ip, dst_ip) FROM rec WHERE NOT has_ip
 UNION ALL SELECT concat_ws(',', secs, protocol, src_ip, dst_ip, CAST(packet_size AS VARCHAR) || '.5')
-FROM rec WHERE is_udp""")
+FROM rec WHERE is_udp
+UNION ALL SELECT concat_ws(',', t, protocol, src_ip, dst_ip, CAST(packet_size AS VARCHAR))
+FROM (SELECT *, unnest([replace(secs, '.', '') || '000', '1e14', '1e300', '1e400']) AS t FROM rec WHERE is_tcp)""")
 
 PARSED = ("parsed", r"""
 SELECT len(p) AS n, regexp_replace(p[1], '^\s+|\s+$', '', 'g') AS t, p[2] AS protocol, p[3] AS src_ip,
@@ -217,6 +219,7 @@ LINE_PARSE_FINAL = r"""
 SELECT TRY_CAST(t AS DOUBLE) AS timestamp, protocol, src_ip, dst_ip, TRY_CAST(s AS BIGINT) AS packet_size
 FROM parsed
 WHERE n = 5 AND regexp_full_match(t, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?')
+  AND coalesce(TRY_CAST(t AS DOUBLE) BETWEEN -62135596800 AND 253402300799.999999, false)
   AND regexp_full_match(s, '[+-]?[0-9]+') AND TRY_CAST(s AS BIGINT) IS NOT NULL"""
 
 # Each row falls into four sliding windows (4 h long, 1 h slide) that start
@@ -247,6 +250,27 @@ SELECT COUNT(*) AS total_packets,
 FROM rec"""
 
 
+# packet_no % 8: 0 plain, 1 GRE, 2 VXLAN, 3 MPLS, 4 PPPoE, 5 IP in IP, 6 MPLS(GRE(PPPoE)), 7 IP(VXLAN(MPLS)); frames without
+# IP or a transport (ARP) go into GRE where they can't stand directly under another. The outermost IPv4 addresses count.
+TUNNELLED = """
+SELECT packet_no, has_ip OR outer_ip AS has_ip, CASE WHEN outer_ip THEN '192.0.2.1' ELSE src_ip END AS src_ip,
+       CASE WHEN outer_ip THEN '192.0.2.2' ELSE dst_ip END AS dst_ip, is_tcp,
+       is_udp OR kind = 2 OR (kind = 7 AND NOT arp) AS is_udp, is_icmp, is_http, is_dns, tcp_flags, packet_size
+FROM (SELECT *, kind IN (1, 2, 5, 6, 7) OR (kind IN (3, 4) AND arp) AS outer_ip
+      FROM (SELECT *, packet_no % 8 AS kind, NOT has_ip AND NOT is_tcp AND NOT is_udp AS arp FROM packets))"""
+
+THETAS_COMMON = """
+SELECT n.filename, n.next_filename,
+       (SELECT COUNT(*) FROM (SELECT src_ip FROM packets p WHERE has_ip AND p.filename = n.filename INTERSECT
+                              SELECT src_ip FROM packets p WHERE has_ip AND p.filename = n.next_filename)) AS common_src,
+       (SELECT COUNT(*) FROM (SELECT dst_ip FROM packets p WHERE has_ip AND p.filename = n.filename INTERSECT
+                              SELECT dst_ip FROM packets p WHERE has_ip AND p.filename = n.next_filename)) AS common_dst,
+       (SELECT COUNT(*) FROM (SELECT src_ip, dst_ip FROM packets p WHERE has_ip AND p.filename = n.filename INTERSECT
+                              SELECT src_ip, dst_ip FROM packets p WHERE has_ip AND p.filename = n.next_filename)) AS common_connections
+FROM (SELECT filename, LEAD(filename) OVER (ORDER BY filename) AS next_filename FROM (SELECT DISTINCT filename FROM packets)) n
+WHERE n.next_filename IS NOT NULL"""
+
+
 def stream_queries() -> dict[str, str]:
     p = packets_cte("events")
     win_counts = with_ctes(WIN_PROTOCOL, p, RECORDS, WINDOWED)
@@ -267,6 +291,16 @@ def stream_queries() -> dict[str, str]:
         "stream_late_rows": with_ctes(
             "SELECT * FROM wc WHERE window_end <= (SELECT MAX(ts) FROM rec) - INTERVAL 2 HOUR",
             on_time, RECORDS, WINDOWED, ("wc", WIN_PROTOCOL)),
+        "header_decode_tunnels": with_ctes(TUNNELLED, p),
+        "win_pane_counts": win_counts,
+        "stream_pane_counts": with_ctes(
+            "SELECT * FROM wc WHERE window_end <= (SELECT MAX(ts) FROM rec) - INTERVAL 2 HOUR",
+            p, RECORDS, WINDOWED, ("wc", WIN_PROTOCOL)),
+        "thetas_common": with_ctes(THETAS_COMMON, p),
+        "bitmaps_merged": with_ctes("SELECT filename, COUNT(DISTINCT src_ip) AS unique_src_ips, COUNT(DISTINCT dst_ip) AS unique_dst_ips "
+                                    "FROM packets WHERE has_ip GROUP BY filename", p),
+        "thetas_merged": with_ctes("SELECT DISTINCT filename, true AS unique_src_ips_near, true AS unique_dst_ips_near, true AS connections_near "
+                                   "FROM packets WHERE has_ip", p),
         "header_decode": with_ctes(f"SELECT {CONTRACT_COLS} FROM packets", p),
         "header_decode_volume": with_ctes(f"SELECT {CONTRACT_COLS} FROM packets", packets_cte("lineitem")),
         "line_format": with_ctes(

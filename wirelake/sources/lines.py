@@ -19,6 +19,9 @@ from wirelake.functions.timeconv import epoch_micros, seconds_text
 FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INT_TEXT = r"^[+-]?[0-9]+$"
 EDGE_SPACE = r"^\s+|\s+$"
+# Event times are those of the years 1 to 9999, the range in which a TIMESTAMP can be shown. An epoch in
+# milliseconds or nanoseconds, or a number that no double holds, is no time.
+MIN_SECONDS, MAX_SECONDS = -62_135_596_800, 253_402_300_800
 
 
 def packet_records(packets: DataFrame) -> DataFrame:
@@ -48,14 +51,18 @@ def damaged_lines(records: DataFrame, time_col: str = "ts") -> DataFrame:
     """Lines that the parser must reject, derived from the records.
 
     Non-IPv4 packets give a line without the size field; UDP packets give a
-    line whose size is not an integer.
+    line whose size is not an integer; TCP packets give lines whose time is
+    no event time: in nanoseconds, or larger than a timestamp or a double.
     """
     secs = seconds_text(epoch_micros(records, time_col))
     short = records.filter(~F.col("has_ip")).select(_line(secs, "protocol", "src_ip", "dst_ip").alias("value"))
     frac = records.filter(F.col("is_udp")).select(
         _line(secs, "protocol", "src_ip", "dst_ip", F.concat(F.col("packet_size").cast("string"), F.lit(".5")))
         .alias("value"))
-    return short.unionByName(frac)
+    times = F.array(F.concat(F.replace(secs, F.lit("."), F.lit("")), F.lit("000")), F.lit("1e14"), F.lit("1e300"), F.lit("1e400"))
+    odd = records.filter("is_tcp").withColumn("odd_time", F.explode(times)).select(
+        _line("odd_time", "protocol", "src_ip", "dst_ip", F.col("packet_size").cast("string")).alias("value"))
+    return short.unionByName(frac).unionByName(odd)
 
 
 def _strip(c: Column) -> Column:
@@ -63,7 +70,7 @@ def _strip(c: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
-    """Split on commas; keep lines with exactly five fields, a finite time and an integer size.
+    """Split on commas; keep lines with exactly five fields, a time in the years 1 to 9999 and an integer size.
 
     The protocol and addresses are kept as written; only the numbers are
     stripped of surrounding blanks. With ``keep_rejects`` every line is kept
@@ -71,10 +78,11 @@ def parse_lines(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """
     parts = F.split(F.col("value"), ",", -1)
     t_txt, s_txt = _strip(F.get(parts, 0)), _strip(F.get(parts, 4))
-    valid = F.coalesce((F.size(parts) == 5) & t_txt.rlike(FLOAT_TEXT) & s_txt.rlike(INT_TEXT), F.lit(False))
+    time = F.when(t_txt.rlike(FLOAT_TEXT), t_txt.try_cast("double"))
+    valid = F.coalesce((F.size(parts) == 5) & (time >= MIN_SECONDS) & (time < MAX_SECONDS) & s_txt.rlike(INT_TEXT), F.lit(False))
     size = F.when(s_txt.rlike(INT_TEXT), s_txt.try_cast("long"))
     parsed = lines.select(
-        F.when(valid, t_txt.try_cast("double")).alias("timestamp"),
+        F.when(valid, time).alias("timestamp"),
         F.when(valid, F.get(parts, 1)).alias("protocol"),
         F.when(valid, F.get(parts, 2)).alias("src_ip"),
         F.when(valid, F.get(parts, 3)).alias("dst_ip"),
@@ -88,8 +96,11 @@ def parse_lines(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
 
 
 def with_event_time(records: DataFrame, seconds_col: str = "timestamp", out: str = "event_time") -> DataFrame:
-    """Epoch seconds (double) to a ``TIMESTAMP`` column usable for windows and watermarks."""
-    return records.withColumn(out, F.timestamp_micros(F.round(F.col(seconds_col) * F.lit(1e6)).cast("long")))
+    """Epoch seconds (double) to a ``TIMESTAMP`` column usable for windows and watermarks; null where they are
+    outside the years 1 to 9999 (``parse_lines`` gives none of those)."""
+    seconds = F.col(seconds_col)
+    fits = (seconds >= MIN_SECONDS) & (seconds < MAX_SECONDS)
+    return records.withColumn(out, F.timestamp_micros(F.round(F.when(fits, seconds) * F.lit(1e6)).cast("long")))
 
 
 def read_line_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:

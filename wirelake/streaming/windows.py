@@ -14,6 +14,7 @@ a checkpoint in the shared folder, so a restarted job resumes where it left.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 
@@ -60,7 +61,7 @@ def protocol_window_counts(records: DataFrame, length: str = "20 seconds", slide
     """packets (and bytes) per protocol label in each sliding window."""
     agg = records.groupBy(_window_cols(time_col, length, slide), "protocol").agg(
         F.count(F.lit(1)).alias("packets"),
-        F.sum("packet_size").cast("long").alias("bytes"),
+        F.try_sum("packet_size").alias("bytes"),
     )
     return agg.select(*_bounds(ntz_out), "protocol", "packets", "bytes")
 
@@ -69,13 +70,43 @@ def window_totals(records: DataFrame, length: str = "20 seconds", slide: str = "
                   time_col: str = "ts", ntz_out: bool = False) -> DataFrame:
     """Bytes, packets and average packet size per sliding window, all protocols together."""
     agg = records.groupBy(_window_cols(time_col, length, slide)).agg(
-        F.sum("packet_size").cast("long").alias("bytes"),
+        F.try_sum("packet_size").alias("bytes"),
         F.count(F.lit(1)).alias("packets"),
         F.avg("packet_size").alias("avg_packet_size"),
     )
     return agg.select(*_bounds(ntz_out), "bytes", "packets", "avg_packet_size")
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
+
+
+def _whole_seconds(duration: str) -> int:
+    number, unit = duration.split()
+    return int(number) * _UNITS[unit.rstrip("s")]
+
+
+def protocol_pane_counts(records: DataFrame, length: str = "20 seconds", slide: str = "5 seconds", time_col: str = "ts") -> DataFrame:
+    """F1 by panes, first step: packets and bytes per protocol in panes that don't overlap. A pane is as long as the
+    greatest common divisor of length and slide (the slide, when it divides the length), so every window is a run of
+    whole panes. A packet is one row here, where overlapping windows make ``length / slide`` rows of it."""
+    pane = f"{math.gcd(_whole_seconds(length), _whole_seconds(slide))} seconds"
+    return records.groupBy(F.window(time_col, pane).alias("pane"), "protocol").agg(F.count(F.lit(1)).alias("packets"), F.try_sum("packet_size").alias("bytes"))
+
+
+def windows_of_panes(panes: DataFrame, length: str = "20 seconds", slide: str = "5 seconds", ntz_out: bool = False) -> DataFrame:
+    """F1 by panes, second step: sliding windows from pane counts. On a stream (append mode) this is a second
+    stateful aggregation over the first one's final panes; the state holds each packet's counts once per pane, and
+    only open panes and windows of counts."""
+    agg = panes.groupBy(F.window(F.window_time("pane"), length, slide).alias("w"), "protocol").agg(
+        F.sum("packets").alias("packets"), F.try_sum("bytes").alias("bytes"))
+    return agg.select(*_bounds(ntz_out), "protocol", "packets", "bytes")
+
+
+def _total_bytes() -> Column:
+    """Sum of sizes, 0 without packets, null where 64 bits don't hold it (a line may claim any size)."""
+    return F.when(F.count("packet_size") == 0, F.lit(0).cast("long")).otherwise(F.try_sum("packet_size")).alias("total_bytes")
+
+
 def label_counters(records: DataFrame) -> DataFrame:
     """Counters of a line stream, whose records carry only the protocol label: each packet counts once, under its
     label (a DNS-over-TCP packet as DNS only), so these are not ``running_counters`` and have other names."""
@@ -83,7 +114,7 @@ def label_counters(records: DataFrame) -> DataFrame:
     return records.agg(
         F.count(F.lit(1)).alias("total_packets"),
         *[F.count_if(label == p).alias(f"label_{p.lower()}") for p in ("TCP", "UDP", "ICMP", "HTTP", "DNS")],
-        F.coalesce(F.sum("packet_size"), F.lit(0)).cast("long").alias("total_bytes"),
+        _total_bytes(),
     )
 
 
@@ -101,7 +132,7 @@ def running_counters(records: DataFrame) -> DataFrame:
         F.count_if(icmp).alias("icmp_packets"),
         F.count_if(~_bool("is_dns") & _bool("is_http")).alias("http_packets"),
         F.count_if(_bool("is_dns")).alias("dns_packets"),
-        F.coalesce(F.sum("packet_size"), F.lit(0)).cast("long").alias("total_bytes"),
+        _total_bytes(),
     )
 
 
@@ -177,7 +208,7 @@ def latest_windows(spark: SparkSession, sink: str, schema: T.StructType | None =
 
 def totals_of(counts: DataFrame) -> DataFrame:
     """F2-F4 from F1: a window's totals are the sums over its protocols."""
-    rows = counts.groupBy("window_start", "window_end").agg(F.sum("bytes").alias("bytes"), F.sum("packets").alias("packets"))
+    rows = counts.groupBy("window_start", "window_end").agg(F.try_sum("bytes").alias("bytes"), F.sum("packets").alias("packets"))
     return rows.withColumn("avg_packet_size", F.col("bytes") / F.col("packets"))
 
 
