@@ -22,6 +22,7 @@ from wirelake.operators import panels
 from wirelake.plans.sql import register_views, sql_query
 from wirelake.schema import FEATURE_COLUMNS, to_feature_schema
 from wirelake.session import reliable_checkpoint, shared_dir
+from wirelake.sources import capture_source
 from wirelake.sources.capture import ingest_captures
 from wirelake.sources.capture_writer import damaged_copies, pad_to_size, write_captures
 from wirelake.sources.lines import (
@@ -92,6 +93,34 @@ def q_capture_roundtrip(view, gzip: bool = False):
     return run
 
 
+def q_capture_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 as a data source: the packets' capture files, read through ``format("capture")`` over the range index."""
+    root = shared_dir(spark, "capture-source")
+    written = _written_captures(packets_events(spark, sf_dir, spread_rows=True), root)
+    index = capture_source.write_index(spark, written.select("path"), f"{root}/indexed", _split_bytes(written))
+    packets = decode_packets(capture_source.read_captures(spark, index=index))
+    return feat.feature_table(packets.withColumn("filename", F.element_at(F.split("path", "/"), -2)), ["filename"])
+
+
+def q_stream_capture_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 on captures: files that grow in BATCHES steps (rewritten here with more records each time), followed by a
+    stream that is stopped after each step and started again from its checkpoint; F1 over what it reads."""
+    root = shared_dir(spark, "capture-stream")
+    packets = packets_events(spark, sf_dir, spread_rows=True)
+    low, high = packets.agg(F.min("ts"), F.max("ts")).first()
+    frames = pad_to_size(encode_frames(packets, keep=["filename", "ts", "packet_no", "packet_size"]))
+    counts, sink, checkpoint = None, f"{root}/out", f"{root}/chk"
+    for k in range(BATCHES if low is not None else 1):
+        there = frames if k == BATCHES - 1 or low is None else frames.filter(F.col("ts") < F.lit(low + (high - low) * (k + 1) / BATCHES))
+        ordered = there.repartition(4, "filename").sortWithinPartitions("filename", "ts", "packet_no")
+        write_captures(ordered, f"{root}/live").write.mode("overwrite").parquet(f"{root}/written")
+        stream = decode_packets(capture_source.stream_captures(spark, f"{root}/live", f"{root}/notes"))
+        records = win.with_watermark(packet_records(stream), "ts", WATERMARK)
+        counts = win.protocol_window_counts(records, WINDOW, SLIDE, time_col="event_time", ntz_out=True)
+        win.run_bounded(counts, "stream_capture_windows", "update", sink, checkpoint, state_partitions=spark.sparkContext.defaultParallelism)
+    return win.latest_windows(spark, sink, counts.schema)
+
+
 def q_features_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures are told apart by ``capture_index``; the first capture is listed twice and counted twice."""
     root = shared_dir(spark, "capture-listed")
@@ -392,6 +421,8 @@ def catalog() -> dict[str, Query]:
         "capture_roundtrip_gzip": q_capture_roundtrip(packets_events, gzip=True),
         "capture_status": q_capture_status,
         "header_decode_tunnels": q_header_decode_tunnels,
+        "capture_source": q_capture_source,
+        "stream_capture_windows": q_stream_capture_windows,
         "line_format": lambda s, d: format_lines(_records(s, d)),
         "line_parse": q_line_parse,
         # F: windows and counters, batch then streaming

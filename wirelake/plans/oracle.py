@@ -154,6 +154,9 @@ FRAME_LEN = """CASE WHEN has_ip THEN 14 + CASE WHEN is_udp AND NOT is_tcp THEN 4
                     ELSE 42 END"""
 
 
+PADDED = ("packets", f"SELECT * REPLACE (GREATEST(packet_size, {FRAME_LEN}) AS packet_size) FROM ({PACKETS_EVENTS}) p")
+
+
 def roundtrip_sql(view: str = "events") -> str:
     source = PACKETS_EVENTS if view == "events" else PACKETS_LINEITEM
     padded = ("packets", f"SELECT * REPLACE (GREATEST(packet_size, {FRAME_LEN}) AS packet_size) "
@@ -165,6 +168,7 @@ def roundtrip_sql(view: str = "events") -> str:
 def feature_queries() -> dict[str, str]:
     return {
         "capture_roundtrip": roundtrip_sql("events"),
+        "capture_source": roundtrip_sql("events"),
         "capture_roundtrip_volume": roundtrip_sql("lineitem"),
         "capture_roundtrip_gzip": roundtrip_sql("events"),
         "features_captures": roundtrip_sql("events").removesuffix("SELECT * FROM features") +
@@ -292,6 +296,7 @@ def stream_queries() -> dict[str, str]:
             "SELECT * FROM wc WHERE window_end <= (SELECT MAX(ts) FROM rec) - INTERVAL 2 HOUR",
             on_time, RECORDS, WINDOWED, ("wc", WIN_PROTOCOL)),
         "header_decode_tunnels": with_ctes(TUNNELLED, p),
+        "stream_capture_windows": with_ctes(WIN_PROTOCOL, PADDED, RECORDS, WINDOWED),
         "win_pane_counts": win_counts,
         "stream_pane_counts": with_ctes(
             "SELECT * FROM wc WHERE window_end <= (SELECT MAX(ts) FROM rec) - INTERVAL 2 HOUR",
