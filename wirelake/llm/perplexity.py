@@ -4,12 +4,15 @@ Every language has its own model of order ``ORDER``, counted over all trusted te
 the language, but for the held-out fifth from which the thresholds are taken. Texts are padded with a start
 mark and an end mark, so every character and the end are predicted.
 
-*Blocks.* Documents are dealt into blocks by a hash of their id, compressed by the tasks that read them; that
-is the only move of texts. *Counting.* Next to the trusted ids of its block, a task finds the block's distinct
+*Blocks.* Documents are dealt into blocks by a hash of their id and of their text (``SALTS`` blocks for an id, so that
+an id with very many rows is spread), compressed by the tasks that read them; that is the only move of texts, once
+for counting and once for scoring. *Counting.* Next to the trusted ids of its block, a task finds the block's distinct
 n-grams, far fewer than its characters, and how often each occurs in trusted texts. The counts are added up by
 n-gram; lower orders, context totals and discounts are aggregations of that table. *Scoring.* The blocks'
-n-grams are joined with the count tables, each sharded by its own key; the probabilities come back to the block,
-where they are added up along every whole text. The volume of n-grams grows with the number of blocks.
+n-grams are joined with the count tables, each sharded by its own key. The answers are written as one row per block:
+a number for each of its n-grams, in the order of their hashes, and no n-grams, so the files of that join are gone
+before the texts move again. The block then lists its n-grams anew, in the same order, and adds the numbers up along
+every whole text. The volume of n-grams grows with the number of blocks.
 *Threshold.* A language's threshold is the ``QUANTILE`` of the perplexity of its n held-out trusted texts, times
 1 + 1/n: a quantile of a dozen texts is uncertain, and of hundreds is not. There is no other margin, since junk
 made of a repeated word lies close above the quantile (character n-grams hardly see the repeats).
@@ -20,8 +23,9 @@ the disk that scoring may take, as nearly every word trigram of a text is new.
 Defined cases: a null text counts as empty; empty texts have a null perplexity and are not kept; the null
 language is a language of its own; documents of a language without trusted text have a null perplexity and
 threshold and are kept, since nothing is known against them; labels repeated for an id count as trusted if
-any is; rows of equal id are scored one by one, in one block; rows without an id are dealt by their text; an
-empty table gives an empty result; other columns are not read.
+any is; rows of equal id are scored one by one, as are repeated rows; rows without an id are dealt by their text;
+U+0000 is taken for U+0001, and U+0002 and U+0003 in a text are the same characters as its marks; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,6 +46,7 @@ HELD_OUT_OF = 5            # one trusted text in so many sets thresholds instead
 BLOCK_BYTES = 16 << 20     # text in one block, about
 PACK_BYTES = 4 << 20       # text that is sorted into blocks and compressed at a time
 SLICE_BYTES = 1 << 20
+SALTS = 8                  # blocks over which the rows of one id are spread
 START, END = "\x02", "\x03"
 NUL = "\x01"  # stands for U+0000, which numpy drops at the end of a string
 PAD = np.uint64(0x9E3779B97F4A7C15)
@@ -87,9 +92,14 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.
     return hashes[order][first], grams[order][first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
 
 
+def _languages(langs) -> list:
+    """Distinct languages in a fixed order, the null language last."""
+    return sorted(set(langs), key=lambda x: (x is None, x))
+
+
 def _by_language(langs: list, texts: list) -> Iterator[tuple]:
     """(language, its texts' positions, its texts), the null language last."""
-    for lang in sorted(set(langs), key=lambda x: (x is None, x)):
+    for lang in _languages(langs):
         at = [k for k, x in enumerate(langs) if x == lang]
         yield lang, at, [texts[k] or "" for k in at]
 
@@ -102,8 +112,8 @@ class _Blocks:
         size = self.rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.count = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // BLOCK_BYTES))
 
-    def block_of(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.count))
+    def block_of(self, *key: Column) -> Column:
+        return F.pmod(F.xxhash64(*key), F.lit(self.count))
 
     def dealt(self) -> DataFrame:
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +132,7 @@ class _Blocks:
                         packed.append(sink.getvalue().to_pybytes())
                     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(packed, pa.binary())], ["block", "packed"])
 
-        block = F.when(F.col("id").isNull(), self.block_of(F.col("text"))).otherwise(self.block_of(F.col("id")))
+        block = F.when(F.col("id").isNull(), self.block_of(F.col("text"))).otherwise(self.block_of(F.col("id"), F.pmod(F.xxhash64("text"), F.lit(SALTS))))
         return self.rows.select(block.alias("block"), "id", "lang", "text").mapInArrow(pack, "block long, packed binary").repartition(self.count, "block")
 
 
@@ -135,7 +145,8 @@ def _unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def gram_counts(blocks: _Blocks, trusted_ids: DataFrame) -> DataFrame:
-    """block, lang, gram, count: a block's distinct n-grams and how often they occur in its trusted texts."""
+    """block, at, lang, gram, count: a block's distinct n-grams, numbered by language and hash, and how often they occur
+    in its trusted texts."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         trusted, found = set(right.column("id").to_pylist()), {}
         for batch in _unpacked(left):
@@ -149,15 +160,16 @@ def gram_counts(blocks: _Blocks, trusted_ids: DataFrame) -> DataFrame:
                         parts.append((hashes, grams, counts if is_trusted else np.zeros_like(counts)))
                         if len(parts) > 8:
                             found[lang] = [_merged(parts)]
-        merged = [(lang, *_merged(parts)[1:]) for lang, parts in found.items()]
+        merged = [(lang, *_merged(found[lang])[1:]) for lang in _languages(found)]
         langs = [lang for lang, grams, _ in merged for _ in grams]
         counts = np.concatenate([np.zeros(0, np.int64), *[c for _, _, c in merged]])
         block = left.column("block")[0].as_py() if left.num_rows else 0
-        return pa.table({"block": pa.array([block] * len(langs), pa.int64()), "lang": pa.array(langs, pa.string()),
+        return pa.table({"block": pa.array([block] * len(langs), pa.int64()), "at": pa.array(np.arange(len(langs), dtype=np.int32)), "lang": pa.array(langs, pa.string()),
                          "gram": pa.array([g for _, grams, _ in merged for g in grams.tolist()], pa.string()), "count": pa.array(counts.astype(np.int64))})
 
-    ids = trusted_ids.filter("id IS NOT NULL").select("id", blocks.block_of(F.col("id")).alias("block"))
-    seen = blocks.dealt().groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(run, "block long, lang string, gram string, count long")
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    ids = trusted_ids.filter("id IS NOT NULL").select("id", salts).select("id", blocks.block_of(F.col("id"), F.col("salt")).alias("block"))
+    seen = blocks.dealt().groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(run, "block long, at int, lang string, gram string, count long")
     return seen.withColumn("lang", _lang_key())
 
 
@@ -183,7 +195,7 @@ class Model:
                 raw = F.lit(float(k)) - (k + 1) * y * F.col(f"n{k + 1}") / F.greatest(F.col(f"n{k}"), F.lit(1.0))
                 return F.when((F.col(f"n{k}") > 0) & (raw > 0) & (raw <= k), raw).otherwise(F.lit(0.5 if k == 1 else 0.75)).alias(f"d{k}")
 
-            discounts = F.broadcast(tally.select("lang", discount(1), discount(2), discount(3)))  # one row for each language
+            discounts = tally.select("lang", discount(1), discount(2), discount(3))  # one row for each language
             rows = level.join(discounts, "lang").withColumn("context", F.expr(f"left(gram, {n - 1})"))
             rows = rows.withColumn("d", F.when(F.col("count") == 1, F.col("d1")).when(F.col("count") == 2, F.col("d2")).otherwise(F.col("d3")))
             contexts = rows.groupBy("lang", "context").agg(F.sum("count").cast("double").alias("total"), F.sum("d").alias("held"))
@@ -219,30 +231,50 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text"
     totals = seen.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
     model = Model(totals.filter("count > 0"))
     known = materialise(model.log_probabilities(totals.select("lang", "gram")), "kn-known")
-    answers = seen.join(known, ["lang", "gram"]).select("block", "lang", "gram", F.col("logp").cast("float").alias("logp"))
+    answers = seen.join(known, ["lang", "gram"]).select("block", "at", F.col("logp").cast("float").alias("logp"))
+
+    def packed(rows: pa.Table) -> pa.Table:
+        at = np.asarray(rows.column("at"))
+        numbers = np.full(int(at.max()) + 1, np.nan, dtype=np.float32)
+        numbers[at] = np.asarray(rows.column("logp"))
+        return pa.table({"block": rows.column("block").slice(0, 1), "numbers": pa.array([numbers.tobytes()], pa.binary())})
+
+    answers = materialise(answers.groupBy("block").applyInArrow(packed, "block long, numbers binary"), "kn-answers")
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        tables = {}
-        if right.num_rows:
-            coded = right.column("lang").combine_chunks().dictionary_encode()
-            coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-            codes, grams, logp = np.asarray(coded.indices), right.column("gram").to_pylist(), np.asarray(right.column("logp"))
-            for k, name in enumerate(coded.dictionary.to_pylist()):
-                mine = np.flatnonzero(codes == k)
-                chars = np.array([grams[i] for i in mine], dtype=f"<U{ORDER}").view(np.uint32)
-                tables[name] = (Index(_gram_hashes(chars)[::ORDER]), logp[mine].astype(np.float64))
+        found = {}
+        for batch in _unpacked(left):  # the block's n-grams, as they were numbered
+            texts = batch.column(2).to_pylist()
+            for lang, _, some in _by_language(batch.column(1).to_pylist(), texts):
+                some = [t for t in some if t]
+                if some:
+                    chars, sizes = _codes(some)
+                    parts = found.setdefault(lang, [])
+                    parts.append(np.unique(_gram_hashes(chars)[_starts(sizes)]))
+                    if len(parts) > 8:
+                        found[lang] = [np.unique(np.concatenate(parts))]
+        numbers = np.frombuffer(right.column("numbers")[0].as_py() if right.num_rows else b"", dtype=np.float32).astype(np.float64)
+        tables, first = {}, 0
+        for lang in _languages(found):
+            hashes = np.unique(np.concatenate(found.pop(lang)))
+            mine = numbers[first : first + len(hashes)]
+            first += len(hashes)
+            if len(mine) and not np.isnan(mine[0]):  # else the language has no model
+                tables[lang] = (Index(hashes), mine)
         out = []
         for batch in _unpacked(left):
             texts, perplexity = batch.column(2).to_pylist(), [None] * batch.num_rows
             for lang, at, some in _by_language(batch.column(1).to_pylist(), texts):
-                table = tables.get("-" if lang is None else "+" + lang)
-                if table is None:
+                if lang not in tables:
+                    continue
+                at, some = [k for k, t in zip(at, some) if t], [t for t in some if t]
+                if not some:
                     continue
                 chars, sizes = _codes(some)
-                found = table[1][table[0].find(_gram_hashes(chars)[_starts(sizes)])]
-                sums = np.add.reduceat(found, np.cumsum(sizes) - sizes)
-                for k, t, value in zip(at, some, np.exp(-sums / sizes)):
-                    perplexity[k] = float(value) if t else None
+                logp = tables[lang][1][tables[lang][0].find(_gram_hashes(chars)[_starts(sizes)])]
+                sums = np.add.reduceat(logp, np.cumsum(sizes) - sizes)
+                for k, value in zip(at, np.exp(-sums / sizes)):
+                    perplexity[k] = float(value)
             out.append(pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(perplexity, pa.float64()), pa.array([not t for t in texts], pa.bool_())],
                                                   ["id", "lang", "perplexity", "empty"]))
         return pa.Table.from_batches(out, schema=to_arrow_schema(schema))
