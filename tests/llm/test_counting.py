@@ -100,6 +100,33 @@ def test_unique_rows_do_not_shuffle(spark):
     assert maybe.count() == 200 and unique.count() == 500
 
 
+def test_few_unique_rows_shuffle_at_millions(spark):
+    """Of 2.5 million different digests, under 5 % may repeat by the filter that is sized for them; triples flag a word, no more."""
+    narrow = spark.range(2_500_000).selectExpr("id", "sha2(cast(id as string), 256) AS digest")
+    bits = exact_dedup._sized(2_500_000)
+    unique, maybe = exact_dedup._split(narrow, narrow, bits)
+    assert bits <= exact_dedup.WORD_BITS and maybe.count() < 0.05 * 2_500_000
+
+
+def test_repeated_bits(spark):
+    """Words tell which of their bits were set twice, however many rows they have."""
+    digests = [hashlib.sha256(str(k).encode()).hexdigest() for k in range(60)]
+    rows = [(d,) for k, d in enumerate(digests) for _ in range([1, 1, 1, 2, 3][k % 5])]
+    narrow = spark.createDataFrame(rows, "digest string")
+    for bits in (1, 4, 12):
+        unique, maybe = exact_dedup._split(narrow, narrow, bits)
+        repeated = {d for k, d in enumerate(digests) if k % 5 >= 3}
+        assert repeated <= {r.digest for r in maybe.collect()} and not repeated & {r.digest for r in unique.collect()}
+    assert {r.digest for r in maybe.collect()} == repeated
+
+
+def test_a_hot_group_is_dealt_over_tasks(spark):
+    docs = table(spark, [(k, "copy", "en", "s") for k in range(3000)] + [(5000 + k, f"text {k}", "en", "s") for k in range(100)])
+    got = exact_dedup.exact_groups(docs).collect()
+    assert sum(r.group_size == 3000 and r.keep_id == 2999 for r in got) == 3000 and sum(r.kept for r in got) == 101
+    assert {r.doc_id for r in exact_dedup.exact_dedup(docs).collect()} == {2999, *range(5000, 5100)}
+
+
 def test_token_counts(spark):
     path = P.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
