@@ -243,6 +243,49 @@ def test_fingerprints(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    """An outlier, a hot id and many null ids make no large range, and every row has its right successor."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 50)
+    ids = list(range(2000)) + [2**62, -(2**62)] + [777] * 1500 + [None] * 900
+    rows = spark.createDataFrame([(i, (f"t{i}-{k}",)) for k, i in enumerate(ids)], "id long, value struct<text:string>").repartition(5)
+    keyed = rows.withColumn("digest", F.xxhash64("value.text"))
+    sizes = [r["count"] for r in keyed.groupBy(fingerprints._ranges(keyed.select("id", "digest")).alias("at")).count().collect()]
+    assert sum(sizes) == len(ids) and max(sizes) <= 2.5 * 50
+    order = [r.text for r in keyed.orderBy(F.col("id").desc_nulls_last(), F.col("digest").desc(), F.col("value.text").desc()).select("value.text").collect()]
+    got = {r.value.text: r.next.text for r in fingerprints.with_next(rows).collect()}
+    assert got == {t: order[(k + 1) % len(order)] for k, t in enumerate(order)}
+
+
+def test_repeated_spans_by_brute_force(spark):
+    """Every shared run of bytes long enough to hold whole chunks is found, and nothing that isn't shared is."""
+    rng = random.Random(21)
+    passages = [" ".join(w + str(rng.randrange(50)) for w in prose(45, 4000 + k).split()).encode() for k in range(6)]
+    rows = []
+    for k in range(60):
+        parts = [prose(rng.randrange(5, 40), 5000 + k).encode()] + [rng.choice(passages) if rng.random() < 0.5 else prose(20, 6000 + 10 * k + j).encode() for j in range(3)]
+        rows.append((k, b" ".join(parts).decode(), "en", "s"))
+    text = {r[0]: r[1].encode() for r in rows}
+    grams = defaultdict(set)
+    size = 24
+    for i, t in text.items():
+        for at in range(len(t) - size + 1):
+            grams[t[at : at + size]].add(i)
+    shared = {i: np.array([len(grams[t[at : at + size]]) > 1 for at in range(len(t) - size + 1)]) for i, t in text.items()}
+    spans = defaultdict(list)
+    for r in passage_dedup.repeated_spans(table(spark, rows)).collect():
+        spans[r.doc_id].append((r.start_byte, r.end_byte))
+        if r.end_byte - r.start_byte >= size:  # what is reported is shared, byte by byte
+            assert shared[r.doc_id][r.start_byte : r.end_byte - size + 1].all()
+    for i, on in shared.items():  # of a shared run, all but what lies before its first and after its last chunk end
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], on.view(np.int8), [0]])))
+        for a, b in zip(edges[::2], edges[1::2]):
+            if b - a > 300:
+                covered = sum(max(0, min(y, b + size) - max(x, a)) for x, y in spans[i])
+                assert covered > b + size - a - 200
+
+
 def test_next_across_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", 3)
     monkeypatch.setattr(fingerprints, "GROUP", 4)

@@ -12,14 +12,16 @@ Everything about one text is computed inside its row with array functions: no k-
 shuffled, and memory is bounded by the text. ``let`` binds an intermediate array as a lambda variable, so
 that the optimiser can't copy its expression into inner loops.
 
-``with_next`` puts every row next to its successor in descending id order. Ids are cut into ranges of
-about ``RANGE_ROWS`` rows, each range is sorted on its own, and only the first row of each range crosses
-to the range before it. Ranges have equal width in id values, so uneven ids make uneven ranges, not wrong
-ones. The texts are shuffled once.
+``with_next`` puts every row next to its successor in descending id order. Rows are cut into ranges of about
+``RANGE_ROWS`` rows, each range is sorted on its own, and only the first row of each range crosses to the range
+before it. The cuts follow the rows, not the id values: ids are cut at up to ``GROUP`` percentiles, each piece
+between two of them into ranges of equal width; an id that fills a percentile or more, and the rows without id, are cut by
+a hash of the text. So outliers, hot ids and nulls make no large range. The texts are shuffled once, each with its
+signature; a range's first text crosses without it and gets it there again, a signature per range.
 
 Defined cases: a null text counts as empty; a text without words has the empty fingerprint, whose likeness
 is 1 to another empty one and 0 to any other; texts of less than K words have one k-mer; rows of equal id
-are ordered by text, descending, nulls last; a null id comes last; the successor of the last row is the
+are ordered by a hash of their text, then the text, descending; a null id comes last; the successor of the last row is the
 first, so a single row succeeds itself; an empty table gives an empty result; other columns are not read.
 """
 
@@ -34,7 +36,7 @@ TAKE = 2         # a power of two, as is BINS
 BINS = 32
 PLACE_BITS = 24  # k-mers keep 40 bits of hash; positions count modulo 2**24
 RANGE_ROWS = 2000
-GROUP = 1024  # ranges whose first rows are ordered together
+GROUP = 4096  # pieces of the ids, at most; the first rows of a piece's ranges are ordered together
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -124,32 +126,80 @@ def edited_text(text: Column, following: Column) -> Column:
     return F.concat(F.left(text, F.char_length(text) - half), F.left(following, half))
 
 
-def with_next(rows: DataFrame) -> DataFrame:
-    """rows: id and value (a struct whose first field is the text); adds ``next``, the successor's value."""
-    low, high, count = rows.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
-    ranges = max(1, -(-count // RANGE_ROWS))
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // ranges))
-    ahead = F.lit(high if high is not None else 0).cast("decimal(38,0)") - F.col("id")
-    placed = rows.withColumn("range", F.coalesce(F.floor(ahead / F.lit(width).cast("decimal(38,0)")).cast("long"), F.lit(ranges + 1).cast("long")))
-    order = [F.col("id").desc_nulls_last(), F.col("value").desc_nulls_last()]
-    inside = Window.partitionBy("range").orderBy(*order)
-    seen = placed.select("*", F.lead("value").over(inside).alias("inner"), F.row_number().over(inside).alias("rank"))
-    heads = seen.filter("rank = 1").select("range", "value", F.floor(F.col("range") / GROUP).alias("group"))
-    in_group = Window.partitionBy("group").orderBy("range")
-    heads = heads.select("*", F.lead("value").over(in_group).alias("later"), F.row_number().over(in_group).alias("place"))
-    firsts = heads.filter("place = 1").select("group", "value")
-    over_groups = Window.orderBy("group")  # one row for each GROUP ranges
-    firsts = firsts.select("group", F.coalesce(F.lead("value").over(over_groups),
-                                               F.first("value").over(over_groups.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("group_next"))
-    crossing = heads.join(firsts, "group").select("range", F.coalesce("later", "group_next").alias("outer"))
-    return seen.join(crossing, "range").select("id", "value", F.coalesce("inner", "outer").alias("next"))
+def _ranges(rows: DataFrame) -> Column:
+    """(piece, part): numbers that put the rows (id, digest) into ranges, ascending as ids and digests descend."""
+    count, nulls, low, high = rows.agg(F.count(F.lit(1)), F.count_if(F.col("id").isNull()), F.min("id"), F.max("id")).first()
+    pieces = min(GROUP, max(1, -(-count // RANGE_ROWS)))
+    cuts = []
+    if low is not None and pieces > 1:
+        cuts = rows.agg(F.percentile_approx("id", [k / pieces for k in range(1, pieces)], 20 * pieces)).first()[0]
+    hot = {x: n for x in set(cuts) if (n := cuts.count(x)) > 1}
+    starts = sorted({low or 0, *cuts, *hot, *[x + 1 for x in hot if x < 2**63 - 1]})  # of the pieces, ascending; a hot id is one of its own
+    ends = [*starts[1:], (high or 0) + 1]
+    parts = [max(1, -(-count * hot.get(x, 1) // (pieces * RANGE_ROWS))) for x in starts]
+    widths = [max(1, -(-(y - x) // n)) for x, y, n in zip(starts, ends, parts)]
+
+    def array(numbers: list, kind: str) -> Column:
+        return F.expr(f"cast(split('{','.join(map(str, numbers))}', ',') as array<{kind}>)")
+
+    steps = [1 << k for k in reversed(range(len(starts).bit_length()))]
+
+    def found(tables: Column) -> Column:
+        """How many pieces start at or below the id, less one, by bisection."""
+        return F.aggregate(array(steps, "int"), F.lit(-1), lambda at, step: F.when(F.get(tables["starts"], at + step) <= F.col("id"), at + step).otherwise(at))
+
+    def by_hash(n: Column) -> Column:
+        """0 for the largest digests, n - 1 for the smallest."""
+        return n - 1 - F.floor((F.shiftright("digest", 32) + (1 << 31)) * n / (1 << 32)).cast("long")
+
+    def placed(tables: Column) -> Column:
+        def of(at: Column) -> Column:
+            start, width, n = (F.get(tables[c], at) for c in ("starts", "widths", "parts"))
+            by_id = F.floor((F.get(tables["ends"], at) - 1 - F.col("id").cast("decimal(38,0)")) / width).cast("long")
+            return F.struct((F.lit(len(starts)) - at).cast("long").alias("piece"), F.when(F.array_contains(tables["hot"], start), by_hash(n)).otherwise(by_id).alias("part"))
+
+        return let(found(tables), of)
+
+    tables = F.struct(array(starts, "bigint").alias("starts"), array(ends, "decimal(38,0)").alias("ends"), array(widths, "decimal(38,0)").alias("widths"),
+                      array(parts, "bigint").alias("parts"), (array(sorted(hot), "bigint") if hot else F.array().cast("array<bigint>")).alias("hot"))
+    without = F.struct(F.lit(len(starts) + 1).cast("long").alias("piece"), by_hash(F.lit(max(1, -(-nulls // RANGE_ROWS))).cast("long")).alias("part"))
+    return F.when(F.col("id").isNull(), without).otherwise(let(tables, placed))
+
+
+def with_next(rows: DataFrame, bare: DataFrame | None = None, complete: Callable[[Column], Column] | None = None) -> DataFrame:
+    """rows: id and value (a struct whose first field is the text); adds ``next``, the successor's value. ``bare``: the
+    same rows without what is dear to compute in their values, and ``complete``, which computes it from such a value."""
+    bare, complete = (rows, lambda value: value) if bare is None else (bare, complete)
+
+    def hashed(some: DataFrame) -> DataFrame:
+        return some.withColumn("digest", F.xxhash64("value.text"))
+
+    where = _ranges(hashed(bare).select("id", "digest"))
+    order = [F.col("id").desc_nulls_last(), F.col("digest").desc(), F.col("value.text").desc()]
+
+    def placed(some: DataFrame) -> DataFrame:
+        return hashed(some).withColumn("where", where).select("id", "value", "digest", "where.piece", "where.part")
+
+    inside = Window.partitionBy("piece", "part").orderBy(*order)
+    seen = placed(rows).withColumn("inner", F.lead("value").over(inside))
+    heads = placed(bare).withColumn("rank", F.row_number().over(inside)).filter("rank = 1").select("piece", "part", "value")
+    in_piece = Window.partitionBy("piece").orderBy("part")
+    heads = heads.select("*", F.lead("value").over(in_piece).alias("later"), F.row_number().over(in_piece).alias("place"))
+    firsts = heads.filter("place = 1").select("piece", "value")
+    over_pieces = Window.orderBy("piece")  # one row for each piece
+    firsts = firsts.select("piece", F.coalesce(F.lead("value").over(over_pieces),
+                                               F.first("value").over(over_pieces.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("piece_next"))
+    crossing = heads.join(firsts, "piece").select("piece", "part", F.coalesce("later", "piece_next").alias("outer"))
+    return seen.join(crossing, ["piece", "part"]).select("id", "value", F.coalesce("inner", complete(F.col("outer"))).alias("next"))
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.struct(text.alias("text"), signature(text).alias("sig")).alias("value"))
-    paired = with_next(rows)
+    def valued(text: Column) -> Column:
+        return F.struct(text.alias("text"), signature(text).alias("sig"))
+
+    text, key = F.coalesce(F.col(text_col), F.lit("")), F.col(id_col).alias("id")
+    paired = with_next(docs.select(key, valued(text).alias("value")), docs.select(key, F.struct(text.alias("text")).alias("value")), lambda value: valued(value["text"]))
     edited = edited_text(F.col("value.text"), F.col("next.text"))
     out = paired.select(F.col("id"), F.char_length("value.text").cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
                         F.col("value.sig").alias("sig"), signature(edited).alias("edited_sig"), F.col("next.sig").alias("next_sig"))

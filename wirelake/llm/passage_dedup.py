@@ -77,7 +77,7 @@ def chunks_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 def _part(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _chunks(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
