@@ -69,6 +69,14 @@ def test_field_finds_more_and_leaves_prose_alone(spark):
     assert [(17, 3, 17 + len(value))] == spans[0] and spans[1] == spans[2] == []
 
 
+def test_field_is_trained_however_rare_its_examples_are(spark, monkeypatch):
+    """One document in a thousand holds a secret: half of the sample are such documents."""
+    monkeypatch.setattr(secret_scan, "SAMPLE", 40)
+    rows = [(k, f"words about number {k} " + (f"password = Zx{k}qwErTy{k}99" if k % 1000 == 7 else "and more of them"), "en", "s") for k in range(4000)]
+    assert secret_scan.train(table(spark, rows)) is not None
+    assert secret_scan.train(table(spark, [r for r in rows if r[0] % 1000 != 7])) is None
+
+
 def test_viterbi_is_exact():
     tokens = secret_scan.tokenise([prose(30, 1), "", "one", prose(7, 2), "a  b\tc " * 9])
     first = np.concatenate([[True], tokens.text[1:] != tokens.text[:-1]])
@@ -201,6 +209,68 @@ def test_non_negative_risk():
     assert (z[:200, None] > z[200:]).mean() > 0.97 and 0.1 < (z > 0).mean() < 0.3
 
 
+def plain_nnpu(pos, unl, prior, steps, rate, decay):
+    """The non-negative risk, followed downhill by Adam, one number at a time."""
+    import math
+
+    n = len(pos[0])
+    w = [0.0] * n + [math.log(prior / (1 - prior))]
+    m, v = [0.0] * (n + 1), [0.0] * (n + 1)
+    logit = lambda x: sum(a * b for a, b in zip(x, w)) + w[n]
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    for step in range(1, steps + 1):
+        negative = sum(math.log1p(math.exp(logit(x))) for x in unl) / len(unl) - prior * sum(math.log1p(math.exp(logit(x))) for x in pos) / len(pos)
+        grad = [decay * prior * a for a in w[:n]] + [0.0]
+        for rows, side in ((pos, True), (unl, False)):
+            for x in rows:
+                s = sigmoid(logit(x))
+                slope = -prior * s / len(pos) if side else s / len(unl)  # of the negative part
+                slope = (slope + (prior * (s - 1) / len(pos) if side else 0.0)) if negative >= 0 else -slope
+                for k in range(n):
+                    grad[k] += slope * x[k]
+                grad[n] += slope
+        for k in range(n + 1):
+            m[k], v[k] = 0.9 * m[k] + 0.1 * grad[k], 0.999 * v[k] + 0.001 * grad[k] ** 2
+            w[k] -= rate * (m[k] / (1 - 0.9**step)) / (math.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+    return w
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.001])
+def test_fit_against_plain_python(prior):
+    rng = np.random.default_rng(4)
+    pos, unl = rng.random((7, 3)) + [0.5, 0, 0], rng.random((11, 3))
+    w, b = toxicity.fit_nnpu(pos, unl, prior, steps=60, rate=0.05, decay=2e-4)
+    assert np.allclose([*w, b], plain_nnpu(pos.tolist(), unl.tolist(), prior, 60, 0.05, 2e-4), atol=1e-9)
+
+
+def test_score_against_plain_python():
+    """A score is the logistic of the bias, the weights of the hashes that occur, and their densities."""
+    import math
+
+    texts = ["bad bad words here", "", "nothing of note", "bad " * 700 + "good"]
+    doc, feature, count, words = toxicity.word_features(texts)
+    some = np.unique(feature[doc == 0])[:5]
+    model = toxicity.Model(some, np.linspace(-1, 1, 10), -0.7)
+    got = model.scores(texts)
+    for k in range(len(texts)):
+        z = -0.7
+        for f, c in zip(feature[doc == k], count[doc == k]):
+            at = np.flatnonzero(some == f)
+            if len(at):
+                density = min(1.0, 2.0 * min(int(c), toxicity.MOST_COUNTED) / math.sqrt(max(words[k], 1)))
+                z += model.weights[at[0]] + model.weights[5 + at[0]] * density
+        assert abs(got[k] - 1 / (1 + math.exp(-z))) < 1e-12
+
+
+def test_a_rare_class_keeps_its_prior(spark, monkeypatch):
+    """One toxic row in a thousand: the risk is corrected for that share, not for a larger one."""
+    rows = [(k, f"text number {k} " + ("vile stuff" if k % 1000 == 0 else "fine stuff"), "en", "s") for k in range(6000)]
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_nnpu", lambda pos, unl, prior: seen.append(prior) or (np.zeros(pos.shape[1]), 0.0))
+    toxicity.train(table(spark, rows), labels(spark, [(k, 1, int(k % 1000 == 0)) for k in range(6000)]))
+    assert all(0.0003 < p < 0.003 for p in seen)
+
+
 def test_toxicity_awkward(spark):
     docs = awkward(spark)
     bare = toxicity.score(docs, toxicity.train(docs, labels(spark))).collect()

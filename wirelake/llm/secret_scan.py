@@ -3,9 +3,9 @@
 Tokens are maximal runs of non-space characters. The field tags each as secret begin (B), inside (I) or
 outside (O) from its shape, length and character mix, the hashes of its neighbours, and features of its
 file (length, share of digits, presence of assignments). It is trained here, by gradient ascent on the
-conditional likelihood, on windows of a bounded sample: the ``SAMPLE`` rows with the smallest hash of their
-id, at most ``WINDOWS`` windows each, labelled by the base patterns, and as many with the labelled
-spans' characters replaced by mixed ones. Its own spans are added to the base
+conditional likelihood, on windows of a bounded sample: ``SAMPLE`` rows, half of them with what may be a base span
+and half without, those with the smallest hashes of their ids, at most ``WINDOWS`` windows each, labelled by the
+base patterns, and as many with the labelled spans' characters replaced by mixed ones. Its own spans are added to the base
 spans where they touch none of them; base spans always stay.
 
 Decoding is exact Viterbi. A token whose outside score leads by more than twice the range of the
@@ -16,7 +16,7 @@ Base kinds, each leftmost and non-overlapping, with code point spans, end exclus
 group 2, of at least 12 characters), ``access`` (at least 18 characters), ``hex`` (at least 16).
 
 Defined cases: a null text counts as empty; texts without tokens have no spans; texts of any length are
-scanned whole; repeated rows each get their row; an empty table, or a sample without any base span, leaves
+scanned whole; repeated rows each get their row; an empty table, or one without any base span, leaves
 the field untrained, and it then adds nothing; ids may be null; other columns are not read. Scanning needs
 no shuffle; the broadcast model has a fixed size.
 """
@@ -282,10 +282,17 @@ def _windows(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 yield tokens.features[lo + a : lo + b], tags[a:b]
 
 
+# A text without a match of this (Java's syntax) holds no base span.
+MAY_HOLD = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12}|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"""
+
+
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Field | None:
-    """A field for these documents, or None where the sample holds no base span."""
-    ids = docs.select(F.col(id_col).alias("id")).filter("id IS NOT NULL").distinct()
-    chosen = materialise(ids.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(SAMPLE), "crf-ids")
+    """A field for these documents, or None where no document with an id holds a base span. Half of the sample are
+    documents that may hold one, so it has examples however rare they are."""
+    ids = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.coalesce(F.col(text_col).rlike(MAY_HOLD), F.lit(False))).alias("holds"))
+    order = [F.xxhash64(F.col("id").cast("string")), F.col("id")]
+    halves = [ids.filter(F.col("holds") == side).select("id").orderBy(*order).limit(SAMPLE // 2) for side in (True, False)]
+    chosen = materialise(halves[0].unionByName(halves[1]), "crf-ids")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
     texts = texts.groupBy("id").agg(F.min("text").alias("text"))
     size = 2 * REACH + 1

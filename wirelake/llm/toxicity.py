@@ -36,6 +36,7 @@ UNLABELLED = 8000    # most unlabelled rows to learn from
 FEATURES = 512       # hashes kept by the feature selection
 PREFIXES = (3, 4, 5, 6, 7)
 HASH_BITS = 22
+MOST_COUNTED = 255   # more occurrences of a hash in a text count as so many, in the fit and in scores
 THRESHOLD = 0.7
 HELD_OUT = 1         # remainder modulo 3 of the rows never learnt from
 SLICE_BYTES = 1 << 20
@@ -89,7 +90,7 @@ class Model:
         if k and len(feature):
             at = np.minimum(np.searchsorted(self.features, feature), k - 1)
             hit = self.features[at] == feature
-            doc, at, count = doc[hit], at[hit], count[hit]
+            doc, at, count = doc[hit], at[hit], np.minimum(count[hit], MOST_COUNTED)
             density = np.minimum(1.0, 2.0 * count / np.sqrt(np.maximum(words[doc], 1.0)))
             logit += np.bincount(doc, weights=self.weights[at] + self.weights[k + at] * density, minlength=len(texts))
         return 1.0 / (1.0 + np.exp(-np.clip(logit, -30, 30)))
@@ -158,7 +159,7 @@ def _sample_matrix(sample: DataFrame, features: np.ndarray) -> DataFrame:
                 at = np.minimum(np.searchsorted(features, feature), len(features) - 1)
                 hit = features[at] == feature
                 block = np.zeros((stop - start, len(features)), dtype=np.uint8)
-                block[doc[hit], at[hit]] = np.minimum(count[hit], 255)
+                block[doc[hit], at[hit]] = np.minimum(count[hit], MOST_COUNTED)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array([r.tobytes() for r in block], pa.binary()), pa.array(words.astype(np.int64))],
                                                  ["positive", "counts", "words"])
 
@@ -168,7 +169,7 @@ def _sample_matrix(sample: DataFrame, features: np.ndarray) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
     sample, prior = _sample(docs, labels, text_col, id_col)
     n_pos, n_unl = sample.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
-    prior = min(max(prior or 0.0, 0.01), 0.5)
+    prior = min(max(prior or 0.0, 1e-9), 1 - 1e-9)  # it is the method's correction: only its logarithms need a guard
     bare = Model(np.zeros(0, dtype=np.int64), np.zeros(0), float(np.log(prior / (1 - prior))))
     if not n_pos or not n_unl:
         return bare
