@@ -21,7 +21,8 @@ be alike are dropped by their profiles, before any words move. Candidates are co
    similarity, found by an exact prefix filter on rare words, so that no link is lost and texts that share no more
    than a common passage make no pairs. The order of the words may be any fixed one for the filter to be exact; it
    comes from a fixed number of hashed counters, so each task picks its texts' rarest words by itself, and only
-   those are shuffled.
+   those are shuffled. A word that both texts have once must stand at about the same place in both, and a pair is
+   made at the first such words that its texts share, not at each.
 
 Pairs inside one component can't change any class and are skipped.
 
@@ -42,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wirelake.llm.common import byte_slices, materialise, mix64, span_hashes, texts_of
 from wirelake.llm.components import components
@@ -53,6 +54,8 @@ BANDS = 32
 SIMILARITY = 0.8
 BINS = 128
 COUNTERS = 1 << 18  # of the word order in step 3
+PLACES = 1 << 20    # places in a text that are told apart; words further on count as words that occur again
+EARLIER = 16        # rare words before one that are compared, so that a pair isn't made again at each of its words
 SLICE_BYTES = 1 << 20
 PAIR_ROWS = 4096
 SEEDS = mix64(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
@@ -300,7 +303,12 @@ def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float)
     among each one's (1 - similarity) * n + 1 first occurrences in any fixed order there is one that both have: no
     pair above the similarity is left out. In an order by rarity, what very many texts share, such as a common
     passage, is never among the first, so texts that only share that make no pairs. Rarity is that of COUNTERS hashed
-    counters: one aggregation, and an array of fixed size that goes to the tasks."""
+    counters: one aggregation, and an array of fixed size that goes to the tasks.
+
+    The smallest occurrence that an alignment of such a pair matches is among those first ones of both. If its word
+    stands once in each text, the two places are matched with each other, so they differ by the allowed edits at
+    most. Of the occurrences that two texts share in this way, one with another of them among the EARLIER shared
+    ones before it makes no pair; the first has none before it, so every pair is made at least once."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
@@ -314,24 +322,45 @@ def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float)
         for batch in batches:
             for start, stop in byte_slices(batch.column(2), SLICE_BYTES):
                 part = batch.slice(start, stop - start)
-                firsts, sizes = [], []
+                firsts, places, sizes = [], [], []
                 for packed in part.column(2).to_pylist():
                     tokens = _tokens(packed)
+                    _, word, times = np.unique(np.frombuffer(packed, dtype=np.uint32), return_inverse=True, return_counts=True)
                     keep = int(edits_allowed(np.array(len(tokens)), similarity)) + 1
-                    firsts.append(tokens[np.lexsort((tokens, often[(tokens % np.uint64(COUNTERS)).astype(np.int64)]))[:keep]].view(np.int64))
+                    first = np.lexsort((tokens, often[(tokens % np.uint64(COUNTERS)).astype(np.int64)]))[:keep]
+                    firsts.append(tokens[first].view(np.int64))
+                    places.append(np.where((times[word[first]] == 1) & (first < PLACES - 1), first, -1).astype(np.int32))  # -1: the word occurs again
                     sizes.append(len(tokens))
-                at = pa.array(np.repeat(np.arange(len(firsts)), [len(f) for f in firsts]))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(sizes, pa.int32()).take(at), pa.array(np.concatenate(firsts))],
-                                                 ["node", "root", "size", "token"])
+                counts = [len(f) for f in firsts]
+                at = pa.array(np.repeat(np.arange(len(firsts)), counts))
+                ranks = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(sizes, pa.int32()).take(at), pa.array(np.concatenate(firsts)),
+                                                  pa.array(np.concatenate(places)), pa.array(ranks)], ["node", "root", "size", "token", "place", "rank"])
 
     nodes = materialise(nodes.join(words, "node").select("node", "root", "words"), "omh-open")
     often = np.zeros(COUNTERS, dtype=np.int64)
     for row in nodes.mapInArrow(counted, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect():  # COUNTERS rows at most
         often[row.counter] = row.n
-    prefix = materialise(nodes.mapInArrow(rarest, "node long, root long, size int, token long"), "omh-prefix")
-    x, y = (prefix.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "size")]) for k in "ab")
-    near = F.abs(F.col("size_a") - F.col("size_b")) <= F.floor(F.lit(1.0 - similarity) * F.greatest("size_a", "size_b") + 1e-9)
-    return x.join(y, "token").filter(near & F.expr("node_a < node_b AND root_a <> root_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    prefix = materialise(nodes.mapInArrow(rarest, "node long, root long, size int, token long, place int, rank int"), "omh-prefix")
+    shared = prefix.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token")
+    before = Window.partitionBy("node").orderBy("rank").rowsBetween(-EARLIER, -1)  # a text's own rows
+    packed = F.col("token").bitwiseAND(F.lit(-PLACES)).bitwiseOR(F.col("place").bitwiseAND(F.lit(PLACES - 1)).cast("long"))  # token, place; all ones: none
+    prefix = prefix.join(shared, "token").withColumn("before", F.collect_list(packed).over(before))
+    prefix = materialise(prefix.drop("rank"), "omh-shared")
+    x, y = (prefix.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "size", "place", "before")]) for k in "ab")
+    allowed = F.floor(F.lit(1.0 - similarity) * F.greatest("size_a", "size_b") + 1e-9)
+
+    def matched(one: Column, other: Column) -> Column:
+        return (one < 0) | (other < 0) | (F.abs(one - other) <= allowed)
+
+    def place(x: Column) -> Column:
+        number = x.bitwiseAND(F.lit(PLACES - 1))
+        return F.when(number == PLACES - 1, F.lit(-1)).otherwise(number)
+
+    again = F.exists("before_a", lambda u: F.exists("before_b", lambda v: (u.bitwiseXOR(v).bitwiseAND(F.lit(-PLACES)) == 0) & matched(place(u), place(v))))
+    met = x.join(y, "token").filter(F.expr("node_a < node_b AND root_a <> root_b") & (F.abs(F.col("size_a") - F.col("size_b")) <= allowed)
+                                    & matched(F.col("place_a"), F.col("place_b")) & ~again)
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
