@@ -25,6 +25,7 @@ from wirelake.session import reliable_checkpoint, shared_dir
 from wirelake.sources import capture_source
 from wirelake.sources.capture import ingest_captures
 from wirelake.sources.capture_writer import damaged_copies, pad_to_size, write_captures
+from wirelake.sources.store import FeatureStore
 from wirelake.sources.lines import (
     damaged_lines, format_lines, packet_records, parse_lines, read_line_stream, with_event_time,
 )
@@ -102,6 +103,21 @@ def q_capture_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.feature_table(packets.withColumn("filename", F.element_at(F.split("path", "/"), -2)), ["filename"])
 
 
+def q_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C11, A3: capture files loaded in three steps, each listing all files there are by then; the second is repeated
+    after a failure before its commit. Equals one pass."""
+    root = shared_dir(spark, "feature-store")
+    written = _written_captures(packets_events(spark, sf_dir, spread_rows=True), root)
+    store, split = FeatureStore(spark, f"{root}/store"), _split_bytes(written)
+    for step in range(3):
+        there = written.filter(F.pmod(F.xxhash64(F.element_at(F.split("path", "/"), -1), F.element_at(F.split("path", "/"), -2)), F.lit(3)) <= step).select("path")
+        if step == 1:
+            store.prepare(there, split)  # written, never committed
+        store.load(there, split)
+    edges = store.edges().withColumn("filename", F.element_at(F.split("path", "/"), -2))
+    return feat.features_from_edges(feat.merge_edges(edges, keys=["filename"]), ["filename"])
+
+
 def q_stream_capture_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 on captures: files that grow in BATCHES steps (rewritten here with more records each time), followed by a
     stream that is stopped after each step and started again from its checkpoint; F1 over what it reads."""
@@ -422,6 +438,7 @@ def catalog() -> dict[str, Query]:
         "capture_status": q_capture_status,
         "header_decode_tunnels": q_header_decode_tunnels,
         "capture_source": q_capture_source,
+        "feature_store": q_feature_store,
         "stream_capture_windows": q_stream_capture_windows,
         "line_format": lambda s, d: format_lines(_records(s, d)),
         "line_parse": q_line_parse,

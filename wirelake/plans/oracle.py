@@ -169,6 +169,7 @@ def feature_queries() -> dict[str, str]:
     return {
         "capture_roundtrip": roundtrip_sql("events"),
         "capture_source": roundtrip_sql("events"),
+        "feature_store": roundtrip_sql("events"),
         "capture_roundtrip_volume": roundtrip_sql("lineitem"),
         "capture_roundtrip_gzip": roundtrip_sql("events"),
         "features_captures": roundtrip_sql("events").removesuffix("SELECT * FROM features") +
