@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -66,6 +67,46 @@ def fit_kmeans(features: DataFrame, k: int | None = None, seed: int = 42, max_it
     return model, model.transform(data)
 
 
+def fit_pipeline(features: DataFrame, k: int | None = None, seed: int = 42, max_iter: int = 10) -> PipelineModel | None:
+    """E1 + E3 as one model that can be saved: the assembler and K-Means. None where there is nothing to separate."""
+    rule = choose_k(features).first()
+    k = int(rule["k"]) if k is None else min(k, int(rule["distinct_vectors"]))
+    if k < 2:
+        return None
+    kmeans = KMeans(k=k, featuresCol="features", predictionCol="prediction", maxIter=max_iter, seed=seed)
+    return Pipeline(stages=[VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features"), kmeans]).fit(repeatable(features))
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """To a shared folder; ``load_model`` reads it back in any session, and ``transform`` assigns new captures without a fit."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def centres_of(model: PipelineModel) -> list[list[float]]:
+    return [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+
+
+def matched_numbers(old: list[list[float]], new: list[list[float]]) -> list[int]:
+    """For each new centre the number it goes by: that of the old centre it is matched with, nearest pairs first;
+    centres without a partner get the numbers that are left. So clusters keep their numbers over a refit."""
+    pairs = sorted((sum((x - y) ** 2 for x, y in zip(a, b)), i, j) for i, a in enumerate(old) for j, b in enumerate(new))
+    numbers: dict[int, int] = {}
+    for _, i, j in pairs:
+        if j not in numbers and i not in numbers.values():
+            numbers[j] = i
+    free = (n for n in range(len(old) + len(new)) if n not in numbers.values())
+    return [numbers[j] if j in numbers else next(free) for j in range(len(new))]
+
+
+def renumbered(predictions: DataFrame, numbers: list[int]) -> DataFrame:
+    """Predictions of a refit under the numbers from ``matched_numbers``."""
+    return predictions.withColumn("prediction", F.get(F.array(*[F.lit(n) for n in numbers]), F.col("prediction")))
+
+
 def cluster_scatter(predictions: DataFrame) -> DataFrame:
     """The scatter rows."""
     return predictions.select("filename", "packet_count", "total_bytes", "prediction")

@@ -30,6 +30,7 @@ from wirelake.sources.lines import (
     damaged_lines, format_lines, packet_records, parse_lines, read_line_stream, with_event_time,
 )
 from wirelake.sources.tables import packets_events, packets_from_events, packets_lineitem
+from wirelake.streaming import log
 from wirelake.streaming import windows as win
 
 # Test windows: the events are minutes apart, so the reference's four-pane
@@ -356,6 +357,25 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_counts(spark, _stream_records(spark, sf_dir, late), "stream_late_rows", "append")
 
 
+def q_stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the rows that ``stream_late_rows`` leaves out, counted per window and protocol."""
+    low, high = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.min("ts"), F.max("ts")).first()
+    late = (F.col("event_id") % 10 == 0) & (F.col("ts") < F.lit(low + (high - low) / 2))
+    sink = shared_dir(spark, "stream_late_counts-out")
+    records = _stream_records(spark, sf_dir, late).select("event_time", "protocol")
+    win.run_bounded(records, "stream_late_counts", sink=sink, writer=log.late_writer(sink, WINDOW, SLIDE, WATERMARK))
+    return win.read_sink(spark, sink, "window_start timestamp_ntz, window_end timestamp_ntz, protocol string, dropped long")
+
+
+def q_stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """an update log that is folded every three micro-batches while the stream runs; every window, read back."""
+    sink = shared_dir(spark, "stream_compacted-out")
+    counts = win.protocol_window_counts(_stream_records(spark, sf_dir), WINDOW, SLIDE, time_col="event_time", ntz_out=True)
+    win.run_bounded(counts, "stream_compacted", "update", sink, state_partitions=spark.sparkContext.defaultParallelism,
+                    writer=log.compacting_writer(sink, WATERMARK, 3))
+    return log.all_windows(spark, sink, counts.schema)
+
+
 def q_stream_running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = win.running_counters(packet_records(packets_from_events(_event_files(spark, sf_dir))))
     sink, _ = win.run_bounded(counters, "stream_running_counters", output_mode="complete",
@@ -382,6 +402,23 @@ def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.select("filename", F.lit(len(centres)).cast("long").alias("k"), (F.col("prediction") == F.col("fitted")).alias("nearest"))
 
 
+def q_kmeans_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model fitted on the first half of the captures by name, saved, read back, and applied to all without
+    a refit: is its cluster the nearest centre's; and does a refit on the same captures keep the numbers."""
+    features = _reused_features(spark, sf_dir)
+    half = features.withColumn("turn", F.ntile(2).over(Window.orderBy("filename"))).filter("turn = 1").drop("turn")  # a row per capture
+    model, path = cluster.fit_pipeline(half), shared_dir(spark, "kmeans-model")
+    cluster.save_model(model, path)
+    saved = cluster.load_model(path)
+    centres = cluster.centres_of(saved)
+    numbers = cluster.matched_numbers(centres, cluster.centres_of(cluster.fit_pipeline(half)))
+    assigned = saved.transform(features).withColumnRenamed("prediction", "fitted")
+    again = cluster.renumbered(saved.transform(features), numbers).select(F.col("filename").alias("of"), F.col("prediction").alias("refitted"))
+    nearest = cluster.assign_to_centres(assigned, centres).join(again, F.col("filename") == F.col("of"))
+    return nearest.select("filename", F.lit(len(centres)).cast("long").alias("k"), (F.col("prediction") == F.col("fitted")).alias("nearest"),
+                          (F.col("refitted") == F.col("fitted")).alias("same_number"))
+
+
 def q_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vector's length and first and last entries."""
     v = vector_to_array("features")
@@ -456,6 +493,8 @@ def catalog() -> dict[str, Query]:
         "stream_line_windows": q_stream_line_windows,
         "stream_win_append": q_stream_win_append,
         "stream_late_rows": q_stream_late_rows,
+        "stream_late_counts": q_stream_late_counts,
+        "stream_compacted": q_stream_compacted,
         "label_counters": lambda s, d: win.label_counters(parse_lines(format_lines(_records(s, d)))),
         "stream_label_counters": q_stream_label_counters,
         # E: clustering, R: report
@@ -464,6 +503,7 @@ def catalog() -> dict[str, Query]:
         "silhouette_fixed_labels": lambda s, d: cluster.silhouette(_fixed_labels(s, d)),
         "assemble": q_assemble,
         "kmeans_fit": q_kmeans_fit,
+        "kmeans_saved": q_kmeans_saved,
         "cluster_scatter": lambda s, d: cluster.cluster_scatter(_fixed_labels(s, d)),
         "report_lines": q_report_lines,
     }

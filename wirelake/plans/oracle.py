@@ -297,6 +297,13 @@ def stream_queries() -> dict[str, str]:
             "SELECT * FROM wc WHERE window_end <= (SELECT MAX(ts) FROM rec) - INTERVAL 2 HOUR",
             on_time, RECORDS, WINDOWED, ("wc", WIN_PROTOCOL)),
         "header_decode_tunnels": with_ctes(TUNNELLED, p),
+        "stream_compacted": win_counts,
+        "stream_late_counts": with_ctes(
+            "SELECT window_start, window_end, protocol, COUNT(*) AS dropped FROM windowed "
+            "WHERE window_end <= (SELECT MAX(ts) FROM (" + PACKETS_EVENTS + ") e) - INTERVAL 2 HOUR "
+            "GROUP BY window_start, window_end, protocol",
+            ("packets", f"SELECT * FROM ({PACKETS_EVENTS}) p WHERE packet_no % 10 = 0 AND ts < "
+                        "(SELECT MIN(ts) + (MAX(ts) - MIN(ts)) / 2 FROM events)"), RECORDS, WINDOWED),
         "stream_capture_windows": with_ctes(WIN_PROTOCOL, PADDED, RECORDS, WINDOWED),
         "win_pane_counts": win_counts,
         "stream_pane_counts": with_ctes(
@@ -388,6 +395,10 @@ def cluster_queries() -> dict[str, str]:
         "assemble": features_sql(final="SELECT filename, 13 AS entries, CAST(packet_count AS DOUBLE) AS first_entry, "
                                        "syn_flood_indicator AS last_entry FROM features"),
         "kmeans_fit": features_sql(final=f"SELECT filename, CAST({k} AS BIGINT) AS k, true AS nearest FROM features"),
+        "kmeans_saved": features_sql(final=(
+            "SELECT filename, CAST((SELECT LEAST(LEAST(3, GREATEST(2, COUNT(*) // 2)), COUNT(DISTINCT (" + distinct_cols + "))) FROM "
+            "(SELECT *, NTILE(2) OVER (ORDER BY filename) AS turn FROM features) WHERE turn = 1) AS BIGINT) AS k, "
+            "true AS nearest, true AS same_number FROM features")),
         "cluster_scatter": features_sql(final="SELECT filename, packet_count, total_bytes, prediction FROM labelled", extra=_labels_ctes()),
         "report_lines": _report_sql(),
         "choose_k": features_sql(final=(

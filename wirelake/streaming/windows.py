@@ -139,7 +139,8 @@ def running_counters(records: DataFrame) -> DataFrame:
 def run_bounded(result: DataFrame, name: str, output_mode: str = "append",
                 sink: str | None = None, checkpoint: str | None = None,
                 timeout_seconds: float | None = None,
-                state_partitions: int | None = None) -> tuple[str, StreamingQuery]:
+                state_partitions: int | None = None,
+                writer: Callable[[DataFrame, int], None] | None = None) -> tuple[str, StreamingQuery]:
     """Run a streaming query over all input available now, writing parquet.
 
     ``append`` adds finalised rows; ``complete`` rewrites the whole result
@@ -148,12 +149,12 @@ def run_bounded(result: DataFrame, name: str, output_mode: str = "append",
     is replayed after a failure rewrites its own ``batch_id=`` folder
     (append) or the whole result (complete) instead of adding rows twice. ``state_partitions`` sizes the state store
     (fixed in the checkpoint at the first start); by default the session's
-    shuffle partition count is used.
+    shuffle partition count is used. ``writer`` takes the place of the Parquet writer (see ``streaming.log``).
     """
     spark = result.sparkSession
     sink = sink or shared_dir(spark, f"{name}-out")
     checkpoint = checkpoint or shared_dir(spark, f"{name}-chk")
-    write = batch_writer(sink, output_mode)
+    write = writer or batch_writer(sink, output_mode)
 
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     if state_partitions:
