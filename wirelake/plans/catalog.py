@@ -296,8 +296,7 @@ BATCHES = 8
 def _event_files(spark: SparkSession, sf_dir: str, late=None) -> DataFrame:
     """The events as a stream of BATCHES files in time order (and a last one of late rows), one per micro-batch."""
     events, folder = spark.read.parquet(f"{sf_dir}/events.parquet"), shared_dir(spark, "event-files")
-    win.ordered_files(events, lambda part: part.write.mode("append").parquet(folder), BATCHES, late)
-    return win.event_stream(spark, folder, events.schema)
+    return win.event_stream(spark, win.ordered_files(events, folder, "parquet", BATCHES, late), events.schema)
 
 
 def _stream_records(spark: SparkSession, sf_dir: str, late=None) -> DataFrame:
@@ -328,13 +327,9 @@ def q_stream_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_dir(spark, "line-files")
-
-    def write(part: DataFrame) -> None:
-        format_lines(packet_records(packets_from_events(part))).write.mode("append").text(folder)
-
-    win.ordered_files(spark.read.parquet(f"{sf_dir}/events.parquet"), write, BATCHES)
-    return win.with_watermark(with_event_time(parse_lines(read_line_stream(spark, folder, 1))), "event_time", WATERMARK)
+    records = packet_records(packets_from_events(spark.read.parquet(f"{sf_dir}/events.parquet")))
+    files = win.ordered_files(format_lines(records, keep=["ts"]), shared_dir(spark, "line-files"), "text", BATCHES)
+    return win.with_watermark(with_event_time(parse_lines(read_line_stream(spark, files, 1))), "event_time", WATERMARK)
 
 
 def q_stream_label_counters(spark: SparkSession, sf_dir: str) -> DataFrame:

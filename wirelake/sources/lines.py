@@ -40,11 +40,11 @@ def _line(*parts: Column) -> Column:
     return F.concat_ws(",", *parts)
 
 
-def format_lines(records: DataFrame, time_col: str = "ts") -> DataFrame:
-    """One CSV line per record (B8), time as epoch seconds with six decimals."""
+def format_lines(records: DataFrame, time_col: str = "ts", keep: list[str] | None = None) -> DataFrame:
+    """One CSV line per record (B8), time as epoch seconds with six decimals; ``keep``: columns to leave beside it."""
     secs = seconds_text(epoch_micros(records, time_col))
     return records.select(
-        _line(secs, "protocol", "src_ip", "dst_ip", F.col("packet_size").cast("string")).alias("value"))
+        _line(secs, "protocol", "src_ip", "dst_ip", F.col("packet_size").cast("string")).alias("value"), *(keep or []))
 
 
 def damaged_lines(records: DataFrame, time_col: str = "ts") -> DataFrame:

@@ -221,19 +221,33 @@ def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None
     return df.drop("batch_id") if "batch_id" in df.columns else df
 
 
-def ordered_files(events: DataFrame, write: Callable[[DataFrame], None], files: int, late: Column | None = None) -> None:
-    """Give ``events`` to ``write`` in ``files`` parts in time order, one after another, so that a stream over what
-    it writes runs that many micro-batches with one file per trigger; rows marked ``late`` follow in a last part."""
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    if low is None:
-        return write(events.coalesce(1))
-    step = (high - low) / files
-    on_time = events if late is None else events.filter(~late)
-    for k in range(files):
-        since, until = F.col("ts") >= F.lit(low + k * step), F.col("ts") < F.lit(low + (k + 1) * step)
-        write(on_time.filter((since if k else F.lit(True)) & (until if k < files - 1 else F.lit(True))).coalesce(1))
+def ordered_files(rows: DataFrame, folder: str, fmt: str, files: int, late: Column | None = None, time_col: str = "ts") -> str:
+    """Write ``rows`` once, as ``files`` files in time order below ``folder`` (rows marked ``late`` in one more), with
+    modification times in that order, so that a stream over the returned path with one file per trigger runs that
+    many micro-batches. The time column is written only where ``fmt`` holds columns."""
+    low, high = rows.agg(F.min(time_col), F.max(time_col)).first()
+    part = F.lit(0)
+    if low is not None:
+        step = (high - low) / files
+        for k in range(1, files):
+            part = part + (F.col(time_col) >= F.lit(low + k * step)).cast("int")
     if late is not None:
-        write(events.filter(late).coalesce(1))
+        part = F.when(late, F.lit(files)).otherwise(part)
+    rows = rows.withColumn("part", part)
+    rows = rows.drop(time_col) if fmt == "text" else rows
+    if low is None:
+        rows.drop("part").coalesce(1).write.format(fmt).save(f"{folder}/part=0")
+    else:
+        rows.repartition(files + 1, "part").write.partitionBy("part").format(fmt).save(folder)
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    began = int(time.time() * 1000) - 3_600_000
+    for k in range(files + 1):
+        place = path(f"{folder}/part={k}")
+        for status in fs.listStatus(place) if fs.exists(place) else []:
+            fs.setTimes(status.getPath(), began + 1000 * k, -1)
+    return f"{folder}/part=*"
 
 
 def event_stream(spark: SparkSession, folder: str, schema: T.StructType, max_files_per_trigger: int = 1) -> DataFrame:
