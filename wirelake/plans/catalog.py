@@ -6,6 +6,7 @@ the tests. SQL equivalents live in ``wirelake.plans.oracle``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -95,6 +96,16 @@ def q_capture_roundtrip(view, gzip: bool = False):
     return run
 
 
+def q_capture_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A capture's label is the basename of its path. Written by one task, all files have the same basename, and only
+    their paths tell them apart."""
+    root = shared_dir(spark, "capture-labels")
+    written = _written_captures(packets_events(spark, sf_dir, spread_rows=False).coalesce(1), root)
+    ingest = ingest_captures(spark, written.select("path"), f"{root}/ingest", _split_bytes(written))
+    table = feat.feature_table(ingest.packets, ["path", "filename"], captures=ingest.captures)
+    return table.select(F.element_at(F.split("path", "/"), -2).alias("capture"), "filename", "packet_count")
+
+
 def q_capture_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 as a data source: the packets' capture files, read through ``format("capture")`` over the range index."""
     root = shared_dir(spark, "capture-source")
@@ -352,6 +363,19 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_counts(spark, _stream_records(spark, sf_dir, late), "stream_late_rows", "append")
 
 
+def q_stream_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: a running stream is stopped gracefully after some of its micro-batches; a bounded run from its checkpoint does
+    the rest. Every window, as if it had never stopped."""
+    root = shared_dir(spark, "stream-stopped")
+    counts = win.protocol_window_counts(_stream_records(spark, sf_dir), WINDOW, SLIDE, time_col="event_time", ntz_out=True)
+    query = win.start_stream(counts, "stream_stopped", "update", f"{root}/out", f"{root}/chk", spark.sparkContext.defaultParallelism)
+    while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] < 2):
+        time.sleep(0.1)
+    win.stop_gracefully(query)
+    win.run_bounded(counts, "stream_stopped_rest", "update", f"{root}/out", f"{root}/chk", state_partitions=spark.sparkContext.defaultParallelism)
+    return win.latest_windows(spark, f"{root}/out", counts.schema)
+
+
 def q_stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the rows that ``stream_late_rows`` leaves out, counted per window and protocol."""
     low, high = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.min("ts"), F.max("ts")).first()
@@ -469,6 +493,7 @@ def catalog() -> dict[str, Query]:
         "capture_roundtrip_gzip": q_capture_roundtrip(packets_events, gzip=True),
         "capture_status": q_capture_status,
         "header_decode_tunnels": q_header_decode_tunnels,
+        "capture_labels": q_capture_labels,
         "capture_source": q_capture_source,
         "feature_store": q_feature_store,
         "stream_capture_windows": q_stream_capture_windows,
@@ -489,6 +514,7 @@ def catalog() -> dict[str, Query]:
         "stream_win_append": q_stream_win_append,
         "stream_late_rows": q_stream_late_rows,
         "stream_late_counts": q_stream_late_counts,
+        "stream_stopped": q_stream_stopped,
         "stream_compacted": q_stream_compacted,
         "label_counters": lambda s, d: win.label_counters(parse_lines(format_lines(_records(s, d)))),
         "stream_label_counters": q_stream_label_counters,

@@ -169,6 +169,7 @@ def feature_queries() -> dict[str, str]:
     return {
         "capture_roundtrip": roundtrip_sql("events"),
         "capture_source": roundtrip_sql("events"),
+        "capture_labels": features_sql(final="SELECT filename AS capture, 'part-00000.pcap' AS filename, packet_count FROM features"),
         "feature_store": roundtrip_sql("events"),
         "capture_roundtrip_volume": roundtrip_sql("lineitem"),
         "capture_roundtrip_gzip": roundtrip_sql("events"),
@@ -298,6 +299,7 @@ def stream_queries() -> dict[str, str]:
             on_time, RECORDS, WINDOWED, ("wc", WIN_PROTOCOL)),
         "header_decode_tunnels": with_ctes(TUNNELLED, p),
         "stream_compacted": win_counts,
+        "stream_stopped": win_counts,
         "stream_late_counts": with_ctes(
             "SELECT window_start, window_end, protocol, COUNT(*) AS dropped FROM windowed "
             "WHERE window_end <= (SELECT MAX(ts) FROM (" + PACKETS_EVENTS + ") e) - INTERVAL 2 HOUR "

@@ -178,6 +178,21 @@ def run_bounded(result: DataFrame, name: str, output_mode: str = "append",
     return sink, query
 
 
+def start_stream(result: DataFrame, name: str, output_mode: str, sink: str, checkpoint: str, state_partitions: int | None = None,
+                 interval_seconds: float = 0) -> StreamingQuery:
+    """Start a query that runs until it is stopped (``stop_gracefully``), with ``run_bounded``'s sink; either goes on from
+    the other's checkpoint."""
+    spark = result.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return (result.writeStream.queryName(name).outputMode(output_mode).option("checkpointLocation", checkpoint)
+                .foreachBatch(batch_writer(sink, output_mode)).trigger(processingTime=f"{interval_seconds} seconds").start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+
+
 def batch_writer(sink: str, output_mode: str):
     """``foreachBatch`` function writing Parquet idempotently (see ``run_bounded``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
