@@ -7,6 +7,14 @@ shared checkpoint folder and read again, so a lost executor never repeats an ear
 
 Toxicity and near duplicates can't be expressed in SQL, so ORACLE_SQL is None; tests compare the stages
 with plain Python versions.
+
+Defined cases, as its stages have them: a null text counts as empty throughout; empty texts are scored like others, are
+copies of each other (one stays), belong to one near-duplicate class, weigh nothing in the mix, and have no tokens; very
+long texts go through whole; of rows that tie (equal texts, equal classes) the one with the largest id stays among
+exact copies and the one with the smallest among near copies, a null id counting as the smallest and as the last;
+repeated rows are reduced to one by the second stage; rows without id are kept like others; a null source is a source of
+its own; without any toxic label no document scores above the prior, so none is rejected; an empty table gives an empty
+result; other columns are carried to the last stage, whatever their names, which returns those of the encoding.
 """
 
 from __future__ import annotations
