@@ -242,17 +242,20 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text"
     answers = materialise(answers.groupBy("block").applyInArrow(packed, "block long, numbers binary"), "kn-answers")
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = {}
-        for batch in _unpacked(left):  # the block's n-grams, as they were numbered
-            texts = batch.column(2).to_pylist()
-            for lang, _, some in _by_language(batch.column(1).to_pylist(), texts):
-                some = [t for t in some if t]
+        found, slices = {}, []
+        for batch in _unpacked(left):  # the block's n-grams, numbered as they were before
+            texts, hashed = batch.column(2).to_pylist(), []
+            for lang, at, some in _by_language(batch.column(1).to_pylist(), texts):
+                at, some = [k for k, t in zip(at, some) if t], [t for t in some if t]
                 if some:
                     chars, sizes = _codes(some)
+                    hashes = _gram_hashes(chars)[_starts(sizes)]
+                    hashed.append((lang, at, hashes, sizes))
                     parts = found.setdefault(lang, [])
-                    parts.append(np.unique(_gram_hashes(chars)[_starts(sizes)]))
+                    parts.append(np.unique(hashes))
                     if len(parts) > 8:
                         found[lang] = [np.unique(np.concatenate(parts))]
+            slices.append((batch.column(0), batch.column(1), [not t for t in texts], hashed))
         numbers = np.frombuffer(right.column("numbers")[0].as_py() if right.num_rows else b"", dtype=np.float32).astype(np.float64)
         tables, first = {}, 0
         for lang in _languages(found):
@@ -262,21 +265,15 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text"
             if len(mine) and not np.isnan(mine[0]):  # else the language has no model
                 tables[lang] = (Index(hashes), mine)
         out = []
-        for batch in _unpacked(left):
-            texts, perplexity = batch.column(2).to_pylist(), [None] * batch.num_rows
-            for lang, at, some in _by_language(batch.column(1).to_pylist(), texts):
-                if lang not in tables:
-                    continue
-                at, some = [k for k, t in zip(at, some) if t], [t for t in some if t]
-                if not some:
-                    continue
-                chars, sizes = _codes(some)
-                logp = tables[lang][1][tables[lang][0].find(_gram_hashes(chars)[_starts(sizes)])]
-                sums = np.add.reduceat(logp, np.cumsum(sizes) - sizes)
-                for k, value in zip(at, np.exp(-sums / sizes)):
-                    perplexity[k] = float(value)
-            out.append(pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(perplexity, pa.float64()), pa.array([not t for t in texts], pa.bool_())],
-                                                  ["id", "lang", "perplexity", "empty"]))
+        for ids, langs, empty, hashed in slices:
+            perplexity = [None] * len(empty)
+            for lang, at, hashes, sizes in hashed:
+                if lang in tables:
+                    logp = tables[lang][1][tables[lang][0].find(hashes)]
+                    for k, value in zip(at, np.exp(-np.add.reduceat(logp, np.cumsum(sizes) - sizes) / sizes)):
+                        perplexity[k] = float(value)
+            hashed.clear()
+            out.append(pa.RecordBatch.from_arrays([ids, langs, pa.array(perplexity, pa.float64()), pa.array(empty, pa.bool_())], ["id", "lang", "perplexity", "empty"]))
         return pa.Table.from_batches(out, schema=to_arrow_schema(schema))
 
     schema = T.StructType([blocks.rows.schema["id"], blocks.rows.schema["lang"], T.StructField("perplexity", T.DoubleType()), T.StructField("empty", T.BooleanType())])
