@@ -455,3 +455,28 @@ def test_a_bad_file_costs_itself_only(spark, scratch):
     assert "error" in rejected["broken.pcap.gz"][1]
     counts = {r.filename: r["count"] for r in res.packets.groupBy("filename").count().collect()}
     assert counts == {"good.pcap": 9000, "cut.pcap": 100, "cut.pcap.gz": 100, "cut.pcapng": 7}
+
+
+def test_folders_do_not_grow_with_captures(spark, scratch):
+    """Days and buckets instead of a folder per capture; a search reads the folders and row groups it needs."""
+    from wirelake.sources.capture import compact_packets, packets_of, read_packets
+
+    paths = [os.path.join(scratch, f"c{k}.pcap") for k in range(90)]
+    for k, path in enumerate(paths):
+        write_pcap(path, [(1_700_000_000.0 + 86_400 * (k % 2) + i, eth(0x0800, ip4(f"10.0.{k}.1", "10.1.0.1", 6, tcp(1, 2, SYN)))) for i in range(5)])
+    res = ingest_captures(spark, paths, os.path.join(scratch, "out"), layout="buckets")
+    folders = [d for d, _, files in os.walk(os.path.join(scratch, "out", "packets")) if any(f.endswith(".parquet") for f in files)]
+    assert res.packets.count() == 450 and len(folders) <= 2 * 64
+    stored = res.packets.select("path").first().path
+    prefix = stored[: -len(os.path.basename(stored))]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    one = packets_of(res.packets, path=f"{prefix}c7.pcap", since="2023-11-15", address="10.0.7.1")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "bucket" in filters and "day" in filters and "src_ip,10.0.7.1" in plan
+    assert one.count() == 5 and packets_of(res.packets, until="2023-11-15 12:00:00").count() == 225
+    compact_packets(res.packets, os.path.join(scratch, "folded"))
+    folded = read_packets(spark, os.path.join(scratch, "folded"), res.packets.schema)
+    files = lambda df: len(df.inputFiles())
+    assert folded.count() == 450 and files(folded) <= files(res.packets)
+    assert packets_of(folded, address="10.0.7.1").count() == 5

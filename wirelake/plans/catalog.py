@@ -24,7 +24,7 @@ from wirelake.plans.sql import register_views, sql_query
 from wirelake.schema import FEATURE_COLUMNS, to_feature_schema
 from wirelake.session import reliable_checkpoint, shared_dir
 from wirelake.sources import capture_source
-from wirelake.sources.capture import ingest_captures
+from wirelake.sources.capture import compact_packets, ingest_captures, read_packets
 from wirelake.sources.capture_writer import damaged_copies, pad_to_size, write_captures
 from wirelake.sources.store import FeatureStore
 from wirelake.sources.lines import (
@@ -115,6 +115,16 @@ def q_capture_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.feature_table(packets.withColumn("filename", F.element_at(F.split("path", "/"), -2)), ["filename"])
 
 
+def q_packets_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 by days and buckets: ingested, files folded by bytes, read back, features per capture folder."""
+    root = shared_dir(spark, "packets-bucketed")
+    written = _written_captures(packets_events(spark, sf_dir, spread_rows=True), root)
+    ingest = ingest_captures(spark, written.select("path"), f"{root}/ingest", _split_bytes(written), layout="buckets")
+    compact_packets(ingest.packets, f"{root}/folded")
+    packets = read_packets(spark, f"{root}/folded", ingest.packets.schema)
+    return feat.feature_table(packets.withColumn("filename", F.element_at(F.split("path", "/"), -2)), ["filename"])
+
+
 def q_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C11, A3: capture files loaded in three steps, each listing all files there are by then; the second is repeated
     after a failure before its commit. Equals one pass."""
@@ -496,6 +506,7 @@ def catalog() -> dict[str, Query]:
         "capture_labels": q_capture_labels,
         "capture_source": q_capture_source,
         "feature_store": q_feature_store,
+        "packets_bucketed": q_packets_bucketed,
         "stream_capture_windows": q_stream_capture_windows,
         "line_format": lambda s, d: format_lines(_records(s, d)),
         "line_parse": q_line_parse,

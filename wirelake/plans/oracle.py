@@ -171,6 +171,7 @@ def feature_queries() -> dict[str, str]:
         "capture_source": roundtrip_sql("events"),
         "capture_labels": features_sql(final="SELECT filename AS capture, 'part-00000.pcap' AS filename, packet_count FROM features"),
         "feature_store": roundtrip_sql("events"),
+        "packets_bucketed": roundtrip_sql("events"),
         "capture_roundtrip_volume": roundtrip_sql("lineitem"),
         "capture_roundtrip_gzip": roundtrip_sql("events"),
         "features_captures": roundtrip_sql("events").removesuffix("SELECT * FROM features") +
