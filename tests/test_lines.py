@@ -59,3 +59,10 @@ def test_format_parse_round_trip(spark):
     a = {(r.protocol, r.src_ip, r.dst_ip, r.packet_size) for r in parsed.collect()}
     b = {(r.protocol, r.src_ip, r.dst_ip, r.packet_size) for r in records.collect()}
     assert a == b
+
+
+def test_parse_makes_each_line_once(spark):
+    """The text of a line is made once, not once for each use of a field, and its check stays above the shuffle."""
+    parsed = parse_lines(format_lines(packet_records(packets_events(spark, SF001, spread_rows=True))))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_string") == 1 and "format_string" not in plan.split("RepartitionByExpression")[1]
