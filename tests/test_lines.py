@@ -5,6 +5,7 @@ from __future__ import annotations
 from conftest import SF001
 from wirelake.sources.lines import format_lines, packet_records, parse_lines
 from wirelake.sources.tables import packets_events
+from wirelake.streaming.windows import label_counters
 
 # (line, expected parsed tuple or None when the line is rejected)
 FIXTURE = [
@@ -66,3 +67,10 @@ def test_parse_makes_each_line_once(spark):
     parsed = parse_lines(format_lines(packet_records(packets_events(spark, SF001, spread_rows=True))))
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("format_string") == 1 and "format_string" not in plan.split("RepartitionByExpression")[1]
+
+
+def test_counters_make_each_line_once(spark):
+    counters = label_counters(parse_lines(format_lines(packet_records(packets_events(spark, SF001, spread_rows=True)))))
+    plan = counters._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_string") == 1
+    assert counters.first().total_packets == 1000
