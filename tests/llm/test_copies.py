@@ -294,3 +294,54 @@ def test_next_across_many_ranges(spark, monkeypatch):
     order = sorted(ids, key=lambda i: (i is not None, i or 0), reverse=True)
     got = {r.id: r.next.text for r in fingerprints.with_next(rows).collect()}
     assert got == {i: f"t{order[(k + 1) % len(order)]}" for k, i in enumerate(order)}
+
+
+def test_bags_never_exceed_the_edit_distance():
+    rng = random.Random(21)
+    for _ in range(200):
+        a = [rng.randrange(60) for _ in range(rng.randrange(45, 90))]
+        b = edited([str(x) for x in a], rng.randrange(0, 40), rng) if rng.random() < 0.7 else [str(rng.randrange(60)) for _ in range(rng.randrange(1, 400))]
+        a, b = [str(x) for x in a], list(b)
+        one, two = (near_dedup.bag((near_dedup.word_hashes(" ".join(t)) >> np.uint64(32)).astype(np.uint32)) for t in (a, b))
+        assert near_dedup.bag_distance(one, two) == near_dedup.bag_distance(two, one) <= plain_distance(a, b)
+    assert near_dedup.bag_distance(near_dedup.bag(np.zeros(0, np.uint32)), near_dedup.bag(np.zeros(0, np.uint32))) == 0
+
+
+def test_long_texts_of_one_vocabulary_are_dropped_before_their_words_move(spark):
+    """Their profiles are alike, their bags aren't; a copy with edits, and one of another size, stay."""
+    rng = random.Random(22)
+    first, second = ([f"w{int(4000 * rng.random() ** 2)}" for _ in range(3800)] for _ in range(2))
+    texts = {0: first, 1: second, 2: edited(first, 300, rng), 3: first[:3300], 4: first + ["more"] * 400}
+    table_ = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "node long, text string")
+    hashes = {k: near_dedup.word_hashes(" ".join(t)) for k, t in texts.items()}
+    nodes = spark.createDataFrame([(k, len(h), bytearray(near_dedup.profile(h))) for k, h in hashes.items()], "node long, size int, profile binary")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3), (0, 4), (1, 2)], "a long, b long")
+    words = near_dedup._packed_words(table_)
+    alike = near_dedup._alike_profiles(pairs, nodes, 0.8)
+    assert {tuple(r) for r in alike.collect()} == {(0, 1), (0, 2), (0, 3), (0, 4), (1, 2)}
+    assert {tuple(r) for r in near_dedup._alike_bags(alike, words, 0.8).collect()} == {(0, 2), (0, 3), (0, 4)}
+
+
+def test_no_pair_where_too_few_words_follow_the_first_shared_one(spark):
+    """80 words, 12 of them in no other text, can't be within 20 edits of 100 words, though they share rare words."""
+    shared, longer = [f"b{k}" for k in range(68)], [f"c{k}" for k in range(32)]
+    texts = [shared + [f"p{k}" for k in range(12)], shared + longer, *[longer + [f"q{n}x{k}" for k in range(268)] for n in range(2)], shared + longer[:30]]
+    words = near_dedup._packed_words(spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "node long, text string"))
+    roots = spark.createDataFrame([(k, k) for k in range(len(texts))], "node long, root long")
+    assert {tuple(r) for r in near_dedup._sharing_a_rare_word(roots, words, 0.8).collect()} == {(1, 4)}
+
+
+def test_rare_words_lose_no_pair(spark):
+    """All pairs of the similarity, among texts of many sizes, by brute force."""
+    rng, texts = random.Random(23), []
+    for group in range(6):
+        base = prose(rng.randrange(30, 90), 700 + group).split()
+        for _ in range(7):
+            size = rng.randrange(int(0.75 * len(base)), len(base) + 1)
+            texts.append(edited(base[:size] if rng.random() < 0.5 else base, rng.randrange(0, 14), rng))
+    words = near_dedup._packed_words(spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "node long, text string"))
+    roots = spark.createDataFrame([(k, k) for k in range(len(texts))], "node long, root long")
+    want = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))
+            if plain_distance(texts[a], texts[b]) <= int(0.2 * max(len(texts[a]), len(texts[b])) + 1e-9)}
+    made = near_dedup._sharing_a_rare_word(roots, words, 0.8)
+    assert len(want) > 20 and {tuple(r) for r in near_dedup._alike_bags(made, words, 0.8).collect()} >= want

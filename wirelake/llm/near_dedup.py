@@ -22,7 +22,9 @@ be alike are dropped by their profiles, before any words move. Candidates are co
    than a common passage make no pairs. The order of the words may be any fixed one for the filter to be exact; it
    comes from a fixed number of hashed counters, so each task picks its texts' rarest words by itself, and only
    those are shuffled. A word that both texts have once must stand at about the same place in both, and a pair is
-   made at the first such words that its texts share, not at each.
+   made at the first such words that its texts share, not at each, and only if enough words follow those. Of the
+   pairs whose profiles pass, those whose bags (as profiles, with about a bin per word) can't be alike are dropped
+   before any words move: long texts of one vocabulary have similar profiles, and words are eight times as large.
 
 Pairs inside one component can't change any class and are skipped.
 
@@ -56,6 +58,7 @@ BINS = 128
 COUNTERS = 1 << 18  # of the word order in step 3
 PLACES = 1 << 20    # places in a text that are told apart; words further on count as words that occur again
 EARLIER = 16        # rare words before one that are compared, so that a pair isn't made again at each of its words
+MOST_BAG_BITS = 20  # a bag has 2^20 bins at most, half a megabyte
 SLICE_BYTES = 1 << 20
 PAIR_ROWS = 4096
 SEEDS = mix64(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
@@ -121,6 +124,24 @@ def profile(words: np.ndarray) -> bytes:
     return np.minimum(np.bincount((words >> np.uint64(57)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
 
+def bag(words: np.ndarray) -> bytes:
+    """How many words (32 bits each) fall in each of about as many bins: four bits each, which stop at 15 as profiles do at 255."""
+    bins = 1 << min(MOST_BAG_BITS, max(7, len(words).bit_length()))
+    counts = np.minimum(np.bincount(words & np.uint32(bins - 1), minlength=bins), 15).astype(np.uint8)
+    return (counts[: bins // 2] | counts[bins // 2 :] << 4).tobytes()
+
+
+def bag_distance(one: bytes, two: bytes) -> int:
+    """Edits that two texts with these bags differ by at least; bins of the larger bag are added up to those of the other."""
+    sides = []
+    for packed in (one, two):
+        halves = np.frombuffer(packed, dtype=np.uint8)
+        counts = np.concatenate([halves & 15, halves >> 4])
+        sides.append(counts.reshape(-1, 2 * min(len(one), len(two))).sum(axis=0, dtype=np.int64))
+    more = sides[0] - sides[1]
+    return int(max(more[more > 0].sum(), -more[more < 0].sum()))
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
     """docs: id, key, text -> id, key, size (words), profile, bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,6 +248,20 @@ def _alike_profiles(pairs: DataFrame, nodes: DataFrame, similarity: float) -> Da
     return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "profile_a", "size_b", "profile_b").mapInArrow(run, "a long, b long")
 
 
+def _alike_bags(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """pairs (a, b) of nodes -> those whose bags allow the similarity."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop in byte_slices(batch.column(3), SLICE_BYTES):
+                part = batch.slice(start, stop - start)
+                limits = edits_allowed(np.maximum(np.asarray(part.column(2)), np.asarray(part.column(4))), similarity)
+                apart = np.array([bag_distance(x, y) for x, y in zip(part.column(3).to_pylist(), part.column(5).to_pylist())], dtype=np.int64)
+                yield part.select(["a", "b"]).filter(pa.array(apart <= limits))
+
+    sides = [words.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("bag").alias(f"bag_{x}")) for x in ("a", "b")]
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "bag_a", "size_b", "bag_b").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """pairs (a, b) of nodes -> those with the similarity or more, as (u, v)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,14 +280,15 @@ def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFram
 
 
 def _packed_words(texts: DataFrame) -> DataFrame:
-    """node, text -> node, words (32 bits of each word's hash)."""
+    """node, text -> node, words (32 bits of each word's hash), size (words), bag."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in byte_slices(batch.column(1), SLICE_BYTES):
-                rows = [(word_hashes(t) >> np.uint64(32)).astype(np.uint32).tobytes() for t in texts_of(batch.column(1), start, stop)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(rows, pa.binary())], ["node", "words"])
+                rows = [(word_hashes(t) >> np.uint64(32)).astype(np.uint32) for t in texts_of(batch.column(1), start, stop)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array([len(r) for r in rows], pa.int32()),
+                                                  pa.array([bag(r) for r in rows], pa.binary())], ["node", "words", "size", "bag"])
 
-    return texts.mapInArrow(run, "node long, words binary")
+    return texts.mapInArrow(run, "node long, words binary, size int, bag binary")
 
 
 def _links(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -288,7 +324,9 @@ def _links(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     opened = marked.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("sig")
     still = marked.join(opened, "sig").select("node", "root").distinct()
     third = _sharing_a_rare_word(still, words, similarity).join(alike, ["a", "b"], "left_anti")
-    return links.unionByName(tested(third)[1])
+    third = materialise(_alike_profiles(third, nodes, similarity), "omh-alike")
+    third = materialise(_alike_bags(third, words, similarity), "omh-alike")  # the words below are shuffled for few of them
+    return links.unionByName(materialise(_verified(third, words, similarity), "omh-links"))
 
 
 def _tokens(words: bytes) -> np.ndarray:
@@ -308,7 +346,9 @@ def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float)
     The smallest occurrence that an alignment of such a pair matches is among those first ones of both. If its word
     stands once in each text, the two places are matched with each other, so they differ by the allowed edits at
     most. Of the occurrences that two texts share in this way, one with another of them among the EARLIER shared
-    ones before it makes no pair; the first has none before it, so every pair is made at least once."""
+    ones before it makes no pair; the first has none before it, so every pair is made at least once. Whatever stands
+    before the first in either text has no match, so a pair needs a first that is early enough in both, the more so in
+    the shorter one."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
@@ -346,10 +386,12 @@ def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float)
     before = Window.partitionBy("node").orderBy("rank").rowsBetween(-EARLIER, -1)  # a text's own rows
     packed = F.col("token").bitwiseAND(F.lit(-PLACES)).bitwiseOR(F.col("place").bitwiseAND(F.lit(PLACES - 1)).cast("long"))  # token, place; all ones: none
     prefix = prefix.join(shared, "token").withColumn("before", F.collect_list(packed).over(before))
-    prefix = materialise(prefix.drop("rank"), "omh-shared")
-    x, y = (prefix.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "size", "place", "before")]) for k in "ab")
+    prefix = materialise(prefix, "omh-shared")
+    x, y = (prefix.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "size", "place", "rank", "before")]) for k in "ab")
     allowed = F.floor(F.lit(1.0 - similarity) * F.greatest("size_a", "size_b") + 1e-9)
 
+    early = (F.greatest("size_a", "size_b") - F.least(F.col("size_a") - F.col("rank_a"), F.col("size_b") - F.col("rank_b"))) <= allowed
+
     def matched(one: Column, other: Column) -> Column:
         return (one < 0) | (other < 0) | (F.abs(one - other) <= allowed)
 
@@ -359,7 +401,7 @@ def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float)
 
     again = F.exists("before_a", lambda u: F.exists("before_b", lambda v: (u.bitwiseXOR(v).bitwiseAND(F.lit(-PLACES)) == 0) & matched(place(u), place(v))))
     met = x.join(y, "token").filter(F.expr("node_a < node_b AND root_a <> root_b") & (F.abs(F.col("size_a") - F.col("size_b")) <= allowed)
-                                    & matched(F.col("place_a"), F.col("place_b")) & ~again)
+                                    & early & matched(F.col("place_a"), F.col("place_b")) & ~again)
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
