@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -15,6 +16,7 @@ from tests.llm.fixtures import as_sf_dir, awkward, awkward_rows, empty, labels,
 from wirelake.llm import perplexity, secret_scan, toxicity
 from wirelake.llm.common import read_table
 from wirelake.llm.queries import llm_queries
+from wirelake.session import shared_dir
 
 SF = "/root/testdata/sf0.01"
 
@@ -181,6 +183,30 @@ def test_quality_threshold_is_a_tight_quantile(spark):
     assert len(held) > 30 and all(abs(r.threshold - limit) < 1e-9 for r in got) and not any(r.keep for r in got if r.doc_id >= 900)
 
 
+def test_distinct_grams_over_slices():
+    """Slices added one by one give every n-gram once, in the order of hashes, with its count in the counted ones."""
+    slices = [([prose(40, k), "", "é日本語" * k, "a\0b"], k % 2 == 0) for k in range(5)]
+    found, want = perplexity._Distinct(), Counter()
+    for texts, counted in slices:
+        found.add(texts, counted)
+        for t in texts:
+            s = perplexity.START * (perplexity.ORDER - 1) + t.replace("\0", perplexity.NUL) + perplexity.END
+            for k in range(len(t) + 1):
+                want[s[k : k + perplexity.ORDER]] += counted
+    assert dict(zip(found.grams.tolist(), found.counts.tolist())) == dict(want) and len(found.grams) == len(want)
+    assert (np.diff(found.hashes.astype(object)) > 0).all()
+
+
+def test_scoring_leaves_no_tables_of_grams(spark):
+    """Before the texts move again the n-grams and the model are dropped, or their files stand beside the texts' shuffle."""
+    folder = os.path.dirname(shared_dir(spark, "kn"))
+    base = folder.removeprefix("file:")
+    tables = lambda: {n for n in os.listdir(base) if n.startswith("kn-")} if os.path.isdir(base) else set()
+    before = tables()
+    scored = perplexity.perplexities(awkward(spark), spark.createDataFrame([(100 + k,) for k in range(30)], "id long"))
+    assert {n.rsplit("-", 1)[0] for n in tables() - before} == {"kn-answers"} and scored.count() == len(awkward_rows())
+
+
 def test_toxicity_held_out(spark):
     docs, marks = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
     got = toxicity.score(docs, toxicity.train(docs, marks)).toPandas().merge(marks.toPandas(), on="doc_id", how="left")

@@ -38,7 +38,7 @@ import pyarrow.ipc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from wirelake.llm.common import Index, byte_slices, materialise, mix64
+from wirelake.llm.common import Index, byte_slices, discard, materialise, mix64
 
 ORDER = 5
 QUANTILE = 0.95
@@ -46,6 +46,7 @@ HELD_OUT_OF = 5            # one trusted text in so many sets thresholds instead
 BLOCK_BYTES = 16 << 20     # text in one block, about
 PACK_BYTES = 4 << 20       # text that is sorted into blocks and compressed at a time
 SLICE_BYTES = 1 << 20
+CHUNK = 1 << 14            # n-grams that are hashed at a time, so that they stay in a core's cache
 SALTS = 8                  # blocks over which the rows of one id are spread
 START, END = "\x02", "\x03"
 NUL = "\x01"  # stands for U+0000, which numpy drops at the end of a string
@@ -64,32 +65,62 @@ def _gram_hashes(chars: np.ndarray) -> np.ndarray:
     """A 64-bit hash of chars[i : i + ORDER] for every i."""
     n = max(0, len(chars) - ORDER + 1)
     out = np.zeros(n, dtype=np.uint64)
-    for k in range(ORDER):
-        out = out * PAD + chars[k : k + n]
-    return mix64(out)
+    for at in range(0, n, CHUNK):
+        some = out[at : at + CHUNK]
+        for k in range(ORDER):
+            some *= PAD
+            some += chars[at + k : at + k + len(some)]
+        some[:] = mix64(some)
+    return out
 
 
 def _starts(sizes: np.ndarray) -> np.ndarray:
-    """Positions of the texts' n-grams; those that would reach from one text into the next are left out."""
-    padded = sizes + ORDER - 1
-    first = np.cumsum(padded) - padded
-    return np.arange(int(sizes.sum())) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
-
-
-def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, n-gram and count of the distinct n-grams of some texts."""
-    chars, sizes = _codes(texts)
-    at = _starts(sizes)
-    hashes, first, counts = np.unique(_gram_hashes(chars)[at], return_index=True, return_counts=True)
-    windows = np.ascontiguousarray(chars[at[first][:, None] + np.arange(ORDER)])
-    return hashes, windows.view(f"<U{ORDER}").ravel(), counts
-
-
-def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    hashes, grams, counts = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(hashes, kind="stable")
-    first = np.flatnonzero(np.diff(hashes[order], prepend=hashes[order][:1] + np.uint64(1)))
-    return hashes[order][first], grams[order][first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+    """Whether an n-gram stands at each position; those that would reach from one text into the next are left out."""
+    ends = np.cumsum(sizes + ORDER - 1)
+    inside = np.ones(int(ends[-1]) if len(ends) else 0, dtype=bool)
+    for k in range(1, ORDER):
+        inside[ends - k] = False
+    return inside[: max(0, len(inside) - ORDER + 1)]
+
+
+def _unique(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and how often each occurs; a plain sort is several times faster than np.unique."""
+    ordered = np.sort(hashes)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return ordered[first], np.diff(np.append(first, len(ordered)))
+
+
+class _Distinct:
+    """Hash (in order), n-gram and count of the distinct n-grams of the texts added so far."""
+
+    def __init__(self):
+        self.hashes, self.grams, self.counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=f"<U{ORDER}"), np.zeros(0, dtype=np.int64)
+
+    def add(self, texts: list[str], counted: bool) -> None:
+        chars, sizes = _codes(texts)
+        inside = _starts(sizes)
+        hashes = _gram_hashes(chars)[inside]
+        found, counts = _unique(hashes)
+        place = np.searchsorted(self.hashes, found)
+        old = np.zeros(len(found), dtype=bool)
+        within = place < len(self.hashes)
+        old[within] = self.hashes[place[within]] == found[within]
+        if counted:
+            self.counts[place[old]] += counts[old]
+        new = found[~old]
+        if len(new):  # n-grams are made of these only, from one of the places of each
+            top = np.zeros(1 << 20, dtype=bool)
+            top[new >> np.uint64(44)] = True
+            maybe = np.flatnonzero(top[hashes >> np.uint64(44)])
+            which = np.minimum(np.searchsorted(new, hashes[maybe]), len(new) - 1)
+            same = new[which] == hashes[maybe]
+            at = np.zeros(len(new), dtype=np.int64)
+            at[which[same]] = maybe[same]
+            windows = np.ascontiguousarray(chars[np.flatnonzero(inside)[at][:, None] + np.arange(ORDER)])
+            place = place[~old]
+            self.hashes = np.insert(self.hashes, place, new)
+            self.grams = np.insert(self.grams, place, windows.view(f"<U{ORDER}").ravel())
+            self.counts = np.insert(self.counts, place, counts[~old] if counted else 0)
 
 
 def _languages(langs) -> list:
@@ -155,17 +186,13 @@ def gram_counts(blocks: _Blocks, trusted_ids: DataFrame) -> DataFrame:
                 for is_trusted in (True, False):
                     some = [texts[k] for k in at if texts[k] and (ids[k] in trusted) == is_trusted]
                     if some:
-                        parts = found.setdefault(lang, [])
-                        hashes, grams, counts = _distinct(some)
-                        parts.append((hashes, grams, counts if is_trusted else np.zeros_like(counts)))
-                        if len(parts) > 8:
-                            found[lang] = [_merged(parts)]
-        merged = [(lang, *_merged(found[lang])[1:]) for lang in _languages(found)]
-        langs = [lang for lang, grams, _ in merged for _ in grams]
-        counts = np.concatenate([np.zeros(0, np.int64), *[c for _, _, c in merged]])
+                        found.setdefault(lang, _Distinct()).add(some, is_trusted)
+        langs = _languages(found)
+        merged = [_Distinct(), *[found[lang] for lang in langs]]  # an empty one, for blocks without texts
+        of = pa.array(np.repeat(np.arange(len(langs)), [len(m.hashes) for m in merged[1:]]), pa.int64())
         block = left.column("block")[0].as_py() if left.num_rows else 0
-        return pa.table({"block": pa.array([block] * len(langs), pa.int64()), "at": pa.array(np.arange(len(langs), dtype=np.int32)), "lang": pa.array(langs, pa.string()),
-                         "gram": pa.array([g for _, grams, _ in merged for g in grams.tolist()], pa.string()), "count": pa.array(counts.astype(np.int64))})
+        return pa.table({"block": pa.array(np.full(len(of), block, dtype=np.int64)), "at": pa.array(np.arange(len(of), dtype=np.int32)), "lang": pa.array(langs, pa.string()).take(of),
+                         "gram": pa.array(np.concatenate([m.grams for m in merged]), pa.string()), "count": pa.array(np.concatenate([m.counts for m in merged]))})
 
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
     ids = trusted_ids.filter("id IS NOT NULL").select("id", salts).select("id", blocks.block_of(F.col("id"), F.col("salt")).alias("block"))
@@ -184,6 +211,7 @@ class Model:
 
     def __init__(self, counts: DataFrame):
         counts = materialise(counts, "kn-counts")
+        self.levels = [counts]
         self.grams, self.contexts, level = {}, {}, counts
         for n in range(ORDER, 0, -1):
             of = F.least(F.col("count"), F.lit(4))
@@ -203,6 +231,7 @@ class Model:
             self.contexts[n] = materialise(contexts.select("lang", "context", (F.col("held") / F.col("total")).alias("back")), f"kn-contexts-{n}")
             if n > 1:  # continuation counts: how many different characters precede
                 level = materialise(level.groupBy("lang", F.expr(f"right(gram, {n - 1})").alias("gram")).agg(F.count(F.lit(1)).alias("count")), f"kn-level-{n - 1}")
+                self.levels.append(level)
         self.floor = materialise(level.groupBy("lang").agg((1.0 / (F.count(F.lit(1)) + 1)).alias("uniform")), "kn-floor")
 
     def log_probabilities(self, wanted: DataFrame) -> DataFrame:
@@ -221,8 +250,13 @@ class Model:
             below = rows.select("lang", "gram", (F.coalesce("share", F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * F.col("p")).alias("p"))
             if n < ORDER:
                 below = materialise(below, f"kn-p-{n}")
+                self.levels.append(below)
         return below.select("lang", "gram", F.log("p").alias("logp"))
 
+    def discard(self) -> None:
+        """Drop the files of all tables; the model can't be used afterwards."""
+        discard(*self.levels, *self.grams.values(), *self.contexts.values(), self.floor)
+
 
 def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
     """One row per document: id, lang, perplexity under the model of the trusted texts (``trusted_ids``: id), empty."""
@@ -231,6 +265,7 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text"
     totals = seen.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
     model = Model(totals.filter("count > 0"))
     known = materialise(model.log_probabilities(totals.select("lang", "gram")), "kn-known")
+    model.discard()
     answers = seen.join(known, ["lang", "gram"]).select("block", "at", F.col("logp").cast("float").alias("logp"))
 
     def packed(rows: pa.Table) -> pa.Table:
@@ -240,6 +275,7 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text"
         return pa.table({"block": rows.column("block").slice(0, 1), "numbers": pa.array([numbers.tobytes()], pa.binary())})
 
     answers = materialise(answers.groupBy("block").applyInArrow(packed, "block long, numbers binary"), "kn-answers")
+    discard(seen, known)  # what is read below are the answers and the documents
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         found, slices = {}, []
@@ -252,14 +288,14 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text"
                     hashes = _gram_hashes(chars)[_starts(sizes)]
                     hashed.append((lang, at, hashes, sizes))
                     parts = found.setdefault(lang, [])
-                    parts.append(np.unique(hashes))
+                    parts.append(_unique(hashes)[0])
                     if len(parts) > 8:
-                        found[lang] = [np.unique(np.concatenate(parts))]
+                        found[lang] = [_unique(np.concatenate(parts))[0]]
             slices.append((batch.column(0), batch.column(1), [not t for t in texts], hashed))
         numbers = np.frombuffer(right.column("numbers")[0].as_py() if right.num_rows else b"", dtype=np.float32).astype(np.float64)
         tables, first = {}, 0
         for lang in _languages(found):
-            hashes = np.unique(np.concatenate(found.pop(lang)))
+            hashes = _unique(np.concatenate(found.pop(lang)))[0]
             mine = numbers[first : first + len(hashes)]
             first += len(hashes)
             if len(mine) and not np.isnan(mine[0]):  # else the language has no model
