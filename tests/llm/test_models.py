@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -138,6 +139,31 @@ def plain_kneser_ney(trusted: list[str], order: int):
     return p, score
 
 
+def test_answers_move_packed_by_block(spark, monkeypatch):
+    """The tasks that join n-grams with their probabilities pack them, so the shuffle by block moves few rows, not one per n-gram."""
+    plans, write = {}, perplexity.materialise
+    monkeypatch.setattr(perplexity, "materialise", lambda df, purpose: plans.update({purpose: df._jdf.queryExecution().sparkPlan().toString()}) or write(df, purpose))
+    docs = table(spark, [(k, prose(40, k), ("en", "fr", None)[k % 3], "s") for k in range(60)])
+    assert perplexity.perplexities(docs, spark.range(30).toDF("id")).count() == 60
+    nodes = [line.strip(" :+-") for line in plans["kn-answers"].splitlines()]
+    assert nodes[0].startswith("FlatMapGroupsInArrow") and any(n.startswith("MapInArrow") for n in nodes[1:])
+
+
+def test_gathered_answers_come_back(monkeypatch):
+    monkeypatch.setattr(perplexity, "GATHERED", 50)
+    rng = np.random.default_rng(1)
+    rows = [(b, at, float(np.float32(rng.normal()))) for b in (3, 0, 2**40) for at in rng.choice(1000, 70, replace=False).tolist()]
+    rows = [rows[k] for k in rng.permutation(len(rows))] + [(7, 0, -0.5), (7, 2**31 - 1, -1.5)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 20]), (pa.int64(), pa.int32(), pa.float32()))], ["block", "at", "logp"]) for k in range(0, len(rows), 20)]
+    got = Counter()
+    for out in perplexity._gathered(iter(batches)):
+        for block, n, packed in zip(*(c.to_pylist() for c in out.columns)):
+            at, logp = perplexity._spread(n, packed)
+            assert (np.diff(at) > 0).all()
+            got.update((block, int(a), float(x)) for a, x in zip(at, logp))
+    assert got == Counter(rows) and list(perplexity._gathered(iter([]))) == []
+
+
 def test_perplexity(spark):
     rows = awkward_rows()
     trusted = {100 + k for k in range(0, 30, 2)} | {10, 8}

@@ -9,10 +9,11 @@ an id with very many rows is spread), compressed by the tasks that read them; th
 for counting and once for scoring. *Counting.* Next to the trusted ids of its block, a task finds the block's distinct
 n-grams, far fewer than its characters, and how often each occurs in trusted texts. The counts are added up by
 n-gram; lower orders, context totals and discounts are aggregations of that table. *Scoring.* The blocks'
-n-grams are joined with the count tables, each sharded by its own key. The answers are written as one row per block:
-a number for each of its n-grams, in the order of their hashes, and no n-grams, so the files of that join are gone
-before the texts move again. The block then lists its n-grams anew, in the same order, and adds the numbers up along
-every whole text. The volume of n-grams grows with the number of blocks.
+n-grams are joined with the count tables, each sharded by its own key. The tasks of that join pack their answers by
+block, so that few rows are moved and sorted. The answers are written as one row per block: a number for each of its
+n-grams, in the order of their hashes, and no n-grams, so the files of that join are gone before the texts move again.
+The block then lists its n-grams anew, in the same order, and adds the numbers up along every whole text. The volume
+of n-grams grows with the number of blocks.
 *Threshold.* A language's threshold is the ``QUANTILE`` of the perplexity of its n held-out trusted texts, times
 1 + 1/n: a quantile of a dozen texts is uncertain, and of hundreds is not. There is no other margin, since junk
 made of a repeated word lies close above the quantile (character n-grams hardly see the repeats).
@@ -46,6 +47,7 @@ HELD_OUT_OF = 5            # one trusted text in so many sets thresholds instead
 BLOCK_BYTES = 16 << 20     # text in one block, about
 PACK_BYTES = 4 << 20       # text that is sorted into blocks and compressed at a time
 SLICE_BYTES = 1 << 20
+GATHERED = 1 << 20         # answers that a task holds to pack them by block
 CHUNK = 1 << 14            # n-grams that are hashed at a time, so that they stay in a core's cache
 SALTS = 8                  # blocks over which the rows of one id are spread
 START, END = "\x02", "\x03"
@@ -258,6 +260,37 @@ class Model:
         discard(*self.levels, *self.grams.values(), *self.contexts.values(), self.floor)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """block, at, logp -> block, n, packed: a row for each block and GATHERED answers of the task, a third of the bytes to move."""
+    held, rows = [], 0
+
+    def flush() -> pa.RecordBatch:
+        block, at, logp = (np.concatenate([np.asarray(batch.column(k)) for batch in held]) for k in range(3))
+        order = np.lexsort((at, block))
+        block, at, logp = block[order], at[order], logp[order]
+        names, first, counts = np.unique(block, return_index=True, return_counts=True)
+        packed = []
+        for start, n in zip(first, counts):
+            steps = np.diff(at[start : start + n], prepend=np.int32(0)).astype("<i4")
+            packed.append(pa.compress(steps.tobytes() + logp[start : start + n].astype("<f4").tobytes(), codec="zstd", asbytes=True))
+        return pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts.astype(np.int32)), pa.array(packed, pa.binary())], ["block", "n", "packed"])
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= GATHERED:
+            yield flush()
+            held, rows = [], 0
+    if rows:
+        yield flush()
+
+
+def _spread(n: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The places (ascending) and numbers of a row of ``_gathered``."""
+    both = pa.decompress(packed, decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.cumsum(np.frombuffer(both, dtype="<i4", count=n)), np.frombuffer(both, dtype="<f4", offset=4 * n)
+
+
 def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
     """One row per document: id, lang, perplexity under the model of the trusted texts (``trusted_ids``: id), empty."""
     blocks = _Blocks(docs, text_col, id_col, lang_col)
@@ -266,15 +299,16 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text"
     model = Model(totals.filter("count > 0"))
     known = materialise(model.log_probabilities(totals.select("lang", "gram")), "kn-known")
     model.discard()
-    answers = seen.join(known, ["lang", "gram"]).select("block", "at", F.col("logp").cast("float").alias("logp"))
+    answers = seen.join(known, ["lang", "gram"]).select("block", "at", F.col("logp").cast("float").alias("logp")).mapInArrow(_gathered, "block long, n int, packed binary")
 
-    def packed(rows: pa.Table) -> pa.Table:
-        at = np.asarray(rows.column("at"))
-        numbers = np.full(int(at.max()) + 1, np.nan, dtype=np.float32)
-        numbers[at] = np.asarray(rows.column("logp"))
+    def numbered(rows: pa.Table) -> pa.Table:
+        parts = [_spread(n, packed) for n, packed in zip(rows.column("n").to_pylist(), rows.column("packed").to_pylist())]
+        numbers = np.full(int(max(at[-1] for at, _ in parts)) + 1, np.nan, dtype=np.float32)
+        for at, logp in parts:
+            numbers[at] = logp
         return pa.table({"block": rows.column("block").slice(0, 1), "numbers": pa.array([numbers.tobytes()], pa.binary())})
 
-    answers = materialise(answers.groupBy("block").applyInArrow(packed, "block long, numbers binary"), "kn-answers")
+    answers = materialise(answers.groupBy("block").applyInArrow(numbered, "block long, numbers binary"), "kn-answers")
     discard(seen, known)  # what is read below are the answers and the documents
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
