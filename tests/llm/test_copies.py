@@ -345,3 +345,20 @@ def test_rare_words_lose_no_pair(spark):
             if plain_distance(texts[a], texts[b]) <= int(0.2 * max(len(texts[a]), len(texts[b])) + 1e-9)}
     made = near_dedup._sharing_a_rare_word(roots, words, 0.8)
     assert len(want) > 20 and {tuple(r) for r in near_dedup._alike_bags(made, words, 0.8).collect()} >= want
+
+
+def test_sizes_and_bags_are_tested_before_profiles_move(spark, monkeypatch):
+    """Texts that share a passage meet in buckets; only those of about equal length become pairs, and short ones of step 3 need no profiles."""
+    passage, test, seen = prose(120, 7), near_dedup._alike_profiles, []
+
+    def recorded(pairs, nodes, similarity):
+        size = {r.node: r["size"] for r in nodes.select("node", "size").collect()}
+        seen.append([(size[r.a], size[r.b]) for r in pairs.select("a", "b").collect()])
+        return test(pairs, nodes, similarity)
+
+    monkeypatch.setattr(near_dedup, "_alike_profiles", recorded)
+    docs = table(spark, [(k, passage + " " + " ".join(f"w{k}x{j}" for j in range(10 * (k // 2))), "en", "s") for k in range(40)])
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()}
+    assert len(got) == 40 and got[0] == got[1] == got[2] and got[38] not in (got[0], got[39])
+    assert len(seen) == 3 and seen[0] and not seen[2]
+    assert all(abs(x - y) <= int(0.2 * max(x, y) + 1e-9) for pairs in seen for x, y in pairs)

@@ -14,7 +14,7 @@ profile, counts of its words in ``BINS`` bins: words that only one side has must
 be alike are dropped by their profiles, before any words move. Candidates are covered in three steps:
 
 1. every member of a bucket against the bucket's smallest node (a minimum per bucket, joined back: no bucket is
-   gathered);
+   gathered), here and below only where the numbers of their words allow the similarity;
 2. among the nodes whose profiles passed in step 1, every member against one more node of its bucket, drawn by
    hash, so that the buckets of a large group have different ones: few texts of a group stay apart by chance;
 3. among the texts in buckets that still hold several components, every pair across components that can have the
@@ -23,8 +23,10 @@ be alike are dropped by their profiles, before any words move. Candidates are co
    comes from a fixed number of hashed counters, so each task picks its texts' rarest words by itself, and only
    those are shuffled. A word that both texts have once must stand at about the same place in both, and a pair is
    made at the first such words that its texts share, not at each, and only if enough words follow those. Of the
-   pairs whose profiles pass, those whose bags (as profiles, with about a bin per word) can't be alike are dropped
-   before any words move: long texts of one vocabulary have similar profiles, and words are eight times as large.
+   pairs of short texts, and those of longer ones whose profiles pass, those whose bags (as profiles, with two to four
+   bins per word) can't be alike are dropped before any words move: texts of one vocabulary have similar profiles,
+   and words are two to four times as large. What is left are texts just below the similarity; every two of them
+   from different components are a pair, so the pairs of a large group of such texts grow with its square.
 
 Pairs inside one component can't change any class and are skipped.
 
@@ -59,6 +61,7 @@ COUNTERS = 1 << 18  # of the word order in step 3
 PLACES = 1 << 20    # places in a text that are told apart; words further on count as words that occur again
 EARLIER = 16        # rare words before one that are compared, so that a pair isn't made again at each of its words
 MOST_BAG_BITS = 20  # a bag has 2^20 bins at most, half a megabyte
+SHORT = 1024        # words of a text whose bag, a kilobyte at most, is tested without its profile
 SLICE_BYTES = 1 << 20
 PAIR_ROWS = 4096
 SEEDS = mix64(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
@@ -125,8 +128,8 @@ def profile(words: np.ndarray) -> bytes:
 
 
 def bag(words: np.ndarray) -> bytes:
-    """How many words (32 bits each) fall in each of about as many bins: four bits each, which stop at 15 as profiles do at 255."""
-    bins = 1 << min(MOST_BAG_BITS, max(7, len(words).bit_length()))
+    """How many words (32 bits each) fall in each of two to four times as many bins: four bits each, which stop at 15 as profiles do at 255."""
+    bins = 1 << min(MOST_BAG_BITS, max(7, len(words).bit_length() + 1))
     counts = np.minimum(np.bincount(words & np.uint32(bins - 1), minlength=bins), 15).astype(np.uint8)
     return (counts[: bins // 2] | counts[bins // 2 :] << 4).tobytes()
 
@@ -232,6 +235,11 @@ def _banded(a: list, b: list, w: int) -> int:
     return score
 
 
+def _alike_sizes(one: str, two: str, similarity: float) -> Column:
+    """Whether texts of so many words can have the similarity: the longer one's further words must be edited."""
+    return F.abs(F.col(one) - F.col(two)) <= F.floor(F.lit(1.0 - similarity) * F.greatest(one, two) + 1e-9)
+
+
 def _alike_profiles(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """pairs (a, b) of nodes -> those whose profiles allow the similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,8 +302,9 @@ def _packed_words(texts: DataFrame) -> DataFrame:
 def _links(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Verified links (u, v) between ``nodes`` (node, key, size, profile, bands), enough to join every class.
     ``texts``: key and text of every input row."""
-    bands = nodes.select("node", F.explode("bands").alias("sig"))  # a band's value is seeded by the band
-    ends = bands.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("sig", "low")
+    bands = nodes.select("node", "size", F.explode("bands").alias("sig"))  # a band's value is seeded by the band
+    ends = bands.groupBy("sig").agg(F.min(F.struct("node", "size")).alias("low"), F.max("node").alias("high")).filter("low.node <> high")
+    ends = ends.select("sig", F.col("low.node").alias("low"), F.col("low.size").alias("low_size"))
     members = materialise(bands.join(ends, "sig"), "omh-members")  # buckets of two or more texts only
     needed = nodes.join(members.select("node").distinct(), "node").select("key", "node")
     words = materialise(_packed_words(texts.join(needed, "key").groupBy("node").agg(F.first("text").alias("text"))), "omh-words")
@@ -306,16 +315,16 @@ def _links(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
         return alike, materialise(_verified(alike, words, similarity), "omh-links")
 
     # every member against its bucket's smallest
-    first = members.filter("node <> low").withColumnRenamed("low", "pivot").select(*pair).distinct()
+    first = members.filter(F.expr("node <> low") & _alike_sizes("size", "low_size", similarity)).withColumnRenamed("low", "pivot").select(*pair).distinct()
     alike, links = tested(first)
     # nodes of pairs that are about alike, against one of their bucket drawn by hash
     roots = components(links, "omh-components")
     close = alike.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    close = _with_roots(members.select("sig", "node").join(close, "node"), roots)
-    drawn = F.struct(F.xxhash64("sig", "node").alias("draw"), "node", "root")
+    close = _with_roots(members.select("sig", "node", "size").join(close, "node"), roots)
+    drawn = F.struct(F.xxhash64("sig", "node").alias("draw"), "node", "root", "size")
     pivots = close.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(drawn).alias("drawn")).filter("r0 <> r1")
-    pivots = pivots.select("sig", F.col("drawn.node").alias("pivot"), F.col("drawn.root").alias("pivot_root"))
-    second = close.join(pivots, "sig").filter("root <> pivot_root").select(*pair).distinct().join(alike, ["a", "b"], "left_anti")
+    pivots = pivots.select("sig", F.col("drawn.node").alias("pivot"), F.col("drawn.root").alias("pivot_root"), F.col("drawn.size").alias("pivot_size"))
+    second = close.join(pivots, "sig").filter(F.expr("root <> pivot_root") & _alike_sizes("size", "pivot_size", similarity)).select(*pair).distinct().join(alike, ["a", "b"], "left_anti")
     alike_too, more = tested(second)
     links, alike = links.unionByName(more), alike.unionByName(alike_too)
     # whatever still stands in different components of a bucket
@@ -323,8 +332,10 @@ def _links(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     marked = _with_roots(members.select("sig", "node"), roots)
     opened = marked.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("sig")
     still = marked.join(opened, "sig").select("node", "root").distinct()
-    third = _sharing_a_rare_word(still, words, similarity).join(alike, ["a", "b"], "left_anti")
-    third = materialise(_alike_profiles(third, nodes, similarity), "omh-alike")
+    third = _sharing_a_rare_word(still, words, similarity, ("size_a", "size_b")).join(alike, ["a", "b"], "left_anti")
+    third = materialise(third, "omh-alike")  # of long texts by their profiles first, as a bag is larger than those
+    short = (F.col("size_a") < SHORT) & (F.col("size_b") < SHORT)
+    third = _alike_profiles(third.filter(~short).select("a", "b"), nodes, similarity).unionByName(third.filter(short).select("a", "b"))
     third = materialise(_alike_bags(third, words, similarity), "omh-alike")  # the words below are shuffled for few of them
     return links.unionByName(materialise(_verified(third, words, similarity), "omh-links"))
 
@@ -334,8 +345,8 @@ def _tokens(words: bytes) -> np.ndarray:
     return numbered_kmers(np.frombuffer(words, dtype=np.uint32).astype(np.uint64), 1)
 
 
-def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of ``nodes`` (node, root) of different roots that can have the similarity, by the prefix filter.
+def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float, sizes: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs (a, b, and of their ``sizes`` size_a and size_b) of ``nodes`` (node, root) of different roots that can have the similarity, by the prefix filter.
 
     Texts of n and m words that are alike have all but (1 - similarity) * max(n, m) word occurrences in common, so
     among each one's (1 - similarity) * n + 1 first occurrences in any fixed order there is one that both have: no
@@ -402,7 +413,7 @@ def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float)
     again = F.exists("before_a", lambda u: F.exists("before_b", lambda v: (u.bitwiseXOR(v).bitwiseAND(F.lit(-PLACES)) == 0) & matched(place(u), place(v))))
     met = x.join(y, "token").filter(F.expr("node_a < node_b AND root_a <> root_b") & (F.abs(F.col("size_a") - F.col("size_b")) <= allowed)
                                     & early & matched(F.col("place_a"), F.col("place_b")) & ~again)
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), *sizes).distinct()
 
 
 def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
