@@ -362,3 +362,16 @@ def test_sizes_and_bags_are_tested_before_profiles_move(spark, monkeypatch):
     assert len(got) == 40 and got[0] == got[1] == got[2] and got[38] not in (got[0], got[39])
     assert len(seen) == 3 and seen[0] and not seen[2]
     assert all(abs(x - y) <= int(0.2 * max(x, y) + 1e-9) for pairs in seen for x, y in pairs)
+
+
+def test_texts_with_a_common_passage_make_few_pairs(spark):
+    """Texts just below the similarity that share rare words by chance are told apart by their signs, in the join; what is alike stays."""
+    rng, passage, texts = random.Random(24), [f"p{k}" for k in range(30)], []
+    for _ in range(60):
+        own = [f"v{rng.randrange(100)}" for _ in range(14)]
+        texts.append(own[:7] + passage + own[7:])
+    texts += [edited(texts[k], 3, rng) for k in range(10)]
+    words = near_dedup._packed_words(spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "node long, text string"))
+    roots = spark.createDataFrame([(k, k) for k in range(len(texts))], "node long, root long")
+    made = {tuple(r) for r in near_dedup._sharing_a_rare_word(roots, words, 0.8).collect()}
+    assert made >= {(k, 60 + k) for k in range(10)} and len(made) < 300

@@ -18,15 +18,18 @@ be alike are dropped by their profiles, before any words move. Candidates are co
 2. among the nodes whose profiles passed in step 1, every member against one more node of its bucket, drawn by
    hash, so that the buckets of a large group have different ones: few texts of a group stay apart by chance;
 3. among the texts in buckets that still hold several components, every pair across components that can have the
-   similarity, found by an exact prefix filter on rare words, so that no link is lost and texts that share no more
-   than a common passage make no pairs. The order of the words may be any fixed one for the filter to be exact; it
-   comes from a fixed number of hashed counters, so each task picks its texts' rarest words by itself, and only
-   those are shuffled. A word that both texts have once must stand at about the same place in both, and a pair is
-   made at the first such words that its texts share, not at each, and only if enough words follow those. Of the
+   similarity, found by an exact prefix filter on rare runs of ``RUN`` words, so that no link is lost and texts that
+   share no more than a common passage make few pairs. The order of the runs may be any fixed one for the filter to be
+   exact; it comes from a fixed number of hashed counters, so each task picks its texts' rarest runs by itself, and
+   only those are shuffled. A run that both texts have once must stand at about the same place in both, a pair is
+   made at the first such runs that its texts share, not at each, and only if enough runs follow those, and where the
+   texts' signs (a bit per bin of words, odd or even) can be those of texts that are alike. Of the
    pairs of short texts, and those of longer ones whose profiles pass, those whose bags (as profiles, with two to four
    bins per word) can't be alike are dropped before any words move: texts of one vocabulary have similar profiles,
-   and words are two to four times as large. What is left are texts just below the similarity; every two of them
-   from different components are a pair, so the pairs of a large group of such texts grow with its square.
+   and words are two to four times as large. Among texts of one vocabulary the runs that two share by chance, and with
+   them the pairs, still grow faster than the texts; most end at the signs, in the join. What is left are texts just
+   below the similarity; every two of them from different components are a pair, so the pairs of a large group of such
+   texts grow with its square.
 
 Pairs inside one component can't change any class and are skipped.
 
@@ -43,13 +46,15 @@ empty result. ``near_classes`` reads only id and text; ``near_dedup`` keeps all
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from wirelake.llm.common import byte_slices, materialise, mix64, span_hashes, texts_of
+from wirelake.llm.common import byte_slices, discard, materialise, mix64, span_hashes, texts_of
 from wirelake.llm.components import components
 
 K = 3
@@ -57,9 +62,11 @@ TAKE = 2
 BANDS = 32
 SIMILARITY = 0.8
 BINS = 128
-COUNTERS = 1 << 18  # of the word order in step 3
-PLACES = 1 << 20    # places in a text that are told apart; words further on count as words that occur again
-EARLIER = 16        # rare words before one that are compared, so that a pair isn't made again at each of its words
+RUN = 2             # words of a run in step 3
+COUNTERS = 1 << 22  # of the order of runs in step 3
+PLACES = 1 << 20    # places in a text that are told apart; runs further on count as runs that occur again
+EARLIER = 4         # rare runs before one that are compared, so that a pair isn't made again at each of its runs
+SIGNS = 8           # 64-bit numbers of a text's signs in step 3
 MOST_BAG_BITS = 20  # a bag has 2^20 bins at most, half a megabyte
 SHORT = 1024        # words of a text whose bag, a kilobyte at most, is tested without its profile
 SLICE_BYTES = 1 << 20
@@ -82,8 +89,13 @@ def word_hashes(text: str) -> np.ndarray:
 
 def numbered_kmers(words: np.ndarray, k: int = K) -> np.ndarray:
     """Hashes of the k-mers in text order, each told apart by how often it occurred before."""
+    return _numbered_kmers(words, k)[0]
+
+
+def _numbered_kmers(words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``numbered_kmers``, and which of them occur once."""
     if not len(words):
-        return words
+        return words, np.zeros(0, dtype=bool)
     n = max(1, len(words) - k + 1)
     starts = np.arange(n)
     kmers = span_hashes(words, starts, np.minimum(starts + k, len(words)))
@@ -91,9 +103,10 @@ def numbered_kmers(words: np.ndarray, k: int = K) -> np.ndarray:
     ordered = kmers[order]
     first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     run_start = np.maximum.accumulate(np.where(first, starts, 0))
-    number = np.empty(n, dtype=np.uint64)
+    number, once = np.empty(n, dtype=np.uint64), np.empty(n, dtype=bool)
     number[order] = starts - run_start
-    return mix64(kmers + number * np.uint64(0xC2B2AE3D27D4EB4F))
+    once[order] = first & np.append(first[1:], True)
+    return mix64(kmers + number * np.uint64(0xC2B2AE3D27D4EB4F)), once
 
 
 def sketch(words: np.ndarray) -> np.ndarray:
@@ -134,6 +147,13 @@ def bag(words: np.ndarray) -> bytes:
     return (counts[: bins // 2] | counts[bins // 2 :] << 4).tobytes()
 
 
+def signs(words: np.ndarray) -> np.ndarray:
+    """A bit for each of 64 * SIGNS bins: is the number of words (32 bits each) in it odd? A word that one text has and
+    another has not changes one bit at most."""
+    counts = np.bincount(words >> np.uint32(33 - (64 * SIGNS).bit_length()), minlength=64 * SIGNS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def bag_distance(one: bytes, two: bytes) -> int:
     """Edits that two texts with these bags differ by at least; bins of the larger bag are added up to those of the other."""
     sides = []
@@ -340,34 +360,43 @@ def _links(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return links.unionByName(materialise(_verified(third, words, similarity), "omh-links"))
 
 
-def _tokens(words: bytes) -> np.ndarray:
-    """The words of a packed text, each told apart by how often it occurred before."""
-    return numbered_kmers(np.frombuffer(words, dtype=np.uint32).astype(np.uint64), 1)
+def run_words(similarity: float) -> int:
+    """How many words the runs of step 3 have: single ones for a similarity at which alike texts may have no longer run in common."""
+    return RUN if RUN * (1.0 - similarity) <= 0.5 else 1
+
+
+def _tokens(words: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of k words of a packed text, each told apart by how often it occurred before, and which occur once."""
+    return _numbered_kmers(np.frombuffer(words, dtype=np.uint32).astype(np.uint64), k)
 
 
 def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float, sizes: tuple[str, ...] = ()) -> DataFrame:
     """Pairs (a, b, and of their ``sizes`` size_a and size_b) of ``nodes`` (node, root) of different roots that can have the similarity, by the prefix filter.
 
-    Texts of n and m words that are alike have all but (1 - similarity) * max(n, m) word occurrences in common, so
-    among each one's (1 - similarity) * n + 1 first occurrences in any fixed order there is one that both have: no
+    An edit of a word breaks the runs of k words that it stands in, k at most, and a word put in between breaks k - 1.
+    Texts of n and m words that are alike, n <= m, differ by (1 - similarity) * m edits at most, m - n of which put a
+    word into the shorter, so all but k * (1 - similarity) * n run occurrences of either are in both. Among each one's
+    k * (1 - similarity) * n + 1 first occurrences in any fixed order there is then one that both have: no
     pair above the similarity is left out. In an order by rarity, what very many texts share, such as a common
-    passage, is never among the first, so texts that only share that make no pairs. Rarity is that of COUNTERS hashed
-    counters: one aggregation, and an array of fixed size that goes to the tasks.
+    passage, is among the first only of texts with little else, so texts that only share that make few pairs. Rarity is
+    that of COUNTERS hashed counters: one aggregation, and an array of fixed size that goes to the tasks.
 
-    The smallest occurrence that an alignment of such a pair matches is among those first ones of both. If its word
+    The smallest occurrence that an alignment of such a pair matches is among those first ones of both. If its run
     stands once in each text, the two places are matched with each other, so they differ by the allowed edits at
     most. Of the occurrences that two texts share in this way, one with another of them among the EARLIER shared
     ones before it makes no pair; the first has none before it, so every pair is made at least once. Whatever stands
     before the first in either text has no match, so a pair needs a first that is early enough in both, the more so in
-    the shorter one."""
+    the shorter one. An edit changes two signs at most, one of those by which the sizes differ changes one."""
+    k = run_words(similarity)
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
             for start, stop in byte_slices(batch.column(2), SLICE_BYTES):
-                tokens = np.concatenate([_tokens(w) for w in batch.column(2).slice(start, stop - start).to_pylist()])
+                tokens = np.concatenate([_tokens(w, k)[0] for w in batch.column(2).slice(start, stop - start).to_pylist()])
                 sums += np.bincount((tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         seen = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], ["counter", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(sums[seen])], ["counter", "n"])
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -375,33 +404,42 @@ def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float,
                 part = batch.slice(start, stop - start)
                 firsts, places, sizes = [], [], []
                 for packed in part.column(2).to_pylist():
-                    tokens = _tokens(packed)
-                    _, word, times = np.unique(np.frombuffer(packed, dtype=np.uint32), return_inverse=True, return_counts=True)
-                    keep = int(edits_allowed(np.array(len(tokens)), similarity)) + 1
+                    tokens, once = _tokens(packed, k)
+                    sizes.append(len(packed) // 4)
+                    keep = int(k * (1.0 - similarity) * sizes[-1] + 1e-9) + 1
                     first = np.lexsort((tokens, often[(tokens % np.uint64(COUNTERS)).astype(np.int64)]))[:keep]
                     firsts.append(tokens[first].view(np.int64))
-                    places.append(np.where((times[word[first]] == 1) & (first < PLACES - 1), first, -1).astype(np.int32))  # -1: the word occurs again
-                    sizes.append(len(tokens))
+                    places.append(np.where(once[first] & (first < PLACES - 1), first, -1).astype(np.int32))  # -1: the run occurs again
                 counts = [len(f) for f in firsts]
                 at = pa.array(np.repeat(np.arange(len(firsts)), counts))
                 ranks = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
                 yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(sizes, pa.int32()).take(at), pa.array(np.concatenate(firsts)),
                                                   pa.array(np.concatenate(places)), pa.array(ranks)], ["node", "root", "size", "token", "place", "rank"])
 
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([signs(np.frombuffer(w, dtype=np.uint32)) for w in batch.column(2).to_pylist()], dtype=np.int64).reshape(-1, SIGNS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(c)) for c in found.T]], ["node", *bits])
+
+    bits = [f"signs{i}" for i in range(SIGNS)]
     nodes = materialise(nodes.join(words, "node").select("node", "root", "words"), "omh-open")
-    often = np.zeros(COUNTERS, dtype=np.int64)
-    for row in nodes.mapInArrow(counted, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect():  # COUNTERS rows at most
-        often[row.counter] = row.n
+    often = np.zeros(COUNTERS, dtype=np.uint8)  # eight steps for each power of two
+    level = F.least(F.floor(8 * F.log2(F.sum("n"))), F.lit(254)).cast("short") + F.lit(1).cast("short")
+    levels = nodes.mapInArrow(counted, "counter int, n long").groupBy("counter").agg(level.alias("level")).toArrow()  # COUNTERS rows of 6 bytes at most
+    often[np.asarray(levels.column("counter"))] = np.asarray(levels.column("level"))
     prefix = materialise(nodes.mapInArrow(rarest, "node long, root long, size int, token long, place int, rank int"), "omh-prefix")
     shared = prefix.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token")
     before = Window.partitionBy("node").orderBy("rank").rowsBetween(-EARLIER, -1)  # a text's own rows
     packed = F.col("token").bitwiseAND(F.lit(-PLACES)).bitwiseOR(F.col("place").bitwiseAND(F.lit(PLACES - 1)).cast("long"))  # token, place; all ones: none
-    prefix = prefix.join(shared, "token").withColumn("before", F.collect_list(packed).over(before))
-    prefix = materialise(prefix, "omh-shared")
-    x, y = (prefix.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "size", "place", "rank", "before")]) for k in "ab")
+    marked = prefix.join(shared, "token").withColumn("before", F.collect_list(packed).over(before))
+    marked = materialise(marked.join(nodes.mapInArrow(signed, ", ".join(["node long", *[f"{c} long" for c in bits]])), "node"), "omh-shared")
+    discard(nodes, prefix)
+    x, y = (marked.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "size", "place", "rank", "before", *bits)]) for k in "ab")
     allowed = F.floor(F.lit(1.0 - similarity) * F.greatest("size_a", "size_b") + 1e-9)
+    apart = F.abs(F.col("size_a") - F.col("size_b"))
 
-    early = (F.greatest("size_a", "size_b") - F.least(F.col("size_a") - F.col("rank_a"), F.col("size_b") - F.col("rank_b"))) <= allowed
+    early = (F.greatest("size_a", "size_b") - F.least(F.col("size_a") - F.col("rank_a"), F.col("size_b") - F.col("rank_b"))) <= k * allowed
+    odd = functools.reduce(operator.add, [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in bits])
 
     def matched(one: Column, other: Column) -> Column:
         return (one < 0) | (other < 0) | (F.abs(one - other) <= allowed)
@@ -411,8 +449,8 @@ def _sharing_a_rare_word(nodes: DataFrame, words: DataFrame, similarity: float,
         return F.when(number == PLACES - 1, F.lit(-1)).otherwise(number)
 
     again = F.exists("before_a", lambda u: F.exists("before_b", lambda v: (u.bitwiseXOR(v).bitwiseAND(F.lit(-PLACES)) == 0) & matched(place(u), place(v))))
-    met = x.join(y, "token").filter(F.expr("node_a < node_b AND root_a <> root_b") & (F.abs(F.col("size_a") - F.col("size_b")) <= allowed)
-                                    & early & matched(F.col("place_a"), F.col("place_b")) & ~again)
+    met = x.join(y, "token").filter(F.expr("node_a < node_b AND root_a <> root_b") & (apart <= allowed) & early
+                                    & matched(F.col("place_a"), F.col("place_b")) & (odd <= 2 * allowed - apart) & ~again)
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), *sizes).distinct()
 
 
